@@ -149,7 +149,9 @@ def load(spark: SparkSession, sf_dir: str, *, district: bool = False) -> Tables:
         events = derive(event_rule(district), ts=kind)
         for column, absent in _ABSENT.items():
             events = events.withColumn(column, F.lit(None).cast(absent))
-        _events[key] = stage(events.select(*EVENT_COLUMNS), "programstageinstance").df
+        # As many files as cores, as a table of any size would have.
+        events = events.select(*EVENT_COLUMNS).repartition(spark.sparkContext.defaultParallelism)
+        _events[key] = stage(events, "programstageinstance").df
     tables = {name: derive(rule) for name, rule in RULES.items()}
     values = derive(VALUE_RULE + (DISTRICT_VALUE_RULE if district else ""))
     return Tables(programstageinstance=_events[key], trackedentityattributevalue=values, **tables)
