@@ -64,7 +64,9 @@ def expand(df: DataFrame) -> DataFrame:
 
 def uid(letter: str, number: Column) -> Column:
     """Eleven characters, a letter first; distinct for distinct ids, so no two new rows collide."""
-    return F.concat(F.lit(letter), F.lpad(F.conv(number.cast("string"), 10, 36), 10, "0"))
+    digits = F.lpad(F.conv(number.cast("string"), 10, 36), 10, "0")
+    fits = number < F.lit(36**10)
+    return F.concat(F.lit(letter), F.when(fits, digits).otherwise(F.raise_error(F.lit("id too large for a uid"))))
 
 
 def uuid_of(*parts: Column) -> Column:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebridge.config import ACTIVE, COMPLETED, TRANSFERRED, WAITING, TransferConfig
+from casebridge.config import ACTIVE, COMPLETED, TRANSFERRED, TransferConfig
 from casebridge.functions.fields import merge, set_value
 from casebridge.operators.copies import LINEAGE
-from casebridge.operators.link import event_fields, has_result, key_names, stage_id, valid_request
+from casebridge.operators.link import event_fields, has_result, is_late_lab, is_waiting, key_names, stage_id
 from casebridge.operators.spread import profile, spread_join
 from casebridge.operators.staging import Staged
 from casebridge.sources.tables import Tables
@@ -78,8 +78,16 @@ def _targets(events: DataFrame, cfg: TransferConfig) -> DataFrame:
 def merge_lab(t: Tables, cfg: TransferConfig, inserts: Staged, lab: DataFrame) -> DataFrame:
     """Change set (event_id, new_document, ...) for lab events, the copies just made included."""
     events = t.programstageinstance.where(F.col("programstageid") == stage_id(t, cfg.source_stage_uid))
-    documents = event_fields(events, cfg).where(_lab_candidates(cfg)).select(
-        F.col("programstageinstanceid").cast("bigint").alias("event_id"), F.col("eventdatavalues").alias("source")
+    # The documents of events that can be in ``lab``: late results, and empty ones of waiting events.
+    possible = is_late_lab(cfg) | (is_waiting(cfg) & (F.col("lab") == ""))
+    documents = (
+        event_fields(events, cfg)
+        .withColumn("at_source", F.lit(True))
+        .where(possible)
+        .select(
+            F.col("programstageinstanceid").cast("bigint").alias("event_id"),
+            F.col("eventdatavalues").alias("source"),
+        )
     )
     marked = set_value(F.col("source"), cfg.status_field, F.lit(TRANSFERRED))
     # An event goes to one enrolment and an enrolment has one source: no key repeats here.
@@ -110,9 +118,3 @@ def merge_lab(t: Tables, cfg: TransferConfig, inserts: Staged, lab: DataFrame) -
 
     new_profile = inserts.profiles["programinstanceid"] if cfg.lab_target == "enrolment" else None
     return merged(old, profile(old, "target_key")).unionByName(merged(new, new_profile))
-
-
-def _lab_candidates(cfg: TransferConfig) -> Column:
-    """Source events that can hold a late result, read from the document."""
-    open_status = F.col("transfer_status").isin(TRANSFERRED, WAITING)
-    return valid_request(cfg) & open_status & F.col("lab").isNotNull()

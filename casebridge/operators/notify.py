@@ -18,7 +18,7 @@ from casebridge.config import (
     TransferConfig,
 )
 from casebridge.functions.fields import message_text
-from casebridge.functions.ids import expand, number_rows, uid, uuid_of
+from casebridge.functions.ids import number_rows, uid, uuid_of
 from casebridge.operators.spread import profile, spread_join
 from casebridge.operators.staging import Staged, stage
 from casebridge.sources.tables import Tables
@@ -111,35 +111,53 @@ def static_notice(t: Tables, cfg: TransferConfig) -> DataFrame:
 
 
 def message_rows(requests: DataFrame, told: DataFrame, cfg: TransferConfig) -> DataFrame:
-    """One row per request and recipient of its facility: (call, rank, facility_id, subject, text, user_id).
+    """One row per request and recipient of its facility, numbered by request and user in ``number``.
 
-    Busy facilities and facilities with many users are cut on both sides.
+    Requests and recipients are numbered, not the messages: a request takes one number per message it
+    leads to, and a recipient's place in its facility picks among them. The large product of the two is
+    never sorted. Busy facilities and facilities with many users are cut on both sides.
     """
+    # One request row is up to copy_chunk requests.
+    hot_rows = max(1, cfg.hot_key_rows // cfg.copy_chunk)
+    placed = number_rows(told, ["facility_id", "user_id"], name="recipient_order")
+    users = stage(placed.withColumnRenamed("first_rank", "place"), "recipients", ("facility_id",))
+    facilities = users.df.groupBy("facility_id").agg(
+        F.count(F.lit(1)).alias("users"), F.min("place").alias("first_place")
+    )
     asked = stage(requests, "requests", ("facility_id",))
-    users = stage(told, "recipients", ("facility_id",))
+    answered = spread_join(
+        asked.df.withColumnRenamed("first_rank", "request_rank"),
+        facilities,
+        "facility_id",
+        hot_rows=hot_rows,
+        left_profile=asked.profiles["facility_id"],
+        left_split=("call", "request_rank"),
+    ).withColumn("size", F.col("copies") * F.col("users"))
+    numbered = number_rows(answered, ["call", "request_rank"], size="size", name="request_order")
     sent = spread_join(
-        asked.df,
+        numbered,
         users.df,
         "facility_id",
-        # One request row is up to copy_chunk requests.
-        hot_rows=max(1, cfg.hot_key_rows // cfg.copy_chunk),
+        hot_rows=hot_rows,
         left_profile=asked.profiles["facility_id"],
         right_profile=users.profiles["facility_id"],
-        left_split=("call", "first_rank"),
-        right_split=("user_id",),
+        left_split=("call", "request_rank"),
+        right_split=("place",),
     )
-    return expand(sent)
+    copy = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)).alias("copy")
+    number = F.col("first_rank") + F.col("copy") * F.col("users") + F.col("place") - F.col("first_place")
+    return sent.select("*", copy).select("facility_id", "user_id", "subject", "text", number.alias("number"))
 
 
 def build_messages(requests: DataFrame, told: DataFrame, cfg: TransferConfig, run: Run) -> Messages:
     """Rows of the five message tables, in table column order. One number per message serves all ids."""
     rows = message_rows(requests, told, cfg)
     numbered = stage(
-        number_rows(rows, ["call", "rank", "user_id"], name="message_order").select(
-            (F.col("first_rank") + run.conversation_base).alias("messageconversationid"),
-            (F.col("first_rank") + run.message_base).alias("messageid"),
+        rows.select(
+            (F.col("number") + run.conversation_base).alias("messageconversationid"),
+            (F.col("number") + run.message_base).alias("messageid"),
             # An int column: too large a number fails instead of wrapping round.
-            (F.col("first_rank") + run.usermessage_base).cast("int").alias("usermessageid"),
+            (F.col("number") + run.usermessage_base).cast("int").alias("usermessageid"),
             F.col("user_id").alias("userid"),
             "subject",
             "text",
@@ -147,14 +165,10 @@ def build_messages(requests: DataFrame, told: DataFrame, cfg: TransferConfig, ru
         "messages",
     ).df
     now = F.lit(run.run_ts).cast("timestamp_ntz")
-
-    def conversation_uid(letter: str, column: str):
-        return uid(letter, F.col(column)).alias("uid")
-
     return Messages(
         messageconversation=numbered.select(
             "messageconversationid",
-            conversation_uid("C", "messageconversationid"),
+            uid("C", F.col("messageconversationid")).alias("uid"),
             F.lit(1).alias("messagecount"),
             now.alias("created"),
             now.alias("lastupdated"),
@@ -169,7 +183,7 @@ def build_messages(requests: DataFrame, told: DataFrame, cfg: TransferConfig, ru
         ),
         message=numbered.select(
             "messageid",
-            conversation_uid("M", "messageid"),
+            uid("M", F.col("messageid")).alias("uid"),
             now.alias("created"),
             now.alias("lastupdated"),
             F.col("text").alias("messagetext"),

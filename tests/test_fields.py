@@ -1,0 +1,96 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from casebridge.functions.fields import merge, message_text, read_fields, set_value
+
+READ = [
+    ('{"a":{"value":"x","more":1},"b":{"value":"y"}}', "x", "y"),
+    ('{"b":{"value":"y"}}', None, "y"),
+    ('{"a":{"value":null},"b":{"value":"y"}}', None, "y"),
+    ('{"a":{"value":""}}', "", None),
+    ('{"a":{"value":{"q":1}}}', '{"q":1}', None),
+    ('{"a":{"value":true}}', "true", None),
+    ('{"a":{"value":17}}', "17", None),
+    ('{"a":5,"b":{"value":"y"}}', None, "y"),
+    ('{"a":"{\\"value\\":\\"no\\"}","b":{"value":"y"}}', None, "y"),
+    ('{"a":null,"b":{"value":"y"}}', None, "y"),
+    ('{"a":[1],"b":{"value":"y"}}', None, "y"),
+    ('{"a":{"value":" A b\\u0041 "}}', " A bA ", None),
+    ("broken {", None, None),
+    (None, None, None),
+]
+
+
+def docs(spark, values):
+    return spark.createDataFrame(list(enumerate(values)), "i int, d string")
+
+
+def test_read_fields(spark):
+    df = read_fields(docs(spark, [d for d, _, _ in READ]), "d", {"x": "a", "y": "b"})
+    found = [(r["x"], r["y"]) for r in df.orderBy("i").collect()]
+    assert found == [(x, y) for _, x, y in READ]
+
+
+def test_filters_on_fields_do_not_parse_again(spark):
+    df = read_fields(docs(spark, ["{}"]), "d", {"x": "a", "y": "b"}).where("x = '1' AND y = '2'").select("x", "y")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ('{"s":{"value":"old"}}', {"s": {"value": "new"}}),
+        ('{"s":{"value":"old","by":"me"},"t":[1,{"u":null}]}', {"s": {"value": "new", "by": "me"}, "t": [1, {"u": None}]}),
+        ('{"s":{"value":null}}', {"s": {"value": "new"}}),
+        ('{"s":{"by":"me"}}', {"s": {"by": "me", "value": "new"}}),
+        ('{"t":{"value":"x"}}', {"t": {"value": "x"}}),
+        ('{"s":{"value":"old"},"n":5,"z":null}', {"s": {"value": "new"}, "n": 5, "z": None}),
+        ("{}", {}),
+        (None, None),
+    ],
+)
+def test_set_value(spark, before, after):
+    got = docs(spark, [before]).select(set_value(F.col("d"), "s", F.lit("new"))).first()[0]
+    assert (None if got is None else json.loads(got)) == after
+
+
+def test_set_value_quotes(spark):
+    got = docs(spark, ['{"s":{"value":1}}']).select(set_value(F.col("d"), "s", F.lit('a "b" \\c'))).first()[0]
+    assert json.loads(got) == {"s": {"value": 'a "b" \\c'}}
+
+
+def test_set_value_leaves_text_without_the_field_alone(spark):
+    text = '{ "t" : {"value": 1.50} }'
+    assert docs(spark, [text]).select(set_value(F.col("d"), "s", F.lit("new"))).first()[0] == text
+
+
+@pytest.mark.parametrize(
+    "left, right, after",
+    [
+        ('{"a":{"value":1,"k":2},"b":{"value":3}}', '{"a":{"value":9}}', {"a": {"value": 9}, "b": {"value": 3}}),
+        ('{"a":{"value":1}}', '{"a":null}', {"a": None}),
+        ('{"a":{"value":1}}', '{"a":{"value":null}}', {"a": {"value": None}}),
+        ('{"a":1}', '{"b":[true,{"c":"d"}]}', {"a": 1, "b": [True, {"c": "d"}]}),
+        ('{"a":1}', "{}", {"a": 1}),
+        ("{}", '{"a":1}', {"a": 1}),
+        (None, '{"a":1}', None),
+        ('{"a":1}', None, None),
+    ],
+)
+def test_merge(spark, left, right, after):
+    df = spark.createDataFrame([(left, right)], "l string, r string")
+    got = df.select(merge(F.col("l"), F.col("r"))).first()[0]
+    assert (None if got is None else json.loads(got)) == after
+
+
+def test_merge_of_some_fields(spark):
+    df = spark.createDataFrame([('{"a":1,"b":2}', '{"a":7,"b":8,"c":9}')], "l string, r string")
+    assert json.loads(df.select(merge(F.col("l"), F.col("r"), ("b", "x"))).first()[0]) == {"a": 1, "b": 8}
+
+
+def test_message_text_takes_null_as_empty(spark):
+    df = spark.createDataFrame([("1", "n"), (None, "n"), ("1", None), (None, None)], "a string, b string")
+    assert [r[0] for r in df.select(message_text("T: ", "a", "b")).collect()] == ["T: 1 n", "T:  n", "T: 1 ", "T:  "]

@@ -1,0 +1,60 @@
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from casebridge.functions.ids import chunk, expand, number_rows, uid, uuid_of
+
+
+@pytest.fixture(autouse=True)
+def many_partitions(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_numbers_are_dense_and_in_order(spark):
+    df = spark.range(1000).select(F.xxhash64("id").alias("k"), "id").repartition(7)
+    rows = number_rows(df, ["k"]).orderBy("k").collect()
+    assert [r["first_rank"] for r in rows] == list(range(1, 1001))
+
+
+def test_blocks_do_not_overlap(spark):
+    df = spark.range(500).select((F.col("id") % 37).alias("a"), "id", (F.col("id") % 5).alias("copies")).repartition(5)
+    rows = number_rows(df, ["a", "id"], size="copies").orderBy("a", "id").collect()
+    expected = 1
+    for r in rows:
+        assert r["first_rank"] == expected
+        expected += r["copies"]
+
+
+def test_no_rows(spark):
+    assert number_rows(spark.range(0), ["id"]).collect() == []
+
+
+def test_numbers_repeat(spark):
+    df = spark.range(300).select(F.xxhash64("id").alias("k"))
+    assert number_rows(df, ["k"]).exceptAll(number_rows(df.repartition(3), ["k"])).isEmpty()
+
+
+def test_chunks_cover_each_copy_once(spark):
+    df = spark.createDataFrame([(1, 1, 25), (2, 26, 0), (3, 26, 1), (4, 27, 10)], "k int, first_rank bigint, copies bigint")
+    pieces = chunk(df, 10)
+    assert pieces.agg(F.max("copies")).first()[0] == 10
+    assert [r["rank"] for r in expand(pieces).orderBy("rank").collect()] == list(range(1, 37))
+    assert expand(pieces).where("k = 1").count() == 25
+
+
+def test_uid(spark):
+    df = spark.range(2000000000, 2000005000).select(uid("E", F.col("id")).alias("u"))
+    assert df.distinct().count() == 5000
+    assert df.where(~F.col("u").rlike("^[A-Za-z][A-Za-z0-9]{10}$")).isEmpty()
+    assert spark.range(1).select(uid("M", F.lit(36**10 - 1))).first()[0] == "MZZZZZZZZZZ"
+    with pytest.raises(Exception, match="too large"):
+        spark.range(36**10, 36**10 + 1).select(uid("M", F.col("id"))).collect()
+
+
+def test_uuid(spark):
+    rows = spark.range(100).select(uuid_of(F.lit("run"), F.col("id"))).collect()
+    assert len({uuid.UUID(r[0]) for r in rows}) == 100
+    assert all(uuid.UUID(r[0]).version == 4 and str(uuid.UUID(r[0])) == r[0] for r in rows)

@@ -1,0 +1,108 @@
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from casebridge.operators.spread import Profile, profile, slices, spread_join
+from casebridge.operators.staging import stage
+
+
+def pair(spark):
+    left = spark.range(600).select(
+        F.col("id").alias("l"),
+        F.when(F.col("id") % 3 == 0, "hot")
+        .when(F.col("id") % 3 == 1, F.lit(None))
+        .otherwise(F.concat(F.lit("k"), (F.col("id") % 40).cast("string")))
+        .alias("k"),
+    )
+    right = spark.range(90).select(
+        F.col("id").alias("r"),
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 31 == 1, F.lit(None)).otherwise(
+            F.concat(F.lit("k"), F.col("id").cast("string"))
+        ).alias("k"),
+    )
+    return left, right
+
+
+def counted(df):
+    return Counter(map(tuple, df.select(sorted(df.columns)).collect()))
+
+
+def test_slices():
+    seen = Profile(1000, {"a": 400, "b": 100, "c": 30, None: 300})
+    assert slices(seen, 10, 1) == {"a": 4, None: 3}
+    assert slices(seen, 10, 350) == {"a": 2}
+    assert slices(seen, 2, 1) == {}
+    assert slices(None, 10, 1) == {}
+
+
+def test_profile_and_staging_see_the_same(spark):
+    left, _ = pair(spark)
+    seen = profile(left, "k")
+    assert (seen.rows, seen.counts["hot"], seen.counts[None]) == (600, 200, 200)
+    staged = stage(left, "left", ("k", "l"))
+    assert staged.rows == 600 and staged.profiles["k"] == seen
+    assert counted(staged.df) == counted(left)
+
+
+def test_empty_table_is_staged(spark):
+    staged = stage(spark.range(0).select("id", F.lit("x").alias("k")), "nothing", ("k",))
+    assert staged.rows == 0 and staged.df.count() == 0 and staged.profiles["k"].counts == {}
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_inner_join_with_both_sides_hot(spark, adaptive):
+    left, right = pair(spark)
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = spread_join(
+            left,
+            right,
+            "k",
+            hot_rows=10,
+            left_profile=profile(left, "k"),
+            right_profile=profile(right, "k"),
+            left_split=("l",),
+            right_split=("r",),
+        )
+        assert counted(got) == counted(left.join(right, "k"))
+        assert sorted(got.columns) == ["k", "l", "r"]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
+def test_one_sided_joins(spark, how):
+    left, right = pair(spark)
+    right = right.groupBy("k").agg(F.count("*").alias("n"))
+    got = spread_join(left, right, "k", how, hot_rows=10, left_profile=profile(left, "k"), left_split=("l",))
+    assert counted(got) == counted(left.join(right, "k", how))
+
+
+def test_join_on_more_columns(spark):
+    left, right = pair(spark)
+    left, right = left.withColumn("p", F.col("l") % 2), right.withColumn("p", F.col("r") % 2)
+    got = spread_join(
+        left, right, "k", also=("p",), hot_rows=5, left_profile=profile(left, "k"), right_profile=profile(right, "k")
+    )
+    assert counted(got) == counted(left.join(right, ["k", "p"]))
+
+
+def test_equal_rows_survive(spark):
+    left = spark.createDataFrame([("hot",)] * 50, "k string")
+    right = spark.createDataFrame([("hot",)] * 30, "k string")
+    got = spread_join(left, right, "k", hot_rows=3, left_profile=profile(left, "k"), right_profile=profile(right, "k"))
+    assert got.count() == 1500
+
+
+def test_a_hot_key_is_cut(spark):
+    from casebridge.operators.spread import _dealt
+
+    left, _ = pair(spark)
+    cut = slices(profile(left, "k"), 8, 10)
+    assert cut["hot"] == 3 and cut[None] == 3
+    dealt = _dealt(left, "k", "_l", "_r", [(v, n, 1) for v, n in cut.items()], ["l"], False)
+    largest = dealt.groupBy("k", "_l").count().agg(F.max("count")).first()[0]
+    assert largest < 110
