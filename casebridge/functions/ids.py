@@ -5,22 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casebridge.operators.staging import stage
+from casebridge.operators.staging import Staged, stage
 
 
-def number_rows(df: DataFrame, order: list[str], *, size: str | None = None, name: str = "numbered") -> DataFrame:
+def number_rows(
+    df: DataFrame, order: list[str], *, size: str | None = None, name: str = "numbered", profile: tuple[str, ...] = ()
+) -> Staged:
     """Add ``first_rank``: a dense number from 1 in the given order; a row takes ``size`` numbers (1 by default).
 
     Rows are range-partitioned and sorted, so each partition counts on its own and only one total per
     partition reaches the driver. The partitions are written before they are counted: bounds and
     positions then cannot change under a later reader. ``order`` must be unique up to equal rows.
+    The numbered rows come with the profiles of the written ones.
     """
     placed = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_slot", F.monotonically_increasing_id())
     )
-    rows = stage(placed, name).df.withColumn("_part", F.shiftrightunsigned("_slot", 33))
+    staged = stage(placed, name, profile)
+    rows = staged.df.withColumn("_part", F.shiftrightunsigned("_slot", 33))
     taken = F.count(F.lit(1)) if size is None else F.sum(size)
     totals = sorted(rows.groupBy("_part").agg(taken.alias("n")).collect())
     offsets, seen = [], 0
@@ -36,24 +40,20 @@ def number_rows(df: DataFrame, order: list[str], *, size: str | None = None, nam
         earlier = Window.partitionBy("_part").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
         before = F.coalesce(F.sum(size).over(earlier), F.lit(0))
     # One row per range partition, so the broadcast is bounded by the shuffle width.
-    return (
+    numbered = (
         rows.withColumn("_before", before)
         .join(F.broadcast(table), "_part")
         .withColumn("first_rank", (F.col("_offset") + F.col("_before") + 1).cast("bigint"))
         .drop("_slot", "_part", "_offset", "_before")
     )
+    return Staged(numbered, staged.rows, staged.profiles)
 
 
 def chunk(df: DataFrame, rows: int) -> DataFrame:
-    """Split (first_rank, copies) rows into pieces of ``rows`` copies at most."""
-    start = F.explode(F.sequence(F.lit(0), F.col("copies") - 1, F.lit(rows).cast("bigint")))
-    return (
-        df.where("copies > 0")
-        .withColumn("_start", start)
-        .withColumn("first_rank", F.col("first_rank") + F.col("_start"))
-        .withColumn("copies", F.least(F.lit(rows).cast("bigint"), F.col("copies") - F.col("_start")))
-        .drop("_start")
-    )
+    """Split rows of many ``copies`` into pieces of ``rows`` copies at most, told apart by ``piece``."""
+    width = F.lit(rows).cast("bigint")
+    pieces = df.where("copies > 0").withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("copies") - 1, width)))
+    return pieces.withColumn("copies", F.least(width, F.col("copies") - F.col("piece")))
 
 
 def expand(df: DataFrame) -> DataFrame:

@@ -28,8 +28,13 @@ def stage_blocks(links: DataFrame, cfg: TransferConfig) -> Staged:
         *key_names(cfg),
         "copies",
     )
-    numbered = number_rows(rows, ["event_id", "enrolment_id", "person_id"], size="copies", name="transfer_order")
-    return stage(chunk(numbered, cfg.copy_chunk), "transfer_blocks", ("event_id", "enrolment_facility_id"))
+    return number_rows(
+        chunk(rows, cfg.copy_chunk),
+        ["event_id", "enrolment_id", "person_id", "piece"],
+        size="copies",
+        name="transfer_blocks",
+        profile=("event_id",),
+    )
 
 
 def is_waiting_link() -> Column:

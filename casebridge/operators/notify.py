@@ -119,9 +119,10 @@ def message_rows(requests: DataFrame, told: DataFrame, cfg: TransferConfig) -> D
     """
     # One request row is up to copy_chunk requests.
     hot_rows = max(1, cfg.hot_key_rows // cfg.copy_chunk)
-    placed = number_rows(told, ["facility_id", "user_id"], name="recipient_order")
-    users = stage(placed.withColumnRenamed("first_rank", "place"), "recipients", ("facility_id",))
-    facilities = users.df.groupBy("facility_id").agg(
+    recipient_order = ["facility_id", "user_id"]
+    users = number_rows(told, recipient_order, name="recipients", profile=("facility_id",))
+    placed = users.df.withColumnRenamed("first_rank", "place")
+    facilities = placed.groupBy("facility_id").agg(
         F.count(F.lit(1)).alias("users"), F.min("place").alias("first_place")
     )
     asked = stage(requests, "requests", ("facility_id",))
@@ -135,8 +136,8 @@ def message_rows(requests: DataFrame, told: DataFrame, cfg: TransferConfig) -> D
     ).withColumn("size", F.col("copies") * F.col("users"))
     numbered = number_rows(answered, ["call", "request_rank"], size="size", name="request_order")
     sent = spread_join(
-        numbered,
-        users.df,
+        numbered.df,
+        placed,
         "facility_id",
         hot_rows=hot_rows,
         left_profile=asked.profiles["facility_id"],
