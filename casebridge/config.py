@@ -76,6 +76,8 @@ class TransferConfig:
     def __post_init__(self):
         if len(self.match_keys) < 2:
             raise ValueError("two match keys at least: who the person is, and one to confirm it")
+        if self.source_stage_uid in (self.treatment_stage_uid, self.lab_stage_uid):
+            raise ValueError("copies go to other stages than the one they come from")
         if self.lab_target not in ("enrolment", "own_copy"):
             raise ValueError(f"lab_target: {self.lab_target!r}")
 

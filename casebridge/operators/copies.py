@@ -46,6 +46,10 @@ def transfer_rows(blocks: Staged) -> DataFrame:
     return expand(blocks.df)
 
 
+def _role(name: str, back: int, stage: Column) -> Column:
+    return F.struct(F.lit(name).alias("name"), F.lit(back).alias("back"), stage.alias("stage_id"))
+
+
 def insert_rows(t: Tables, cfg: TransferConfig, run: Run, blocks: Staged) -> DataFrame:
     """Two new events per transfer, ``rank`` and ``role`` in front of the event columns.
 
@@ -53,9 +57,8 @@ def insert_rows(t: Tables, cfg: TransferConfig, run: Run, blocks: Staged) -> Dat
     Both copies come from one pass over them.
     """
     events = t.programstageinstance.where(F.col("programstageid") == stage_id(t, cfg.source_stage_uid))
-    documents = (
-        event_fields(events, cfg).where(is_waiting(cfg)).select(F.expr("bigint(programstageinstanceid)").alias("event_id"), *EVENT_COLUMNS)
-    )
+    event_id = F.col("programstageinstanceid").cast("bigint").alias("event_id")
+    documents = event_fields(events, cfg).where(is_waiting(cfg)).select(event_id, *EVENT_COLUMNS)
     copied = spread_join(
         blocks.df.select("event_id", "enrolment_id", "first_rank", "copies"),
         documents,
@@ -67,8 +70,8 @@ def insert_rows(t: Tables, cfg: TransferConfig, run: Run, blocks: Staged) -> Dat
     )
     roles = F.explode(
         F.array(
-            F.struct(F.lit("treatment").alias("name"), F.lit(1).alias("back"), stage_id(t, cfg.treatment_stage_uid).alias("stage_id")),
-            F.struct(F.lit("lab").alias("name"), F.lit(0).alias("back"), stage_id(t, cfg.lab_stage_uid).alias("stage_id")),
+            _role("treatment", 1, stage_id(t, cfg.treatment_stage_uid)),
+            _role("lab", 0, stage_id(t, cfg.lab_stage_uid)),
         )
     )
     rows = expand(copied).withColumn("_role", roles)
@@ -97,4 +100,9 @@ def insert_rows(t: Tables, cfg: TransferConfig, run: Run, blocks: Staged) -> Dat
 
 
 def stage_inserts(t: Tables, cfg: TransferConfig, run: Run, blocks: Staged) -> Staged:
-    return stage(insert_rows(t, cfg, run, blocks), "inserts", ("programinstanceid",))
+    return stage(insert_rows(t, cfg, run, blocks), "inserts", (target_column(cfg),))
+
+
+def target_column(cfg: TransferConfig) -> str:
+    """What late lab results find their lab events by."""
+    return LINEAGE if cfg.lab_target == "own_copy" else "programinstanceid"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from casebridge.config import ACTIVE, COMPLETED, TRANSFERRED, TransferConfig
 from casebridge.functions.fields import merge, set_value
-from casebridge.operators.copies import LINEAGE
+from casebridge.operators.copies import target_column
 from casebridge.operators.link import event_fields, has_result, is_late_lab, is_waiting, key_names, stage_id
 from casebridge.operators.spread import profile, spread_join
 from casebridge.operators.staging import Staged
@@ -27,9 +27,9 @@ def lab_events(links: DataFrame, cfg: TransferConfig) -> DataFrame:
     if cfg.require_program:
         late = late.where("in_program")
     # Everything grouped by belongs to the event.
-    return late.groupBy(
-        "event_id", "executed", "facility_id", (F.col("transfer_status") != TRANSFERRED).alias("just_marked"), *key_names(cfg)
-    ).agg(F.min("enrolment_id").alias("enrolment_id"))
+    was_waiting = (F.col("transfer_status") != TRANSFERRED).alias("just_marked")
+    per_event = late.groupBy("event_id", "executed", "facility_id", was_waiting, *key_names(cfg))
+    return per_event.agg(F.min("enrolment_id").alias("enrolment_id"))
 
 
 def complete_lab_events(lab: DataFrame) -> DataFrame:
@@ -61,10 +61,9 @@ def lab_targets(t: Tables, cfg: TransferConfig) -> DataFrame:
 
 
 def _targets(events: DataFrame, cfg: TransferConfig) -> DataFrame:
-    if cfg.lab_target == "own_copy":
-        key = F.col(LINEAGE) if LINEAGE in events.columns else F.lit(None)
-    else:
-        key = F.col("programinstanceid")
+    # A table no such run has written yet has no lineage.
+    column = target_column(cfg)
+    key = F.col(column) if column in events.columns else F.lit(None)
     return events.select(
         F.col("programstageinstanceid").cast("bigint").alias("lab_event_id"),
         key.cast("bigint").alias("target_key"),
@@ -97,24 +96,20 @@ def merge_lab(t: Tables, cfg: TransferConfig, inserts: Staged, lab: DataFrame) -
         .select("target_key", F.when(F.col("just_marked"), marked).otherwise(F.col("source")).alias("source"))
     )
     old = lab_targets(t, cfg)
-    new = _targets(inserts.df.where("role = 'lab'"), cfg)
-
-    def merged(targets: DataFrame, seen) -> DataFrame:
-        pairs = spread_join(
-            targets,
-            sources,
-            "target_key",
-            hot_rows=cfg.hot_key_rows,
-            left_profile=seen,
-            left_split=("lab_event_id",),
-        )
-        return pairs.select(
-            F.col("lab_event_id").alias("event_id"),
-            merge(F.col("document"), F.col("source"), cfg.merge_fields).alias("new_document"),
-            "executed",
-            "facility_id",
-            "status",
-        )
-
-    new_profile = inserts.profiles["programinstanceid"] if cfg.lab_target == "enrolment" else None
-    return merged(old, profile(old, "target_key")).unionByName(merged(new, new_profile))
+    targets = old.unionByName(_targets(inserts.df.where("role = 'lab'"), cfg))
+    seen = profile(old, "target_key") + inserts.profiles[target_column(cfg)]
+    pairs = spread_join(
+        targets,
+        sources,
+        "target_key",
+        hot_rows=cfg.hot_key_rows,
+        left_profile=seen,
+        left_split=("lab_event_id",),
+    )
+    return pairs.select(
+        F.col("lab_event_id").alias("event_id"),
+        merge(F.col("document"), F.col("source"), cfg.merge_fields).alias("new_document"),
+        "executed",
+        "facility_id",
+        "status",
+    )

@@ -29,6 +29,10 @@ def field_names(cfg: TransferConfig) -> list[str]:
     return [*key_names(cfg), "request", "transfer_status", "lab", "target_uid"]
 
 
+def program_id(t: Tables, cfg: TransferConfig) -> Column:
+    return t.program.where(F.col("uid") == cfg.program_uid).select("programid").scalar()
+
+
 def event_fields(events: DataFrame, cfg: TransferConfig) -> DataFrame:
     """Add the text values the jobs look at."""
     keys = {f"key_{i}": k.event_field for i, k in enumerate(cfg.match_keys)}
@@ -101,11 +105,19 @@ def needs_match(cfg: TransferConfig) -> Column:
 
 
 def attribute_lookup(t: Tables, cfg: TransferConfig) -> DataFrame:
-    """Attribute values of the match keys, with the attribute's uid. An unknown uid gives no rows."""
-    wanted = t.trackedentityattribute.where(F.col("uid").isin(*{k.attribute_uid for k in cfg.match_keys}))
-    return t.trackedentityattributevalue.join(wanted, "trackedentityattributeid").select(
-        F.col("trackedentityinstanceid").alias("person_id"), F.col("uid").alias("attribute_uid"), "value"
-    )
+    """Attribute values of the match keys, with the attribute's uid. An unknown uid gives no rows.
+
+    The ids come from scalar subqueries: values are filtered where they are read, and nothing is
+    shuffled on the attribute, of which there are only a few.
+    """
+    uid = F.lit(None).cast("string")
+    for key in cfg.match_keys:
+        known = t.trackedentityattribute.where(F.col("uid") == key.attribute_uid)
+        wanted = known.select("trackedentityattributeid").scalar()
+        uid = F.when(F.col("trackedentityattributeid") == wanted, key.attribute_uid).otherwise(uid)
+    return t.trackedentityattributevalue.select(
+        F.col("trackedentityinstanceid").alias("person_id"), uid.alias("attribute_uid"), "value"
+    ).where("attribute_uid IS NOT NULL")
 
 
 def stage_lookup(t: Tables, cfg: TransferConfig) -> Staged:
@@ -203,13 +215,12 @@ def known_holders(t: Tables, cfg: TransferConfig, lookup: Staged) -> DataFrame:
 
 def active_enrolments(t: Tables, cfg: TransferConfig) -> DataFrame:
     enrolled = t.programinstance.where(~F.col("deleted") & (F.col("status") == ACTIVE))
-    program = t.program.where(F.col("uid") == cfg.program_uid).select("programid", F.lit(True).alias("in_program"))
-    return enrolled.join(program, "programid", "left").select(
+    return enrolled.select(
         F.col("trackedentityinstanceid").alias("person_id"),
         F.col("programinstanceid").cast("bigint").alias("enrolment_id"),
         F.col("programid").alias("program_id"),
         F.col("organisationunitid").alias("enrolment_facility_id"),
-        F.coalesce("in_program", F.lit(False)).alias("in_program"),
+        F.coalesce(F.col("programid") == program_id(t, cfg), F.lit(False)).alias("in_program"),
     )
 
 

@@ -35,25 +35,30 @@ class Messages:
 
 def recipients(t: Tables, cfg: TransferConfig) -> DataFrame:
     """(facility_id, user_id): members of the notified group per facility, repeated memberships kept."""
-    group = t.usergroup.where(F.col("uid") == cfg.notify_group_uid).select("usergroupid")
+    group_id = t.usergroup.where(F.col("uid") == cfg.notify_group_uid).select("usergroupid").scalar()
     members = (
-        t.usergroupmembers.join(group, "usergroupid")
+        t.usergroupmembers.where(F.col("usergroupid") == group_id)
         .join(t.users.select("userid"), "userid")
         .select(F.col("userid").alias("userinfoid"))
         .join(t.userinfo.select("userinfoid"), "userinfoid")
     )
     places = t.usermembership.select("userinfoid", "organisationunitid")
-    found = spread_join(
+    known = spread_join(
         places,
+        t.organisationunit.select("organisationunitid"),
+        "organisationunitid",
+        hot_rows=cfg.hot_key_rows,
+        left_profile=profile(places, "organisationunitid"),
+        left_split=("userinfoid",),
+    )
+    found = spread_join(
+        known,
         members,
         "userinfoid",
         hot_rows=cfg.hot_key_rows,
         left_profile=profile(places, "userinfoid"),
         left_split=("organisationunitid",),
-    )
-    found = found.join(t.organisationunit.select("organisationunitid"), "organisationunitid").select(
-        F.col("organisationunitid").alias("facility_id"), F.col("userinfoid").alias("user_id")
-    )
+    ).select(F.col("organisationunitid").alias("facility_id"), F.col("userinfoid").alias("user_id"))
     return found.distinct() if cfg.distinct_recipients else found
 
 

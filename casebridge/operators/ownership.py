@@ -6,19 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebridge.config import TransferConfig
-from casebridge.operators.link import all_matched, is_ownership_request, join_by_first_key, known_holders
+from casebridge.operators.link import all_matched, is_ownership_request, join_by_first_key, known_holders, program_id
 from casebridge.operators.spread import profile, spread_join
 from casebridge.operators.staging import Staged, stage
 from casebridge.sources.tables import Tables
 
 
-def _program_id(t: Tables, cfg: TransferConfig):
-    return t.program.where(F.col("uid") == cfg.program_uid).select("programid").scalar()
-
-
 def stage_owned(t: Tables, cfg: TransferConfig, lookup: Staged) -> Staged:
     """First key value -> person and the facility that owns the person in the program."""
-    owners = t.trackedentityprogramowner.where(F.col("programid") == _program_id(t, cfg)).select(
+    owners = t.trackedentityprogramowner.where(F.col("programid") == program_id(t, cfg)).select(
         F.col("trackedentityinstanceid").alias("person_id"), F.col("organisationunitid").alias("owner_facility_id")
     )
     found = spread_join(
@@ -81,7 +77,7 @@ def update_ownership(
         F.col("trackedentityinstanceid").alias("person_id"), F.col("programid").alias("program_id")
     )
     if cfg.owner_program_only:
-        owners = owners.where(F.col("program_id") == _program_id(t, cfg))
+        owners = owners.where(F.col("program_id") == program_id(t, cfg))
     return spread_join(
         owners,
         picks,

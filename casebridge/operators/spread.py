@@ -8,6 +8,7 @@ where rows go; the result is that of the plain join.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 from math import ceil
 
@@ -30,6 +31,12 @@ class Profile:
     rows: int
     counts: dict
 
+    def __add__(self, other: Profile) -> Profile:
+        """Of both tables together."""
+        total = Counter(self.counts)
+        total.update(other.counts)
+        return Profile(self.rows + other.rows, dict(total))
+
 
 def top_values(column: str) -> Column:
     return F.expr(f"approx_top_k(`{column}`, {LISTED}, {TRACKED})")

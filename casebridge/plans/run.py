@@ -92,13 +92,7 @@ class TransferRun:
 
     @cached_property
     def status_changes(self) -> DataFrame:
-        """Marks and completions in one row per event; a completion overrides the mark's status."""
-        completed = lab.complete_lab_events(self.lab)
-        both = self.marks.unionByName(completed, allowMissingColumns=True)
-        # COMPLETED is the larger of the two statuses.
-        return both.groupBy("event_id").agg(
-            F.max("new_status").alias("new_status"), F.max("new_transfer_status").alias("new_transfer_status")
-        )
+        return status.status_changes(self.links.df, self.lab, self.cfg)
 
     @cached_property
     def merged(self) -> Staged:
@@ -174,11 +168,8 @@ class TransferRun:
     @cached_property
     def event_changes(self) -> DataFrame:
         """(event_id, new_status, new_transfer_status, new_document), one row per changed event."""
-        narrow = (
-            self.status_changes.unionByName(self.flags, allowMissingColumns=True)
-            .groupBy("event_id")
-            .agg(F.max("new_status").alias("new_status"), F.max("new_transfer_status").alias("new_transfer_status"))
-        )
+        # Marked and completed events are no longer waiting, so none of them is flagged.
+        narrow = self.status_changes.unionByName(self.flags, allowMissingColumns=True)
         return narrow.join(self.merged.df.select("event_id", "new_document"), "event_id", "full")
 
     def _may_change(self) -> Column:
