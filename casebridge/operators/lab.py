@@ -74,8 +74,8 @@ def _targets(events: DataFrame, cfg: TransferConfig) -> DataFrame:
     ).where("target_key IS NOT NULL")
 
 
-def merge_lab(t: Tables, cfg: TransferConfig, inserts: Staged, lab: DataFrame) -> DataFrame:
-    """Change set (event_id, new_document, ...) for lab events, the copies just made included."""
+def merge_lab(t: Tables, cfg: TransferConfig, inserts: Staged | None, lab: DataFrame) -> DataFrame:
+    """Change set (event_id, new_document, ...) for lab events, copies not yet in the table included."""
     events = t.programstageinstance.where(F.col("programstageid") == stage_id(t, cfg.source_stage_uid))
     # The documents of events that can be in ``lab``: late results, and empty ones of waiting events.
     possible = is_late_lab(cfg) | (is_waiting(cfg) & (F.col("lab") == ""))
@@ -95,9 +95,11 @@ def merge_lab(t: Tables, cfg: TransferConfig, inserts: Staged, lab: DataFrame) -
         .join(documents, "event_id")
         .select("target_key", F.when(F.col("just_marked"), marked).otherwise(F.col("source")).alias("source"))
     )
-    old = lab_targets(t, cfg)
-    targets = old.unionByName(_targets(inserts.df.where("role = 'lab'"), cfg))
-    seen = profile(old, "target_key") + inserts.profiles[target_column(cfg)]
+    targets = lab_targets(t, cfg)
+    seen = profile(targets, "target_key")
+    if inserts is not None:
+        targets = targets.unionByName(_targets(inserts.df.where("role = 'lab'"), cfg))
+        seen += inserts.profiles[target_column(cfg)]
     pairs = spread_join(
         targets,
         sources,

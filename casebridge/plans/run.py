@@ -47,7 +47,9 @@ def start_run(t: Tables, run_id: str, run_ts: datetime, messages: notify.Message
 
 
 class TransferRun:
-    def __init__(self, t: Tables, cfg: TransferConfig, run: Run):
+    """``run`` is needed from the copies on."""
+
+    def __init__(self, t: Tables, cfg: TransferConfig, run: Run | None = None):
         self.t, self.cfg, self.run = t, cfg, run
 
     # ---- linkage, shared by all steps ----

@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from tiny import CFG
 
 from casebridge.config import Run
-from casebridge.operators.changes import merge_into
+from casebridge.operators.changes import apply_event_changes, merge_into
+from casebridge.operators.link import event_fields, field_names
+from casebridge.operators.staging import stage
+from casebridge.plans import jobs
 from casebridge.plans.oracle import FINAL, STEPS, _complete
 from casebridge.plans.run import TransferRun, end_state, start_run
 from casebridge.sources import fixtures
@@ -63,6 +66,35 @@ def test_a_second_run_copies_nothing(spark, tables, first, tmp_path):
     assert again.ownership_candidates.select("person_id").distinct().count() == 23
 
 
+def test_the_run_is_its_jobs_one_after_the_other(first):
+    """Each job on the table the one before leaves, as separate statements would."""
+
+    def same(a, b):
+        assert a.count() > 0 and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+    def changed(t, changes, name):
+        for column in ("new_status", "new_transfer_status", "new_document"):
+            if column not in changes.columns:
+                changes = changes.withColumn(column, F.lit(None).cast("string"))
+        events = apply_event_changes(t.programstageinstance, changes, CFG.status_field)
+        return t.but(programstageinstance=stage(events, name).df)
+
+    t = first.t
+    made = jobs.transfer_events(t, CFG, RUN)
+    copied = t.but(programstageinstance=stage(t.programstageinstance.unionByName(made.inserts), "copied").df)
+    marked = changed(copied, jobs.mark_transferred(copied, CFG), "marked")
+    late = jobs.transfer_lab(marked, CFG)
+    completed = changed(marked, late.completed, "completed")
+    merged = changed(completed, late.merged.select("event_id", "new_document"), "merged")
+    same(jobs.update_ownership(merged, CFG), first.ownership)
+    same(late.notices, first.notices.where("call = 3"))
+    last = changed(merged, jobs.triage_events(merged, CFG), "last")
+    plain = [c for c in last.programstageinstance.columns if c != "eventdatavalues"]
+    same(event_fields(last.programstageinstance, CFG).select(*plain, *field_names(CFG)),
+         event_fields(first.events, CFG).select(*plain, *field_names(CFG)))
+    assert jobs.link_events(t, CFG, require_program=True).count() < jobs.link_events(t, CFG).count()
+
+
 def test_publish(spark, tables, first, tmp_path):
     out = str(tmp_path)
     assert latest(tables, out) is tables and published_messages(spark, out) is None
