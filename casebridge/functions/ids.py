@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,13 +30,10 @@ def number_rows(
     rows = staged.df.withColumn("_part", F.shiftrightunsigned("_slot", 33))
     taken = F.count(F.lit(1)) if size is None else F.sum(size)
     totals = sorted(rows.groupBy("_part").agg(taken.alias("n")).collect())
-    offsets, seen = [], 0
-    for part, n in totals:
-        offsets.append((part, seen))
-        seen += n
-    if not offsets:
-        offsets = [(0, 0)]
-    table = df.sparkSession.createDataFrame(offsets, "_part bigint, _offset bigint")
+    sizes = [n for _, n in totals]
+    offsets = {"_part": [part for part, _ in totals], "_offset": list(accumulate(sizes, initial=0))[: len(sizes)]}
+    kinds = pa.schema([("_part", pa.int64()), ("_offset", pa.int64())])
+    table = df.sparkSession.createDataFrame(pa.table(offsets, schema=kinds))
     if size is None:
         before = F.col("_slot").bitwiseAND(F.lit((1 << 33) - 1))
     else:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from casebridge.config import COMPLETED, TRANSFERRED, Run, TransferConfig
 from casebridge.functions.fields import set_value
 from casebridge.functions.ids import chunk, expand, number_rows, uid
-from casebridge.operators.link import event_fields, is_waiting, key_names, stage_id
+from casebridge.operators.link import is_waiting, key_names, stage_id
 from casebridge.operators.spread import spread_join
 from casebridge.operators.staging import Staged, stage
 from casebridge.sources.tables import EVENT_COLUMNS, Tables
@@ -50,15 +50,13 @@ def _role(name: str, back: int, stage: Column) -> Column:
     return F.struct(F.lit(name).alias("name"), F.lit(back).alias("back"), stage.alias("stage_id"))
 
 
-def insert_rows(t: Tables, cfg: TransferConfig, run: Run, blocks: Staged) -> DataFrame:
+def insert_rows(t: Tables, cfg: TransferConfig, run: Run, queue: Staged, blocks: Staged) -> DataFrame:
     """Two new events per transfer, ``rank`` and ``role`` in front of the event columns.
 
     Only the linked, narrow rows and the documents of waiting events meet here, on the event id.
     Both copies come from one pass over them.
     """
-    events = t.programstageinstance.where(F.col("programstageid") == stage_id(t, cfg.source_stage_uid))
-    event_id = F.col("programstageinstanceid").cast("bigint").alias("event_id")
-    documents = event_fields(events, cfg).where(is_waiting(cfg)).select(event_id, *EVENT_COLUMNS)
+    documents = queue.df.where(F.col("at_source") & is_waiting(cfg)).select("event_id", "event.*")
     copied = spread_join(
         blocks.df.select("event_id", "enrolment_id", "first_rank", "copies"),
         documents,
@@ -99,8 +97,8 @@ def insert_rows(t: Tables, cfg: TransferConfig, run: Run, blocks: Staged) -> Dat
     return rows.select("rank", F.col("_role.name").alias("role"), *columns)
 
 
-def stage_inserts(t: Tables, cfg: TransferConfig, run: Run, blocks: Staged) -> Staged:
-    return stage(insert_rows(t, cfg, run, blocks), "inserts", (target_column(cfg),))
+def stage_inserts(t: Tables, cfg: TransferConfig, run: Run, queue: Staged, blocks: Staged) -> Staged:
+    return stage(insert_rows(t, cfg, run, queue, blocks), "inserts", (target_column(cfg),))
 
 
 def target_column(cfg: TransferConfig) -> str:

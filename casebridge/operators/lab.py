@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from casebridge.config import ACTIVE, COMPLETED, TRANSFERRED, TransferConfig
 from casebridge.functions.fields import merge, set_value
 from casebridge.operators.copies import target_column
-from casebridge.operators.link import event_fields, has_result, is_late_lab, is_waiting, key_names, stage_id
+from casebridge.operators.link import has_result, key_names, stage_id
 from casebridge.operators.spread import profile, spread_join
 from casebridge.operators.staging import Staged
 from casebridge.sources.tables import Tables
@@ -74,20 +74,11 @@ def _targets(events: DataFrame, cfg: TransferConfig) -> DataFrame:
     ).where("target_key IS NOT NULL")
 
 
-def merge_lab(t: Tables, cfg: TransferConfig, inserts: Staged | None, lab: DataFrame) -> DataFrame:
+def merge_lab(
+    t: Tables, cfg: TransferConfig, queue: Staged, inserts: Staged | None, lab: DataFrame
+) -> DataFrame:
     """Change set (event_id, new_document, ...) for lab events, copies not yet in the table included."""
-    events = t.programstageinstance.where(F.col("programstageid") == stage_id(t, cfg.source_stage_uid))
-    # The documents of events that can be in ``lab``: late results, and empty ones of waiting events.
-    possible = is_late_lab(cfg) | (is_waiting(cfg) & (F.col("lab") == ""))
-    documents = (
-        event_fields(events, cfg)
-        .withColumn("at_source", F.lit(True))
-        .where(possible)
-        .select(
-            F.col("programstageinstanceid").cast("bigint").alias("event_id"),
-            F.col("eventdatavalues").alias("source"),
-        )
-    )
+    documents = queue.df.select("event_id", F.col("event.eventdatavalues").alias("source"))
     marked = set_value(F.col("source"), cfg.status_field, F.lit(TRANSFERRED))
     # An event goes to one enrolment and an enrolment has one source: no key repeats here.
     sources = (

@@ -11,7 +11,7 @@ from casebridge.config import ACTIVE, COMPLETED, PERMANENT, TRANSFERRED, WAITING
 from casebridge.functions.fields import read_fields
 from casebridge.operators.spread import profile, spread_join
 from casebridge.operators.staging import Staged, stage
-from casebridge.sources.tables import Tables
+from casebridge.sources.tables import EVENT_COLUMNS, Tables
 
 # ---- the narrow view of an event ------------------------------------------------------------------
 
@@ -50,7 +50,7 @@ def event_fields(events: DataFrame, cfg: TransferConfig) -> DataFrame:
 
 
 def event_facts(events: DataFrame, t: Tables, cfg: TransferConfig) -> DataFrame:
-    """The columns every step works on; documents stay behind in the event table."""
+    """The columns every step works on, and the whole event in ``event``."""
     if cfg.skip_deleted_events:
         events = events.where(~F.coalesce("deleted", F.lit(False)))
     return event_fields(events, cfg).select(
@@ -60,6 +60,7 @@ def event_facts(events: DataFrame, t: Tables, cfg: TransferConfig) -> DataFrame:
         F.col("organisationunitid").alias("facility_id"),
         "status",
         *field_names(cfg),
+        F.struct(*EVENT_COLUMNS).alias("event"),
     )
 
 
@@ -130,13 +131,13 @@ def holders(lookup: DataFrame, cfg: TransferConfig, i: int) -> DataFrame:
     return of_key.select("person_id", F.col("value").alias(f"key_{i}"))
 
 
-def match_counts(facts: Staged, lookup: DataFrame, cfg: TransferConfig, where: Column | None = None) -> DataFrame:
+def match_counts(facts: Staged, lookup: DataFrame, cfg: TransferConfig) -> DataFrame:
     """Add ``n_i``: how many attribute values equal the event's key ``i`` (0 when none, or no key).
 
     Values are counted before the join, so a name many persons share stays one row, and each
     event stays one row too.
     """
-    found = facts.df if where is None else facts.df.where(where)
+    found = facts.df
     for i, key in enumerate(key_names(cfg)):
         counts = holders(lookup, cfg, i).groupBy(key).agg(F.count(F.lit(1)).alias(f"n_{i}"))
         found = spread_join(
@@ -155,11 +156,22 @@ def all_matched(cfg: TransferConfig) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"n_{i}") > 0 for i in range(len(cfg.match_keys))])
 
 
-def stage_matched(t: Tables, cfg: TransferConfig, lookup: Staged) -> Staged:
-    """Events some step may link, with their match counts."""
-    keys = (*key_names(cfg), "target_uid")
-    facts = stage(event_facts(t.programstageinstance, t, cfg).where(needs_match(cfg)), "event_facts", keys)
-    return Staged(stage(match_counts(facts, lookup.df, cfg), "matched").df, facts.rows, facts.profiles)
+def stage_queue(t: Tables, cfg: TransferConfig) -> Staged:
+    """Events some step may link, read and parsed once.
+
+    Those that may be copied or bring a late result keep the whole event, in a column of its own that
+    only these two steps read.
+    """
+    facts = event_facts(t.programstageinstance, t, cfg).where(needs_match(cfg))
+    source = F.col("at_source") & (is_waiting(cfg) | is_late_lab(cfg))
+    kept = facts.withColumn("event", F.when(source, F.col("event")))
+    return stage(kept, "queue", (*key_names(cfg), "target_uid"))
+
+
+def stage_matched(queue: Staged, cfg: TransferConfig, lookup: Staged) -> Staged:
+    """The queue without the whole events, with match counts."""
+    facts = Staged(queue.df.drop("event"), queue.rows, queue.profiles)
+    return Staged(stage(match_counts(facts, lookup.df, cfg), "matched").df, queue.rows, queue.profiles)
 
 
 def match_pairs(facts: Staged, lookup: Staged, cfg: TransferConfig, keys: list[int]) -> DataFrame:

@@ -49,9 +49,11 @@ def mark_transferred(t: Tables, cfg: TransferConfig) -> DataFrame:
 
 def transfer_lab(t: Tables, cfg: TransferConfig) -> LabResult:
     """Change sets and notices for late results of events transferred earlier."""
-    links = TransferRun(t, cfg).links.df.where(F.col("transfer_status") == TRANSFERRED)
+    steps = TransferRun(t, cfg)
+    links = steps.links.df.where(F.col("transfer_status") == TRANSFERRED)
     late = stage(lab.lab_events(links, cfg), "lab_events").df
-    return LabResult(lab.complete_lab_events(late), lab.merge_lab(t, cfg, None, late), notify.lab_notices(late))
+    merged = lab.merge_lab(t, cfg, steps.queue, None, late)
+    return LabResult(lab.complete_lab_events(late), merged, notify.lab_notices(late))
 
 
 def update_ownership(t: Tables, cfg: TransferConfig) -> DataFrame:

@@ -167,7 +167,8 @@ FINAL = {
     "complete_lab_events": "SELECT event_id, 'COMPLETED' AS new_status FROM late",
     "merge_lab": f"SELECT event_id, {FIELDS}, lab_only FROM merged",
     "json_set": "SELECT event_id, id_number, full_name, request, "
-    "CASE WHEN transfer_status IS NOT NULL THEN 'Check Name' END AS transfer_status, lab, target_uid, lab_only FROM ev0",
+    "CASE WHEN transfer_status IS NOT NULL THEN 'Check Name' END AS transfer_status, lab, target_uid, lab_only "
+    "FROM ev0",
     "json_merge": "SELECT event_id, id_number, full_name, request, transfer_status, uid AS lab, target_uid, lab_only, "
     "status AS extra FROM ev0",
     "apply_changes": "SELECT event_id, coalesce(new_status, status) AS status, "

@@ -1,7 +1,7 @@
 """A whole run: copy, mark, late lab results, ownership, triage, notices; each step on the one before.
 
-Steps share one narrow view of the events and hand over change sets. Documents are read where rows are
-copied or merged, and once more when the new event table is written; nothing rewrites the table in
+Steps share one narrow view of the events and hand over change sets. The event table is read once for all
+of them, but for its lab events, and once more when the new table is written; nothing rewrites it in
 between. Every property is computed on first use, so a caller can stop at any step.
 """
 
@@ -58,9 +58,13 @@ class TransferRun:
     def lookup(self) -> Staged:
         return link.stage_lookup(self.t, self.cfg)
 
+    @cached_property
+    def queue(self) -> Staged:
+        return link.stage_queue(self.t, self.cfg)
+
     @cached_property
     def matched(self) -> Staged:
-        return link.stage_matched(self.t, self.cfg, self.lookup)
+        return link.stage_matched(self.queue, self.cfg, self.lookup)
 
     @cached_property
     def destinations(self) -> Staged:
@@ -80,7 +84,7 @@ class TransferRun:
 
     @cached_property
     def inserts(self) -> Staged:
-        return copies.stage_inserts(self.t, self.cfg, self.run, self.blocks)
+        return copies.stage_inserts(self.t, self.cfg, self.run, self.queue, self.blocks)
 
     # ---- marks and late lab results ----
 
@@ -98,7 +102,7 @@ class TransferRun:
 
     @cached_property
     def merged(self) -> Staged:
-        return stage(lab.merge_lab(self.t, self.cfg, self.inserts, self.lab), "merged")
+        return stage(lab.merge_lab(self.t, self.cfg, self.queue, self.inserts, self.lab), "merged")
 
     @cached_property
     def after_lab(self) -> Staged:

@@ -43,7 +43,10 @@ def test_filters_on_fields_do_not_parse_again(spark):
     "before, after",
     [
         ('{"s":{"value":"old"}}', {"s": {"value": "new"}}),
-        ('{"s":{"value":"old","by":"me"},"t":[1,{"u":null}]}', {"s": {"value": "new", "by": "me"}, "t": [1, {"u": None}]}),
+        (
+            '{"s":{"value":"old","by":"me"},"t":[1,{"u":null}]}',
+            {"s": {"value": "new", "by": "me"}, "t": [1, {"u": None}]},
+        ),
         ('{"s":{"value":null}}', {"s": {"value": "new"}}),
         ('{"s":{"by":"me"}}', {"s": {"by": "me", "value": "new"}}),
         ('{"t":{"value":"x"}}', {"t": {"value": "x"}}),

@@ -45,7 +45,9 @@ DEFAULTS = {
 }
 
 
-def document(id_number=None, name=None, request="EVENT_TRANSFER", state="NOTTRANSFERRED", lab=None, target=None, **more):
+def document(
+    id_number=None, name=None, request="EVENT_TRANSFER", state="NOTTRANSFERRED", lab=None, target=None, **more
+):
     values = {
         CFG.match_keys[0].event_field: id_number,
         CFG.match_keys[1].event_field: name,
@@ -77,7 +79,9 @@ class World:
     def __init__(self):
         self.rows = {name: list(DEFAULTS.get(name, [])) for name in SCHEMAS}
 
-    def person(self, person, id_number=None, name=None, program=1, facility=1, status="ACTIVE", deleted=False, enrol=True):
+    def person(
+        self, person, id_number=None, name=None, program=1, facility=1, status="ACTIVE", deleted=False, enrol=True
+    ):
         self.rows["trackedentityinstance"].append((person,))
         if id_number is not None:
             self.rows["trackedentityattributevalue"].append((person, 11, id_number))
