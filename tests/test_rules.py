@@ -438,11 +438,16 @@ RULES = {name: check for name, check in globals().items() if name.startswith("ru
 @pytest.fixture(scope="module")
 def outcomes(spark):
     """Each rule is a few tiny Spark jobs that mostly wait, so they run side by side."""
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    # Other tests cover adaptive execution and generated code.
+    fast = {"spark.sql.shuffle.partitions": "2"}
+    fast |= dict.fromkeys(["spark.sql.adaptive.enabled", "spark.sql.codegen.wholeStage"], "false")
+    before = {name: spark.conf.get(name) for name in fast}
+    for name, value in fast.items():
+        spark.conf.set(name, value)
     with ThreadPoolExecutor(8) as pool:
         yield {name: pool.submit(check, spark) for name, check in RULES.items()}
-    spark.conf.set("spark.sql.shuffle.partitions", before)
+    for name, value in before.items():
+        spark.conf.set(name, value)
 
 
 @pytest.mark.parametrize("rule", RULES)
