@@ -5,6 +5,10 @@ from __future__ import annotations
 import json
 from datetime import datetime
 
+import pyarrow as pa
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
 from casebridge.config import FULL_NAME, ID_NUMBER, Run, TransferConfig
 from casebridge.plans.run import TransferRun
 from casebridge.sources.tables import Tables
@@ -115,11 +119,10 @@ class World:
     def tables(self, spark) -> Tables:
         made = {}
         for name, schema in SCHEMAS.items():
-            rows = self.rows[name]
-            if name == "programstageinstance":
-                columns = [c.split()[0] for c in schema.split(", ")]
-                rows = [tuple(r.get(c) for c in columns) for r in rows]
-            made[name] = spark.createDataFrame(rows, schema)
+            kinds = StructType.fromDDL(schema)
+            rows = [r if isinstance(r, dict) else dict(zip(kinds.names, r)) for r in self.rows[name]]
+            # From Arrow it is a local relation, which needs no job to read.
+            made[name] = spark.createDataFrame(pa.Table.from_pylist(rows, to_arrow_schema(kinds)), kinds)
         return Tables(**made)
 
     def run(self, spark, cfg=CFG, run=RUN) -> TransferRun:
