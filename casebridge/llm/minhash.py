@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casebridge.llm.graph import components, local_roots
-from casebridge.llm.tables import staged
+from casebridge.llm.tables import split_by_ids, staged
 from casebridge.llm.words import LOWER_ASCII, NOT_SPACE, Words, mixed, shingles, slices, utf8
 
 WIDTH = 5
@@ -250,9 +250,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     sized = families.join(reps.select(F.col("doc_id").alias("node"), "n"), "node")
     total = sized.groupBy("label").agg(_blocks(F.count("*"), F.sum("n")).alias("blocks"))
-    place = families.join(total, "label").select(F.col("node").alias("doc_id"), F.col("label").alias("family"), "blocks")
+    place = staged(families.join(total, "label").select(F.col("node").alias("doc_id"), F.col("label").alias("family"), "blocks"), "families")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    chosen = texts.join(place, "doc_id")
+    chosen = split_by_ids(texts, place, "doc_id")[0].join(place, "doc_id")
     linked = components(staged(_by_cell(_cells(chosen, "family", "doc_id", F.col("blocks")), "family", _linked_pairs).distinct(), "linked"))
 
     labelled = reps.select("n", "low", "high", "doc_id").join(linked, F.col("doc_id") == F.col("node"), "left")

@@ -35,6 +35,31 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a filter below; each stands for 64 places.
+FILTER_ROWS = 1 << 20
+
+
+def split_by_ids(rows: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``key`` may be among ``ids``, and rows whose key surely is not.
+
+    The ids set bits at hashed places of a table of at most ``FILTER_ROWS`` words, which is broadcast, so that a join
+    that follows need not move the rows that cannot match. Rows without a key are surely not among them. The fuller
+    the table, the more rows pass for nothing; results don't depend on it.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(FILTER_ROWS * 64))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
+    set_bits = ids.where(F.col(key).isNotNull()).select(F.floor(place / 64).alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    marked = rows.withColumn("_word", F.floor(place / 64)).join(F.broadcast(set_bits), "_word", "left")
+    maybe = F.coalesce(F.col("_bits").bitwiseAND(bit) != 0, F.lit(False)) & F.col(key).isNotNull()
+    return marked.where(maybe).select(rows.columns), marked.where(~maybe).select(rows.columns)
+
+
+def without_ids(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows whose ``key`` is not among ``ids``; only those that may be are moved."""
+    maybe, surely_not = split_by_ids(rows, ids, key)
+    return surely_not.unionByName(maybe.join(ids.select(key), key, "left_anti").select(rows.columns))
+
+
 def crc_mod(column: str, by: int) -> Column:
     """Remainder of the crc32 of an id written as text."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(by))

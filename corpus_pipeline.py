@@ -13,37 +13,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casebridge.llm import decontam, langid, minhash, packing, pii
-from casebridge.llm.tables import load, shared_root, staged
+from casebridge.llm.tables import load, shared_root, split_by_ids, staged, without_ids
 
 #: Texts less like every language than this are rejected. Prose of a few words already lies well above it.
 LEAST_LIKENESS = 0.02
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    return docs.join(ids, "doc_id", "left_semi").select(docs.columns)
-
-
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep texts that have letters and resemble a language of the table; learned from the rows' own labels."""
     prototypes = langid.learn(docs, F.lit(True))
     text, score = F.col("text"), F.col("score")
     found = langid.identify(docs, prototypes)
     rejected = found.where((F.col("lang_pred") == langid.UNDETERMINED) | (score < LEAST_LIKENESS)).select("doc_id").distinct()
-    return docs.where(text.isNotNull()).join(staged(rejected, "rejected"), "doc_id", "left_anti").select(docs.columns)
+    return without_ids(docs.where(text.isNotNull()), staged(rejected, "rejected"), "doc_id")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each group; of rows that repeat an id and text, one."""
-    kept = staged(minhash.near_duplicates(docs).where("kept").groupBy("doc_id").count(), "kept")
-    once = _only(docs, kept.where("count = 1").select("doc_id"))
-    repeated = _only(docs, kept.where("count > 1").select("doc_id")).dropDuplicates(["doc_id"])
-    return once.unionByName(repeated)
+    found = staged(minhash.near_duplicates(docs), "duplicates")
+    counted = found.groupBy("doc_id").agg(F.count_if("kept").alias("kept"))
+    dropped, repeated = counted.where("kept = 0").select("doc_id"), counted.where("kept > 1").select("doc_id")
+    affected = staged(dropped.withColumn("once", F.lit(False)).unionByName(repeated.withColumn("once", F.lit(True))), "affected")
+    maybe, untouched = split_by_ids(docs, affected, "doc_id")
+    judged = maybe.join(affected, "doc_id", "left")
+    first = judged.where("once").dropDuplicates(["doc_id"])
+    return untouched.unionByName(judged.where("once is null").select(docs.columns)).unionByName(first.select(docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a test item."""
     found = decontam.find_items(docs, load(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(staged(found, "leaks"), "doc_id", "left_anti").select(docs.columns)
+    return without_ids(docs, staged(found, "leaks"), "doc_id")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
