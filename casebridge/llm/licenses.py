@@ -26,7 +26,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebridge.llm.tables import staged
+from casebridge.llm.tables import split_by_ids, staged
 
 CONTAINMENT = 0.8
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -129,8 +129,9 @@ def scan_licenses(docs: DataFrame, notices: dict[str, str] = NOTICES, phrases: d
         return F.array_sort(F.transform(column, lambda w: F.element_at(ranks, w)))
 
     whole = matching_blocks(tokens.select("doc_id", "text_key", as_ranks("known").alias("ranks")), template_rows, "doc_id", "text_key")
-    wanted = whole.select("doc_id", "text_key").distinct()
-    chosen = staged(texts.withColumn("text_key", F.xxhash64("text")).join(wanted, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"]), "chosen")
+    wanted = staged(whole.select("doc_id", "text_key").distinct(), "wanted")
+    maybe, _ = split_by_ids(texts.withColumn("text_key", F.xxhash64("text")), wanted, "text_key")
+    chosen = staged(maybe.join(wanted, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"]), "chosen")
 
     lines = chosen.select("doc_id", "text_key", F.posexplode(F.split("text", "\n")).alias("line", "block"))
     lines = lines.select("doc_id", "text_key", "line", F.array_intersect(_strings(vocabulary), words_col(F.col("block"))).alias("known"))
