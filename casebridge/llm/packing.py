@@ -77,8 +77,10 @@ def pack(lengths: Sequence[int], capacities: Sequence[int], cost: Callable[[int]
 
 def word_count(text: Column) -> Column:
     """Runs of characters other than space and the controls 9 to 13; 0 for null."""
-    trimmed = F.trim(F.translate(text, "\t\n\x0b\f\r", "     "))
-    return F.when(F.length(trimmed) > 0, F.size(F.split(trimmed, " +"))).otherwise(0)
+    parts = F.split(F.coalesce(text, F.lit("")), r"[\x09-\x0D\x20]+")
+    blank = F.lit("")
+    edges = F.when(parts[0] == blank, 1).otherwise(0) + F.when((F.size(parts) > 1) & (F.element_at(parts, -1) == blank), 1).otherwise(0)
+    return F.size(parts) - edges
 
 
 def pieces(docs: DataFrame, length: Column, largest: int, id_col: str) -> DataFrame:
