@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from casebridge.llm.tables import SPANS, span_array
 
 KINDS = ("assign", "access", "hex", "novel")
-#: Added bytes per byte of the candidate; base64 costs about 0.75, hex digits about 0.5.
-NOVELTY = 0.45
+#: Added bytes per byte of the candidate; random base64 costs 0.8 to 1.1, names 0.3 to 0.7.
+NOVELTY = 0.75
 AROUND = 512
 REACH = 48
 
@@ -38,6 +38,8 @@ CODE_WORDS = (
     "user username password passwd passphrase secret token access_token refresh_token api_key apikey client_id client_secret "
     "authorization bearer basic header headers request response http https localhost host port database url uri path file "
     "license version author description example test sample dummy placeholder changeme your_api_key_here xxxxxxxxxxxxxxxx "
+    "AccessToken RefreshToken TokenProvider SecretManager PasswordEncoder KeyStore CredentialsProvider ServiceClient ControllerImpl "
+    "FactoryImpl RequestHandler ResponseBuilder SessionContext ConfigurationProperties AuthenticationManager UserRepository TestCase "
     "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 0000000000000000 1234567890abcdef"
 )
 
