@@ -1,0 +1,86 @@
+"""Main text against the article of the generated pages, and against hand-written pages of other shapes."""
+
+import re
+from html import unescape
+
+import pytest
+
+from casebridge.llm import html_text, queries
+from casebridge.llm.tables import load
+
+
+def article_of(html):
+    """Blocks of the generated pages' one article element, by plain expressions."""
+    inside = re.search("<article>(.*)</article>", html, re.DOTALL)[1]
+    blocks = re.split(r"</?(?:p|h1|article|div|ul|li)\b[^>]*>", inside)
+    texts = (" ".join(unescape(re.sub("<[^>]*>", " " if "<br" in b else "", b)).split()) for b in blocks)
+    return "\n".join(t for t in texts if t)
+
+
+def test_generated_pages(spark, medium):
+    found = {r["page_id"]: r for r in queries.QUERIES["op3_html_extraction"](spark, medium).collect()}
+    pages = load(spark, medium, "pages").collect()
+    assert len(found) == len(pages)
+    for page in pages:
+        assert found[page["page_id"]]["text"] == article_of(page["html"])
+        assert found[page["page_id"]]["n_chars"] == len(found[page["page_id"]]["text"])
+
+
+PROSE = "A sentence with several words, some commas, and a certain length that says it is prose. " * 3
+
+
+@pytest.mark.parametrize(
+    ("html", "expected"),
+    [
+        (None, ""),
+        ("", ""),
+        ("<html></html>", ""),
+        ("<p>short", "short"),
+        ("just words", "just words"),
+        ("<p>a &amp; b&nbsp;&lt;c&gt;\n\t d</p>", "a & b <c> d"),
+        ("<p>one<br>two<p>three</p>", "one two\nthree"),
+        ("<script>var a = '<p>no</p>'</script><p>yes</p><style>p{}</style><!-- no <p>no</p> -->", "yes"),
+        ("<p>a <b>b</b>c <i>d</p><p>e</i></p>", "a bc d\ne"),
+        ("<ul><li>x<li>y</ul>", "x\ny"),
+        ("<p>2 < 3 and 5 > 4</p>", "2 < 3 and 5 > 4"),
+    ],
+)
+def test_small_pages(html, expected):
+    assert html_text.main_text(html) == expected
+
+
+@pytest.mark.parametrize(
+    "noise",
+    [
+        "<nav><a href=/>Home</a><a href=/x>More</a></nav>",
+        f"<header><h2>Site</h2><p>{PROSE}</p></header>",
+        f"<footer><p>{PROSE}</p></footer>",
+        f"<aside>{PROSE}</aside>",
+        f'<div class="sidebar-left"><p>{PROSE}</p></div>',
+        f'<div id="cookieConsent">{PROSE}</div>',
+        f'<section class="comments"><p>{PROSE}{PROSE}{PROSE}{PROSE}</p></section>',
+        f'<div class="ad">{PROSE}</div>',
+        f"<form><label>Search</label><p>{PROSE}</p></form>",
+        f'<div role="navigation">{PROSE}</div>',
+        '<div><ul><li><a href=1>one</a></li><li><a href=2>two</a></li><li><a href=3>three</a></li></ul></div>',
+    ],
+)
+@pytest.mark.parametrize("shape", ["<article>{}</article>", "<div class='content'>{}</div>", "<main><div>{}</div></main>"])
+def test_noise_around_an_article(noise, shape):
+    article = f"<h1>Title</h1><p>{PROSE}</p><p>Short end.</p>"
+    html = f"<html><head><title>T</title></head><body>{noise}{shape.format(article)}{noise}</body></html>"
+    assert html_text.main_text(html) == f"Title\n{PROSE.strip()}\nShort end."
+
+
+def test_comments_inside_the_article_go_and_a_long_page_stays_whole():
+    html = f"<article><p>{PROSE}</p><div id=comments><p>{PROSE}</p></div></article>"
+    assert html_text.main_text(html) == PROSE.strip()
+    many = "<article>" + "".join(f"<p>paragraph {i}, of the long page</p>" for i in range(20_000)) + "</article>"
+    assert html_text.main_text(many).count("\n") == 19_999
+
+
+def test_edge_rows(spark):
+    rows = [(1, "u", None, "x"), (1, "u", "<p>a</p>", "x"), (1, "u", "<p>a</p>", "x"), (2, None, "", "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    assert sorted(r["text"] for r in html_text.extract_text(pages).collect()) == ["", "", "a", "a"]
+    assert html_text.extract_text(pages.limit(0)).collect() == []
