@@ -43,8 +43,8 @@ PERCENT = 85
 MINIMA, BITS, BANDS, ROWS = 160, 4, 20, 4
 #: Five standard errors of the estimate at the threshold: sqrt(J'(1 - J') / MINIMA) / (1 - 2^-BITS), J' with chance.
 MARGIN = 0.15
-#: Members of a bucket or family compared in one cell with another block, and the set entries they may have.
-BLOCK_ROWS, BLOCK_ENTRIES = 256, 400_000
+#: Rows in a block of a bucket (signatures) and of a family (texts), and the set entries a family's block may have.
+BUCKET_ROWS, FAMILY_ROWS, FAMILY_ENTRIES = 256, 128, 400_000
 SLICE_BYTES = 1 << 20
 
 _random = np.random.default_rng(20240229)
@@ -135,7 +135,9 @@ def _cells(rows: DataFrame, group: str, member: str, blocks: Column) -> DataFram
 def _by_cell(rows: DataFrame, group: str, fold: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
     """Run ``fold`` over each cell's rows; it gives links as two columns of ids (``a``, ``b``)."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.withColumn("place", F.xxhash64(group, "cell")).repartition(parts, group, "cell").sortWithinPartitions("place", group, "cell")
+    number = F.expr("cell.j * (cell.j + 1) / 2 + cell.i").cast("long")
+    place = F.pmod(F.xxhash64(group) + number, F.lit(parts)).cast("int")  # the cells of a group go round
+    dealt = rows.repartitionById(parts, place).sortWithinPartitions(group, "cell")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(table: pa.Table) -> pa.RecordBatch:
@@ -144,12 +146,12 @@ def _by_cell(rows: DataFrame, group: str, fold: Callable[[pa.Table], tuple[np.nd
 
         held: list[pa.RecordBatch] = []
         for batch in batches:
-            key = np.stack([batch.column("place").to_numpy(), batch.column(group).to_numpy(), *(batch.column("cell").field(k).to_numpy(zero_copy_only=False) for k in (0, 1))])
+            key = np.stack([batch.column(group).to_numpy(), *(batch.column("cell").field(k).to_numpy(zero_copy_only=False) for k in (0, 1))])
             if not key.shape[1]:
                 continue
             if held:
                 last = held[-1].slice(held[-1].num_rows - 1)
-                before = [last.column("place")[0].as_py(), last.column(group)[0].as_py(), *last.column("cell")[0].as_py().values()]
+                before = [last.column(group)[0].as_py(), *last.column("cell")[0].as_py().values()]
                 if before != key[:, 0].tolist():
                     yield out(pa.Table.from_batches(held))
                     held = []
@@ -231,11 +233,6 @@ def _linked_pairs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return _stars(ids, [left], [right])
 
 
-def _blocks(rows: Column, entries: Column | None = None) -> Column:
-    n = F.ceil(rows / BLOCK_ROWS)
-    return F.greatest(n, F.ceil(entries / BLOCK_ENTRIES)).cast("int") if entries is not None else n.cast("int")
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row."""
     sketches = staged(sketch(docs, id_col, text_col), "sketches")
@@ -245,11 +242,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     banded = reps.select("doc_id", F.explode("bands").alias("band"))
     crowded = banded.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
     members = banded.join(crowded, "band").join(reps.select("doc_id", "sig"), "doc_id")
-    close = _by_cell(_cells(members, "band", "doc_id", _blocks(F.col("members"))), "band", _close_pairs)
+    close = _by_cell(_cells(members, "band", "doc_id", F.ceil(F.col("members") / BUCKET_ROWS).cast("int")), "band", _close_pairs)
     families = components(staged(close.distinct(), "close"))
 
     sized = families.join(reps.select(F.col("doc_id").alias("node"), "n"), "node")
-    total = sized.groupBy("label").agg(_blocks(F.count("*"), F.sum("n")).alias("blocks"))
+    total = sized.groupBy("label").agg(F.greatest(F.ceil(F.count("*") / FAMILY_ROWS), F.ceil(F.sum("n") / FAMILY_ENTRIES)).cast("int").alias("blocks"))
     place = staged(families.join(total, "label").select(F.col("node").alias("doc_id"), F.col("label").alias("family"), "blocks"), "families")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     chosen = split_by_ids(texts, place, "doc_id")[0].join(place, "doc_id")
