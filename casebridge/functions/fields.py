@@ -9,11 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DOCUMENT = "map<string,variant>"
+# What the parser makes of a number that is no short integer.
+_DECIMAL = r"^-?[0-9]+(\.[0-9]+([eE]-?[0-9]+)?|[0-9]{17,})$"
 
 
 def read_fields(df: DataFrame, document: str, fields: Mapping[str, str]) -> DataFrame:
     """Add one text column per (alias, field), NULL where the field or its value is missing.
 
+    Strings come as parsed. A number comes as it is written in the document: the parser would turn 1.50 into 1.5 and
+    cut long decimals, so its token is read from the text, and taken where it has the parsed value.
+
     The document is parsed once per row. ``explode`` of the one-element array keeps Catalyst from
     pushing filters on the new columns below the parse, where each would parse the text again.
     """
@@ -24,16 +29,26 @@ def read_fields(df: DataFrame, document: str, fields: Mapping[str, str]) -> Data
         ]
     )
     parsed = df.select("*", F.explode(F.array(F.from_json(document, schema))).alias("_doc"))
-    return parsed.select("*", *[F.col(f"_doc.`{f}`.value").alias(a) for a, f in fields.items()]).drop("_doc")
+    text = F.col(document)
+    values = [_as_written(text, f, F.col(f"_doc.`{f}`.value")).alias(a) for a, f in fields.items()]
+    return parsed.select("*", *values).drop("_doc")
+
+
+def _as_written(document: Column, field: str, value: Column) -> Column:
+    """``value``, or the number's own token where the document holds it as a number."""
+    token = F.regexp_extract(document, rf'"{field}"\s*:\s*\{{[^{{}}]*"value"\s*:\s*(-?[0-9][0-9.eE+-]*)\s*[,}}]', 1)
+    same = token.try_cast("double") == value.try_cast("double")
+    return F.when(value.rlike(_DECIMAL) & F.coalesce(same, F.lit(False)), token).otherwise(value)
 
 
 def set_value(document: Column, field: str, value: Column) -> Column:
-    """Set ``document[field].value``; other content stays, an absent field leaves the document as it is."""
+    """Set ``document[field].value``; other content stays. A field that is absent or no object stays as it is."""
 
     def with_value(inner: Column) -> Column:
-        kept = F.map_filter(inner.cast(DOCUMENT), lambda k, _: k != "value")
+        members = F.try_variant_get(inner, "$", DOCUMENT)
+        kept = F.map_filter(members, lambda k, _: k != "value")
         changed = F.map_concat(kept, F.create_map(F.lit("value"), value.cast("variant")))
-        return F.parse_json(F.to_json(changed))
+        return F.when(members.isNull(), inner).otherwise(F.parse_json(F.to_json(changed)))
 
     fields = F.from_json(document, DOCUMENT)
     edited = F.transform_values(fields, lambda k, v: F.when(k == field, with_value(v)).otherwise(v))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casebridge.config import COMPLETED, TRANSFERRED, Run, TransferConfig
+from casebridge.functions.clock import run_clock
 from casebridge.functions.fields import set_value
 from casebridge.functions.ids import chunk, expand, number_rows, uid
 from casebridge.operators.link import is_waiting, key_names, stage_id
@@ -77,7 +78,7 @@ def insert_rows(t: Tables, cfg: TransferConfig, run: Run, queue: Staged, blocks:
     document = F.col("eventdatavalues")
     if cfg.reset_status_on_copy:
         document = set_value(document, cfg.status_field, F.lit(TRANSFERRED))
-    now = F.lit(run.run_ts)
+    now = run_clock(run)
     changed = {
         "programstageinstanceid": new_id,
         "uid": uid("E", new_id),

@@ -17,6 +17,7 @@ from casebridge.config import (
     Run,
     TransferConfig,
 )
+from casebridge.functions.clock import run_clock
 from casebridge.functions.fields import message_text
 from casebridge.functions.ids import number_rows, uid, uuid_of
 from casebridge.operators.spread import profile, spread_join
@@ -170,7 +171,7 @@ def build_messages(requests: DataFrame, told: DataFrame, cfg: TransferConfig, ru
         ),
         "messages",
     ).df
-    now = F.lit(run.run_ts).cast("timestamp_ntz")
+    now = run_clock(run)
     return Messages(
         messageconversation=numbered.select(
             "messageconversationid",

@@ -2,58 +2,76 @@
 
 A key is hot when it has more rows than a fair share of the shuffle. Rows of a hot key are dealt to
 slices by a hash of the row, and the other side is repeated once per slice. Where both sides are hot
-the slices form a grid and every pair still meets exactly once. The list of hot keys only steers
-where rows go; the result is that of the plain join.
+the slices form a grid, chosen so that few rows are repeated, and every pair still meets exactly once. Keys are counted
+exactly, as an aggregate over the key column, where the table has more rows than one task may take of a key. The
+hot keys only steer where rows go; the result is that of the plain join.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from dataclasses import dataclass
-from math import ceil
+from dataclasses import dataclass, field
+from functools import reduce
+from math import ceil, sqrt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Bounds of the frequent-value sketch: values with more than about 0.4 % of the rows are found, and
-# never more than LISTED of them reach the driver.
-LISTED = 300
-TRACKED = 1024
-
 ONE_SIDED = ("left", "left_semi", "left_anti")
 
 
 @dataclass(frozen=True)
 class Profile:
-    """Row count of a table and (about) how often its frequent key values occur."""
+    """Row count of a table, and its key column (in one or more parts), counted when a join needs it."""
 
     rows: int
-    counts: dict
+    keys: tuple[DataFrame, ...]
+    _counted: dict[int, dict] = field(default_factory=dict, compare=False, repr=False)
 
     def __add__(self, other: Profile) -> Profile:
         """Of both tables together."""
-        total = Counter(self.counts)
-        total.update(other.counts)
-        return Profile(self.rows + other.rows, dict(total))
-
+        return Profile(self.rows + other.rows, self.keys + other.keys)
 
-def top_values(column: str) -> Column:
-    return F.expr(f"approx_top_k(`{column}`, {LISTED}, {TRACKED})")
+    def over(self, rows: int) -> dict:
+        """Exact counts of the values with more than ``rows`` rows: fewer than ``self.rows / rows`` values."""
+        if self.rows <= rows:
+            return {}
+        if rows not in self._counted:
+            keys = reduce(DataFrame.unionAll, self.keys)
+            counts = keys.groupBy(keys.columns[0]).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows)
+            self._counted[rows] = {value: n for value, n in counts.collect()}
+        return self._counted[rows]
 
 
 def profile(df: DataFrame, column: str) -> Profile:
-    """One pass over one column."""
-    found = df.agg(F.count(F.lit(1)).alias("rows"), top_values(column).alias("top")).first()
-    return Profile(found["rows"], {r["item"]: r["count"] for r in found["top"] or []})
+    return Profile(df.count(), (df.select(column),))
+
+
+def fair_share(seen: Profile, width: int, hot_rows: int) -> int:
+    """Rows of one key a task can take."""
+    return max(hot_rows, seen.rows // width, 1)
 
 
-def slices(seen: Profile | None, width: int, hot_rows: int) -> dict:
-    """Hot value -> number of slices."""
+def hot_values(seen: Profile | None, width: int, hot_rows: int) -> dict:
+    """Hot value -> (rows, slices); fewer than ``width`` values."""
     if seen is None:
         return {}
-    fair = max(hot_rows, seen.rows // width, 1)
-    return {v: min(width, ceil(n / fair)) for v, n in seen.counts.items() if n > fair}
+    fair = fair_share(seen, width, hot_rows)
+    return {v: (n, min(width, ceil(n / fair))) for v, n in seen.over(fair).items()}
+
+
+def grid(left: tuple[int, int], right: tuple[int, int], width: int) -> tuple[int, int]:
+    """Slices of both sides of one key, given the rows and wanted slices of each.
+
+    ``left_rows * r + right_rows * l`` rows move for l by r slices. With more cells than ``width`` asked for, the
+    two are lowered to the cheapest with ``l * r <= width``.
+    """
+    (a, l), (b, r) = left, right
+    if l * r <= width:
+        return l, r
+    l = max(1, min(l, int(sqrt(width * a / b)) if b else l))
+    r = max(1, min(r, width // l))
+    return min(left[1], max(l, width // r)), r
 
 
 def _dealt(df: DataFrame, key: str, own: str, other: str, table: list, split: list[str], repeat: bool) -> DataFrame:
@@ -65,7 +83,7 @@ def _dealt(df: DataFrame, key: str, own: str, other: str, table: list, split: li
             T.StructField("_other", T.IntegerType()),
         ]
     )
-    # At most 2 * LISTED rows.
+    # Fewer than 2 * width rows: no more keys can be over a fair share.
     hot = F.broadcast(df.sparkSession.createDataFrame(table, kind))
     joined = df.join(hot, F.col(key).eqNullSafe(F.col("_value")), "left")
     dealt = F.pmod(F.xxhash64(*split), F.coalesce("_own", F.lit(1))).cast("int")
@@ -91,18 +109,18 @@ def spread_join(
     ``left``, ``left_semi`` and ``left_anti`` cut the left side only.
     """
     width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left_cut = slices(left_profile, width, hot_rows)
-    right_cut = {} if how in ONE_SIDED else slices(right_profile, width, hot_rows)
+    left_hot = hot_values(left_profile, width, hot_rows)
+    right_hot = {} if how in ONE_SIDED else hot_values(right_profile, width, hot_rows)
     if how == "inner":
-        left_cut.pop(None, None)
-        right_cut.pop(None, None)
-    values = list(left_cut) + [v for v in right_cut if v not in left_cut]
+        left_hot.pop(None, None)
+        right_hot.pop(None, None)
+    values = list(left_hot) + [v for v in right_hot if v not in left_hot]
     on = [key, *also]
     if not values:
         return left.join(right, on, how)
-    cuts = [(v, left_cut.get(v, 1), right_cut.get(v, 1)) for v in values]
-    left = _dealt(left, key, "_l", "_r", cuts, list(left_split) or left.columns, bool(right_cut))
+    cuts = [(v, *grid(left_hot.get(v, (0, 1)), right_hot.get(v, (0, 1)), width)) for v in values]
+    left = _dealt(left, key, "_l", "_r", cuts, list(left_split) or left.columns, bool(right_hot))
     # NULL never matches, so the right side has nothing to repeat for it.
     flipped = [(v, r, n) for v, n, r in cuts if v is not None]
-    right = _dealt(right, key, "_r", "_l", flipped, list(right_split) or right.columns, bool(left_cut))
+    right = _dealt(right, key, "_r", "_l", flipped, list(right_split) or right.columns, bool(left_hot))
     return left.join(right, [*on, "_l", "_r"], how).drop("_l", "_r")

@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from casebridge.operators.spread import Profile, top_values
+from casebridge.operators.spread import Profile
 
 
 @dataclass(frozen=True)
 class Staged:
-    """A written table with its row count and the frequent values of the profiled columns."""
+    """A written table with its row count and the profiles of key columns."""
 
     df: DataFrame
     rows: int
@@ -22,27 +21,17 @@ class Staged:
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a local session without one gets its own."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        context = spark.sparkContext
-        root = context.getCheckpointDir()
-        if not root:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="casebridge-"))
-            root = context.getCheckpointDir()
-    return root.rstrip("/")
+    """The folder in ``spark.checkpoint.dir``; where it is unset, one in the warehouse, which is shared too."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/staging").rstrip("/")
 
 
 def stage(df: DataFrame, name: str, profile: tuple[str, ...] = ()) -> Staged:
-    """Write ``df`` and read it back. Row count and frequent values are observed during the write."""
+    """Write ``df`` and read it back. The rows are counted during the write."""
     spark = df.sparkSession
     path = f"{staging_root(spark)}/casebridge/{uuid.uuid4().hex}/{name}"
     seen = Observation(name)
-    metrics = [F.count(F.lit(1)).alias("rows"), *[top_values(c).alias(c) for c in profile]]
-    df.observe(seen, *metrics).write.parquet(path)
-    found = seen.get
-    rows = found.get("rows", 0)
-    profiles = {c: Profile(rows, {r["item"]: r["count"] for r in found.get(c) or []}) for c in profile}
-    return Staged(spark.read.schema(df.schema).parquet(path), rows, profiles)
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    rows = seen.get.get("rows", 0)
+    written = spark.read.schema(df.schema).parquet(path)
+    return Staged(written, rows, {c: Profile(rows, (written.select(c),)) for c in profile})

@@ -118,11 +118,12 @@ WHERE NOT (i AND n)""",
 SELECT e.* REPLACE (coalesce(f.new_transfer_status, e.transfer_status) AS transfer_status)
 FROM ev3 e LEFT JOIN flagged f USING (event_id)""",
     "told": """
-SELECT m.organisationunitid AS facility_id, u.userinfoid AS user_id
-FROM userinfo u JOIN users ON users.userid = u.userinfoid JOIN usergroupmembers gm ON gm.userid = u.userinfoid
-JOIN usergroup g ON g.usergroupid = gm.usergroupid JOIN usermembership m ON m.userinfoid = u.userinfoid
-JOIN organisationunit o ON o.organisationunitid = m.organisationunitid
-WHERE g.uid = 'phS5ScyDEYj'""",
+SELECT held.organisationunitid AS facility_id, gm.userid AS user_id
+FROM usermembership held JOIN usergroupmembers gm ON gm.userid = held.userinfoid
+WHERE gm.usergroupid = (SELECT usergroupid FROM usergroup WHERE uid = 'phS5ScyDEYj')
+  AND EXISTS (SELECT 1 FROM users WHERE users.userid = gm.userid)
+  AND EXISTS (SELECT 1 FROM userinfo WHERE userinfo.userinfoid = gm.userid)
+  AND EXISTS (SELECT 1 FROM organisationunit o WHERE o.organisationunitid = held.organisationunitid)""",
     "transfer_messages": """
 SELECT enrolment_facility_id AS facility_id, user_id, event_id,
        'Patient has been transferred: ' || coalesce(id_number, '') || ' ' || coalesce(full_name, '') AS text,
@@ -137,7 +138,12 @@ FROM told WHERE facility_id = 7""",
 }
 
 TRANSFER_TEXT = "'Patient has been transferred: ' || coalesce(id_number, '') || ' ' || coalesce(full_name, '') AS text"
-INSERTED = f"SELECT event_id, enrolment_id, stage_id, facility_id, status, {FIELDS} FROM inserted"
+CLOCK = "TIMESTAMP '2026-01-01 00:00:00'"
+NUMBER = "to_base(n, 36, 10)"
+INSERTED = (
+    f"SELECT event_id, enrolment_id, stage_id, facility_id, status, 'E' || to_base(event_id, 36, 10) AS uid, "
+    f"{CLOCK} AS created, {CLOCK} AS lastupdated, false AS deleted, 'SCRIPT' AS storedby, {FIELDS} FROM inserted"
+)
 
 FINAL = {
     "scan_events": "SELECT programstageinstanceid AS event_id, programstageid AS stage_id, "
@@ -192,15 +198,20 @@ LEFT JOIN owner_changes c ON c.person_id = o.trackedentityinstanceid AND c.progr
     "notify_target": f"SELECT facility_id, {TRANSFER_TEXT} FROM transfer",
     "static_notice": "SELECT * FROM static_messages",
     "message_rows": "SELECT facility_id, user_id, text FROM transfer_messages",
-    "messageconversation": "SELECT n AS messageconversationid, 1 AS messagecount, 'Patient transfer' AS subject, "
+    "messageconversation": f"SELECT n AS messageconversationid, 'C' || {NUMBER} AS uid, {CLOCK} AS created, "
+    f"{CLOCK} AS lastupdated, {CLOCK} AS lastmessage, 1 AS messagecount, 'Patient transfer' AS subject, "
     "'PRIVATE' AS messagetype, 'NONE' AS priority, 'NONE' AS status, cast(NULL AS bigint) AS user_assigned, "
     "cast(NULL AS bigint) AS lastsenderid, user_id AS userid FROM transfer_messages",
-    "message": "SELECT n AS messageid, text AS messagetext, false AS internal, cast(NULL AS varchar) AS metadata, "
+    "message": f"SELECT n AS messageid, 'M' || {NUMBER} AS uid, {CLOCK} AS created, {CLOCK} AS lastupdated, "
+    "text AS messagetext, false AS internal, cast(NULL AS varchar) AS metadata, "
     "user_id AS userid FROM transfer_messages",
     "messageconversation_messages": "SELECT n AS messageconversationid, 1 AS sort_order, n AS messageid "
     "FROM transfer_messages",
-    "usermessage": "SELECT cast(n AS int) AS usermessageid, user_id AS userid, false AS isread, false AS isfollowup "
-    "FROM transfer_messages",
+    "usermessage": """
+SELECT cast(n AS int) AS usermessageid, user_id AS userid, false AS isread, false AS isfollowup,
+       substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-4' || substr(h, 14, 3) || '-a' || substr(h, 18, 3) || '-'
+       || substr(h, 21, 12) AS usermessagekey
+FROM (SELECT *, sha256('check/' || n) AS h FROM transfer_messages)""",
     "messageconversation_usermessages": "SELECT n AS messageconversationid, cast(n AS int) AS usermessageid "
     "FROM transfer_messages",
     "run_messages": """
@@ -211,6 +222,10 @@ GROUP BY text, user_id""",
     "run_events": f"SELECT event_id, enrolment_id, stage_id, facility_id, status, {FIELDS}, lab_only FROM ev4",
     "run_all": "SELECT stage_id, transfer_status, status, count(*) AS events FROM ev4 "
     "GROUP BY stage_id, transfer_status, status",
+    "hot_key_join": """
+SELECT o_orderstatus AS k, count(*) AS pairs, cast(sum(o_orderkey - c_custkey) AS bigint) AS spans
+FROM orders JOIN customer ON o_orderstatus = ['F', 'O', 'P'][c_custkey % 3 + 1] AND c_custkey % 7 > 0
+GROUP BY o_orderstatus""",
 }
 
 
@@ -224,7 +239,7 @@ def _complete(final: str, ctes: dict[str, str]) -> str:
         needed.update(new)
         todo += [ctes[n] for n in new]
     parts = [f"{n} AS MATERIALIZED ({q})" for n, q in ctes.items() if n in needed]
-    return "WITH " + ",\n".join(parts) + "\n" + final
+    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + final
 
 
 def oracle_sql() -> dict[str, str]:

@@ -14,6 +14,7 @@ from casebridge.functions.fields import merge, read_fields, set_value
 from casebridge.functions.ids import expand
 from casebridge.operators import lab, link, notify
 from casebridge.operators.changes import apply_event_changes
+from casebridge.operators.spread import profile, spread_join
 from casebridge.operators.staging import stage
 from casebridge.plans.run import TransferRun, end_state
 from casebridge.sources import fixtures
@@ -156,6 +157,11 @@ def _inserted(spark, sf_dir, role: str | None = None) -> DataFrame:
         F.col("programstageid").alias("stage_id"),
         F.col("organisationunitid").alias("facility_id"),
         "status",
+        "uid",
+        F.col("created").cast("timestamp_ntz").alias("created"),
+        F.col("lastupdated").cast("timestamp_ntz").alias("lastupdated"),
+        "deleted",
+        "storedby",
         *FIELDS,
     )
 
@@ -305,11 +311,11 @@ def message_rows(spark, sf_dir):
     return notify.message_rows(_transfer_requests(r), r.recipients, CFG).select("facility_id", "user_id", "text")
 
 
-def _message_table(table: str, *left_out: str) -> Query:
+def _message_table(table: str) -> Query:
     def query(spark, sf_dir):
         r = _run(spark, sf_dir)
         built = notify.build_messages(_transfer_requests(r), r.recipients, CFG, RUN)
-        return getattr(built, table).drop(*left_out)
+        return getattr(built, table)
 
     return query
 
@@ -341,6 +347,26 @@ def run_events(spark, sf_dir):
     )
 
 
+def hot_key_join(spark, sf_dir):
+    """Orders x customers of their status, three values that are hot on both sides, cut into a grid."""
+    read = spark.read.parquet
+    orders = read(f"{sf_dir}/orders.parquet").select(F.col("o_orderstatus").alias("k"), "o_orderkey")
+    third = F.element_at(F.array(F.lit("F"), F.lit("O"), F.lit("P")), (F.col("c_custkey") % 3 + 1).cast("int"))
+    customers = read(f"{sf_dir}/customer.parquet").where(F.col("c_custkey") % 7 > 0).select(third.alias("k"), "c_custkey")
+    met = spread_join(
+        orders,
+        customers,
+        "k",
+        hot_rows=1,
+        left_profile=profile(orders, "k"),
+        right_profile=profile(customers, "k"),
+        left_split=("o_orderkey",),
+        right_split=("c_custkey",),
+    )
+    spans = (F.col("o_orderkey") - F.col("c_custkey")).cast("bigint")
+    return met.groupBy("k").agg(F.count(F.lit(1)).alias("pairs"), F.sum(spans).cast("bigint").alias("spans"))
+
+
 QUERIES: dict[str, Query] = {
     "scan_events": scan_events,
     "attribute_lookup": attribute_lookup,
@@ -380,12 +406,13 @@ QUERIES: dict[str, Query] = {
     "notify_target": notify_target,
     "static_notice": static_notice,
     "message_rows": message_rows,
-    "messageconversation": _message_table("messageconversation", "uid", "created", "lastupdated", "lastmessage"),
-    "message": _message_table("message", "uid", "created", "lastupdated"),
+    "messageconversation": _message_table("messageconversation"),
+    "message": _message_table("message"),
     "messageconversation_messages": _message_table("messageconversation_messages"),
-    "usermessage": _message_table("usermessage", "usermessagekey"),
+    "usermessage": _message_table("usermessage"),
     "messageconversation_usermessages": _message_table("messageconversation_usermessages"),
     "run_messages": run_messages,
     "run_events": run_events,
     "run_all": run_all,
+    "hot_key_join": hot_key_join,
 }

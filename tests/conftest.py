@@ -9,7 +9,8 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    pytest.SHARED = f"file:{tmp_path_factory.mktemp('shared')}"
     session = (
         SparkSession.builder.master("local[8]")
         .appName("casebridge-tests")
@@ -18,6 +19,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")
+        .config("spark.checkpoint.dir", pytest.SHARED)
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -97,3 +97,16 @@ def test_merge_of_some_fields(spark):
 def test_message_text_takes_null_as_empty(spark):
     df = spark.createDataFrame([("1", "n"), (None, "n"), ("1", None), (None, None)], "a string, b string")
     assert [r[0] for r in df.select(message_text("T: ", "a", "b")).collect()] == ["T: 1 n", "T:  n", "T: 1 ", "T:  "]
+
+
+@pytest.mark.parametrize("number", ["1.50", "0.10", "123456789012345678.1", "1234567890123456789012", "-2.00", "1e5", "1.0E+2", "7", "0"])
+def test_numbers_are_read_as_written(spark, number):
+    document = f'{{"a": {{"x": 1.5, "value": {number}}}, "b" : {{ "value" : {number} , "y": [2.0]}}, "c": {{"value": "{number}"}}}}'
+    df = spark.createDataFrame([(document,)], "d string")
+    assert tuple(read_fields(df, "d", {"p": "a", "q": "b", "r": "c"}).drop("d").first()) == (number, number, number)
+
+
+@pytest.mark.parametrize("member", ['"x"', "[1]", "null", "3", "true"])
+def test_setting_in_a_member_that_is_no_object_changes_nothing(spark, member):
+    df = spark.createDataFrame([(f'{{"s":{member},"t":{{"value":"u"}}}}',)], "d string")
+    assert json.loads(df.select(set_value(F.col("d"), "s", F.lit("new"))).first()[0]) == json.loads(df.first()[0])

@@ -7,10 +7,11 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as entry_point
+from casebridge.plans import oracle
 from casebridge.plans import queries as module
 
 SF = "/root/testdata/sf0.001"
-SQL = entry_point.oracle_sql()
+SQL = oracle.oracle_sql()
 GOLDEN = {"transfer_rows": 306, "mark_transferred": 344, "lab_transfer_rows": 73, "merge_lab": 190}
 GOLDEN |= {"ownership_candidates": 130, "update_ownership": 75, "message_rows": 52, "recipients": 5}
 GOLDEN |= {"flag_check_name": 127, "flag_no_match": 52, "flag_id_not_found": 218, "filter_waiting": 792}
@@ -25,19 +26,20 @@ def differences(spark):
     con = connect(SF)
 
     def compare(name):
-        df = entry_point.queries()[name](spark, SF)
+        df = module.QUERIES[name](spark, SF)
         return difference(df, con.cursor(), SQL[name]), df.count() if name in GOLDEN else None
 
     with ThreadPoolExecutor(6) as pool:
-        yield {name: pool.submit(compare, name) for name in entry_point.queries()}
+        yield {name: pool.submit(compare, name) for name in module.QUERIES}
     module._run = original
 
 
 def test_each_query_has_a_twin():
-    assert set(entry_point.queries()) == set(SQL)
+    assert set(module.QUERIES) == set(SQL)
+    assert set(module.QUERIES) <= set(entry_point.queries()) and set(SQL) <= set(entry_point.oracle_sql())
 
 
-@pytest.mark.parametrize("name", entry_point.queries())
+@pytest.mark.parametrize("name", module.QUERIES)
 def test_query(name, differences):
     found, count = differences[name].result()
     assert found == ""

@@ -3,7 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from casebridge.operators.spread import Profile, profile, slices, spread_join
+from casebridge.operators.spread import grid, hot_values, profile, spread_join
 from casebridge.operators.staging import stage
 
 
@@ -28,26 +28,56 @@ def counted(df):
     return Counter(map(tuple, df.select(sorted(df.columns)).collect()))
 
 
-def test_slices():
-    seen = Profile(1000, {"a": 400, "b": 100, "c": 30, None: 300})
-    assert slices(seen, 10, 1) == {"a": 4, None: 3}
-    assert slices(seen, 10, 350) == {"a": 2}
-    assert slices(seen, 2, 1) == {}
-    assert slices(None, 10, 1) == {}
+def of_counts(spark, counts):
+    rows = spark.createDataFrame(list(counts.items()), "k string, n int")
+    return profile(rows.select(F.explode(F.array_repeat("k", F.col("n"))).alias("k")), "k")
 
 
-def test_profile_and_staging_see_the_same(spark):
+def test_hot_values(spark):
+    seen = of_counts(spark, {"a": 400, "b": 100, "c": 30, None: 300, "d": 170})
+    assert hot_values(seen, 10, 1) == {"a": (400, 4), None: (300, 3), "d": (170, 2)}
+    assert hot_values(seen, 10, 350) == {"a": (400, 2)}
+    assert hot_values(seen, 2, 1) == {}
+    assert hot_values(seen, 10, 1000) == {}
+    assert hot_values(None, 10, 1) == {}
+
+
+def test_a_thousand_hot_keys_are_all_found(spark):
+    rows = spark.range(300_000).select(F.when(F.col("id") < 150_000, F.col("id") % 1000).otherwise(F.col("id")).alias("k"))
+    found = hot_values(profile(rows, "k"), 3000, 1)
+    assert {k: n for k, (n, _) in found.items()} == dict.fromkeys(range(1000), 150)
+
+
+def test_profiles_add_up(spark):
+    seen = of_counts(spark, {"a": 40, "b": 10}) + of_counts(spark, {"a": 20, "c": 50})
+    assert seen.rows == 120
+    assert seen.over(45) == {"a": 60, "c": 50}
+
+
+@pytest.mark.parametrize("width", [4, 200])
+@pytest.mark.parametrize("left", [(20_000, 200), (1_000, 10), (50, 1), (300, 3)])
+@pytest.mark.parametrize("right", [(20_000, 200), (3, 1), (900, 150)])
+def test_grid_keeps_to_the_width_and_is_cheapest(width, left, right):
+    left, right = (left[0], min(left[1], width)), (right[0], min(right[1], width))
+    l, r = grid(left, right, width)
+    assert 1 <= l <= left[1] and 1 <= r <= right[1] and l * r <= width
+    if left[1] * right[1] <= width:
+        assert (l, r) == (left[1], right[1])
+    else:
+        moved = left[0] * r + right[0] * l
+        assert moved <= 2 * (left[0] + right[0]) * width**0.5 or l == left[1] or r == right[1]
+
+
+def test_staging_profiles(spark):
     left, _ = pair(spark)
-    seen = profile(left, "k")
-    assert (seen.rows, seen.counts["hot"], seen.counts[None]) == (600, 200, 200)
     staged = stage(left, "left", ("k", "l"))
-    assert staged.rows == 600 and staged.profiles["k"] == seen
+    assert staged.rows == 600 and staged.profiles["k"].over(100) == {"hot": 200, None: 200}
     assert counted(staged.df) == counted(left)
 
 
 def test_empty_table_is_staged(spark):
     staged = stage(spark.range(0).select("id", F.lit("x").alias("k")), "nothing", ("k",))
-    assert staged.rows == 0 and staged.df.count() == 0 and staged.profiles["k"].counts == {}
+    assert staged.rows == 0 and staged.df.count() == 0 and staged.profiles["k"].over(0) == {}
 
 
 @pytest.mark.parametrize("adaptive", ["true", "false"])
@@ -101,8 +131,8 @@ def test_a_hot_key_is_cut(spark):
     from casebridge.operators.spread import _dealt
 
     left, _ = pair(spark)
-    cut = slices(profile(left, "k"), 8, 10)
-    assert cut["hot"] == 3 and cut[None] == 3
-    dealt = _dealt(left, "k", "_l", "_r", [(v, n, 1) for v, n in cut.items()], ["l"], False)
+    cut = hot_values(profile(left, "k"), 8, 10)
+    assert cut["hot"] == (200, 3) and cut[None] == (200, 3)
+    dealt = _dealt(left, "k", "_l", "_r", [(v, n, 1) for v, (_, n) in cut.items()], ["l"], False)
     largest = dealt.groupBy("k", "_l").count().agg(F.max("count")).first()[0]
     assert largest < 110
