@@ -20,7 +20,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import cache, reduce
+from functools import lru_cache, reduce
 from math import ceil
 
 import ahocorasick
@@ -158,7 +158,7 @@ class Finder:
         return [(key, distance, places[a], places[b - 1] + 1) for key, (distance, a, b) in sorted(found.items())]
 
 
-@cache
+@lru_cache(maxsize=2)
 def _finder(items: Items) -> Finder:
     return Finder(items)
 
