@@ -84,7 +84,7 @@ class TransferConfig:
 
 @dataclass(frozen=True)
 class Run:
-    """Identity of one run: its clock and where new ids start."""
+    """Identity of one run: its clock, where new ids start, and the published run it was computed from."""
 
     run_id: str
     run_ts: datetime
@@ -92,3 +92,4 @@ class Run:
     conversation_base: int = 0
     message_base: int = 0
     usermessage_base: int = 0
+    parent: str | None = None

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
@@ -15,9 +16,10 @@ from casebridge.functions.ids import expand
 from casebridge.operators import lab, link, notify
 from casebridge.operators.changes import apply_event_changes
 from casebridge.operators.spread import profile, spread_join
-from casebridge.operators.staging import stage
+from casebridge.operators.staging import stage, staging_root
 from casebridge.plans.run import TransferRun, end_state
 from casebridge.sources import fixtures
+from casebridge.sources.publish import latest, publish
 
 CFG = TransferConfig()
 THREE_KEYS = replace(CFG, match_keys=(*CFG.match_keys, DISTRICT_NUMBER))
@@ -347,6 +349,14 @@ def run_events(spark, sf_dir):
     )
 
 
+def run_published(spark, sf_dir):
+    """A run published to the shared folder, as readers then find it."""
+    out = f"{staging_root(spark)}/casebridge/{uuid.uuid4().hex}/out"
+    t = fixtures.load(spark, sf_dir)
+    publish(TransferRun(t, CFG, RUN).result, RUN, out)
+    return end_state(latest(t, out), CFG)
+
+
 def hot_key_join(spark, sf_dir):
     """Orders x customers of their status, three values that are hot on both sides, cut into a grid."""
     read = spark.read.parquet
@@ -414,5 +424,6 @@ QUERIES: dict[str, Query] = {
     "run_messages": run_messages,
     "run_events": run_events,
     "run_all": run_all,
+    "run_published": run_published,
     "hot_key_join": hot_key_join,
 }

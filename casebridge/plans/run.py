@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 from functools import cached_property
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,9 @@ from casebridge.operators.changes import apply_changes, apply_event_changes
 from casebridge.operators.staging import Staged, stage
 from casebridge.sources.tables import EVENT_COLUMNS, Tables
 
+if TYPE_CHECKING:
+    from casebridge.sources.publish import Published
+
 
 @dataclass(frozen=True)
 class RunResult:
@@ -27,23 +31,28 @@ class RunResult:
     messages: notify.Messages
 
 
-def start_run(t: Tables, run_id: str, run_ts: datetime, messages: notify.Messages | None = None) -> Run:
-    """A run whose new ids follow the largest ones in the tables."""
+def start_run(
+    t: Tables, run_id: str, run_ts: datetime, messages: notify.Messages | None = None, after: Published | None = None
+) -> Run:
+    """A run whose new ids follow the largest ones in the tables.
+
+    ``messages`` are message tables that exist already. ``after`` is the published run that ``t`` comes from; its
+    marker holds the numbers given out so far, so published messages need not be read again.
+    """
 
     def last(df: DataFrame, column: str) -> int:
         return df.agg(F.coalesce(F.max(column), F.lit(0)).cast("bigint")).first()[0]
 
     event_base = last(t.programstageinstance, "programstageinstanceid")
-    if messages is None:
-        return Run(run_id, run_ts, event_base)
-    return Run(
-        run_id,
-        run_ts,
-        event_base,
-        last(messages.messageconversation, "messageconversationid"),
-        last(messages.message, "messageid"),
-        last(messages.usermessage, "usermessageid"),
-    )
+    bases = [0, 0, 0] if after is None else [after.conversation_base, after.message_base, after.usermessage_base]
+    if messages is not None:
+        existing = (
+            last(messages.messageconversation, "messageconversationid"),
+            last(messages.message, "messageid"),
+            last(messages.usermessage, "usermessageid"),
+        )
+        bases = [max(pair) for pair in zip(bases, existing, strict=True)]
+    return Run(run_id, run_ts, event_base, *bases, parent=after and after.run_id)
 
 
 class TransferRun:

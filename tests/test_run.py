@@ -18,7 +18,7 @@ from casebridge.plans import jobs
 from casebridge.plans.oracle import FINAL, STEPS, _complete
 from casebridge.plans.run import TransferRun, end_state, start_run
 from casebridge.sources import fixtures
-from casebridge.sources.publish import latest, publish, published_messages
+from casebridge.sources.publish import latest, newest, publish, published_messages
 from casebridge.sources.tables import Tables
 
 SF = "/root/testdata/sf0.001"
@@ -57,8 +57,9 @@ def test_each_transfer_has_one_copy_of_each_kind(first):
 
 def test_a_second_run_copies_nothing(spark, tables, first, tmp_path):
     publish(first.result, RUN, str(tmp_path))
-    t = latest(tables, str(tmp_path))
-    again = TransferRun(t, CFG, start_run(t, "second", datetime(2026, 1, 2)))
+    base = newest(spark, str(tmp_path))
+    t = latest(tables, str(tmp_path), base)
+    again = TransferRun(t, CFG, start_run(t, "second", datetime(2026, 1, 2), after=base))
     assert again.run.event_base == 2_000_000_000 + 612
     assert again.inserts.rows == 0 and again.marks.isEmpty() and again.flags.isEmpty()
     assert state(again.result.tables) == state(t)
@@ -104,11 +105,28 @@ def test_publish(spark, tables, first, tmp_path):
     told = published_messages(spark, out)
     counts = {getattr(told, f.name).count() for f in fields(told)}
     assert counts == {52 + 13}
-    assert start_run(t, "second", datetime(2026, 1, 2), told).message_base == 65
+    base = newest(spark, out)
+    second = start_run(t, "second", datetime(2026, 1, 2), after=base)
+    assert second == start_run(t, "second", datetime(2026, 1, 2), told, after=base)
+    assert (second.conversation_base, second.message_base, second.usermessage_base) == (65, 65, 65)
+    assert start_run(tables, "first", datetime(2026, 1, 2), told).message_base == 65
     with pytest.raises(ValueError, match="is published"):
         publish(first.result, RUN, out)
 
 
+def test_the_chain_of_runs_decides_not_their_clocks(spark, tables, first, tmp_path):
+    out = str(tmp_path)
+    small = replace(first.result, messages=replace(first.messages, **{f.name: getattr(first.messages, f.name).limit(0) for f in fields(first.messages)}))
+    publish(small, replace(RUN, run_id="a", run_ts=datetime(2026, 1, 2)), out)
+    with pytest.raises(ValueError, match="computed from None"):
+        publish(small, replace(RUN, run_id="stale"), out)
+    publish(small, replace(RUN, run_id="b", run_ts=datetime(2026, 1, 1), parent="a", message_base=7), out)
+    assert (newest(spark, out).run_id, newest(spark, out).step, newest(spark, out).message_base) == ("b", 2, 7)
+    with pytest.raises(ValueError, match="computed from a"):
+        publish(small, replace(RUN, run_id="c", parent="a"), out)
+    assert latest(tables, out).programstageinstance.inputFiles()[0].count("/runs/b/")
+
+
 def test_a_failure_before_the_marker_leaves_the_old_tables(spark, tables, first, tmp_path):
     out = str(tmp_path)
     failing = first.messages.usermessage.withColumn("userid", F.raise_error(F.lit("disk full")).cast("bigint"))
