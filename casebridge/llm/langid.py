@@ -33,7 +33,7 @@ SYMBOLS = 64
 SAMPLE = 1_500
 LANGUAGES = 200
 UNDETERMINED = "und"
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 18
 #: Prototypes are sums of unit vectors in steps of 1 / SCALE.
 SCALE = 1 << 16
 

@@ -45,7 +45,7 @@ MINIMA, BITS, BANDS, ROWS = 160, 4, 20, 4
 MARGIN = 0.15
 #: Rows in a block of a bucket (signatures) and of a family (texts), and the set entries a family's block may have.
 BUCKET_ROWS, FAMILY_ROWS, FAMILY_ENTRIES = 256, 128, 400_000
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _random = np.random.default_rng(20240229)
 _FACTORS = _random.integers(0, 1 << 64, MINIMA, dtype=np.uint64) | np.uint64(1)

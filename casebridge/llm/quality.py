@@ -34,7 +34,7 @@ NONZERO = 4
 HIDDEN = 32
 EPOCHS = 300
 CUTOFF = 0.3
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 18
 CONTEXT_TASKS = 8
 
 # Kinds of bytes: letters (and all of UTF-8 beyond ASCII) 1, digits 2, every symbol its own.
