@@ -10,6 +10,7 @@ from casebridge.functions.clock import run_clock
 from casebridge.functions.fields import set_value
 from casebridge.functions.ids import chunk, expand, number_rows, uid
 from casebridge.operators.link import is_waiting, key_names, stage_id
+from casebridge.operators.sift import sift
 from casebridge.operators.spread import spread_join
 from casebridge.operators.staging import Staged, stage
 from casebridge.sources.tables import EVENT_COLUMNS, Tables
@@ -54,10 +55,11 @@ def _role(name: str, back: int, stage: Column) -> Column:
 def insert_rows(t: Tables, cfg: TransferConfig, run: Run, queue: Staged, blocks: Staged) -> DataFrame:
     """Two new events per transfer, ``rank`` and ``role`` in front of the event columns.
 
-    Only the linked, narrow rows and the documents of waiting events meet here, on the event id.
+    Only the linked, narrow rows and the documents of linked events meet here, on the event id.
     Both copies come from one pass over them.
     """
-    documents = queue.df.where(F.col("at_source") & is_waiting(cfg)).select("event_id", "event.*")
+    waiting = queue.df.where(F.col("at_source") & is_waiting(cfg)).select("event_id", "event.*")
+    documents, _ = sift(waiting, blocks.df, "event_id")
     copied = spread_join(
         blocks.df.select("event_id", "enrolment_id", "first_rank", "copies"),
         documents,

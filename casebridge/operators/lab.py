@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casebridge.config import ACTIVE, COMPLETED, TRANSFERRED, TransferConfig
 from casebridge.functions.fields import merge, set_value
 from casebridge.operators.copies import target_column
 from casebridge.operators.link import has_result, key_names, stage_id
-from casebridge.operators.spread import profile, spread_join
-from casebridge.operators.staging import Staged
+from casebridge.operators.sift import sift
+from casebridge.operators.spread import Profile, spread_join
+from casebridge.operators.staging import Staged, stage
 from casebridge.sources.tables import Tables
 
 
+def brings_result(cfg: TransferConfig) -> Column:
+    """Read off the event as it was before marking."""
+    just_marked = (F.col("transfer_status") != TRANSFERRED) & (F.col("lab") == "")
+    before = (F.col("transfer_status") == TRANSFERRED) & (F.col("status") == ACTIVE)
+    return has_result(cfg) & (before | just_marked)
+
+
 def lab_events(links: DataFrame, cfg: TransferConfig) -> DataFrame:
     """Events whose result arrives now: already transferred and active with a result.
 
@@ -21,9 +29,7 @@ def lab_events(links: DataFrame, cfg: TransferConfig) -> DataFrame:
     empty result counts as one unless ``blank_is_missing``. An event with several enrolments goes to
     the smallest.
     """
-    just_marked = (F.col("transfer_status") != TRANSFERRED) & (F.col("lab") == "")
-    before = (F.col("transfer_status") == TRANSFERRED) & (F.col("status") == ACTIVE)
-    late = links.where(has_result(cfg) & (before | just_marked))
+    late = links.where(brings_result(cfg))
     if cfg.require_program:
         late = late.where("in_program")
     # Everything grouped by belongs to the event.
@@ -52,6 +58,15 @@ def lab_sources(lab: DataFrame, cfg: TransferConfig) -> DataFrame:
     )
 
 
+def stage_sources(queue: Staged, lab: DataFrame, cfg: TransferConfig) -> Staged:
+    """(target_key, source): the document that is merged into every lab event of a target."""
+    documents = queue.df.where(brings_result(cfg)).select("event_id", F.col("event.eventdatavalues").alias("source"))
+    marked = set_value(F.col("source"), cfg.status_field, F.lit(TRANSFERRED))
+    source = F.when(F.col("just_marked"), marked).otherwise(F.col("source")).alias("source")
+    # An event goes to one enrolment and an enrolment has one source: no key repeats here.
+    return stage(lab_sources(lab, cfg).join(documents, "event_id").select("target_key", source), "lab_sources")
+
+
 def lab_targets(t: Tables, cfg: TransferConfig) -> DataFrame:
     """Lab-stage events of the table: (lab_event_id, target_key, document)."""
     at_lab = t.programstageinstance.where(F.col("programstageid") == stage_id(t, cfg.lab_stage_uid))
@@ -74,26 +89,16 @@ def _targets(events: DataFrame, cfg: TransferConfig) -> DataFrame:
     ).where("target_key IS NOT NULL")
 
 
-def merge_lab(
-    t: Tables, cfg: TransferConfig, queue: Staged, inserts: Staged | None, lab: DataFrame
-) -> DataFrame:
-    """Change set (event_id, new_document, ...) for lab events, copies not yet in the table included."""
-    documents = queue.df.select("event_id", F.col("event.eventdatavalues").alias("source"))
-    marked = set_value(F.col("source"), cfg.status_field, F.lit(TRANSFERRED))
-    # An event goes to one enrolment and an enrolment has one source: no key repeats here.
-    sources = (
-        lab_sources(lab, cfg)
-        .join(documents, "event_id")
-        .select("target_key", F.when(F.col("just_marked"), marked).otherwise(F.col("source")).alias("source"))
-    )
-    targets = lab_targets(t, cfg)
-    seen = profile(targets, "target_key")
-    if inserts is not None:
-        targets = targets.unionByName(_targets(inserts.df.where("role = 'lab'"), cfg))
-        seen += inserts.profiles[target_column(cfg)]
+def copied_targets(inserts: DataFrame, cfg: TransferConfig) -> DataFrame:
+    """Lab copies that are not yet in the table, in the columns of ``lab_targets``."""
+    return _targets(inserts.where("role = 'lab'"), cfg)
+
+
+def merge_lab(targets: DataFrame, seen: Profile, sources: Staged, cfg: TransferConfig) -> DataFrame:
+    """Change set (event_id, new_document, ...) for lab events. ``seen`` profiles the targets' keys."""
     pairs = spread_join(
         targets,
-        sources,
+        sources.df,
         "target_key",
         hot_rows=cfg.hot_key_rows,
         left_profile=seen,
@@ -106,3 +111,15 @@ def merge_lab(
         "facility_id",
         "status",
     )
+
+
+def merge_into_table(t: Tables, sources: Staged, cfg: TransferConfig) -> DataFrame:
+    """Changes of the table's lab events. Only those that may have a source leave the scan."""
+    reached = stage(sift(lab_targets(t, cfg), sources.df, "target_key")[0], "lab_targets", ("target_key",))
+    return merge_lab(reached.df, reached.profiles["target_key"], sources, cfg)
+
+
+def merge_into_copies(inserts: Staged, sources: Staged, cfg: TransferConfig) -> DataFrame:
+    """Changes of the lab copies made in this run."""
+    reached = sift(copied_targets(inserts.df, cfg), sources.df, "target_key")[0]
+    return merge_lab(reached, inserts.profiles[target_column(cfg)], sources, cfg)

@@ -201,7 +201,7 @@ def complete_lab_events(spark, sf_dir):
 
 
 def merge_lab(spark, sf_dir):
-    merged = _run(spark, sf_dir).merged.df.withColumnRenamed("new_document", "eventdatavalues").drop("status")
+    merged = _run(spark, sf_dir).merged.withColumnRenamed("new_document", "eventdatavalues").drop("status")
     return read_fields(_fields(merged), "eventdatavalues", {"lab_only": LAB_ONLY}).select(
         "event_id", *FIELDS, "lab_only"
     )

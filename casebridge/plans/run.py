@@ -1,7 +1,7 @@
 """A whole run: copy, mark, late lab results, ownership, triage, notices; each step on the one before.
 
 Steps share one narrow view of the events and hand over change sets. The event table is read once for all
-of them, but for its lab events, and once more when the new table is written; nothing rewrites it in
+of them, but for its lab events, and again when the new table is written; nothing rewrites it in
 between. Every property is computed on first use, so a caller can stop at any step.
 """
 
@@ -12,12 +12,13 @@ from datetime import datetime
 from functools import cached_property
 from typing import TYPE_CHECKING
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebridge.config import ACTIVE, TRANSFERRED, WAITING, Run, TransferConfig
+from casebridge.config import Run, TransferConfig
 from casebridge.operators import copies, lab, link, notify, ownership, status, triage
 from casebridge.operators.changes import apply_changes, apply_event_changes
+from casebridge.operators.sift import sift
 from casebridge.operators.staging import Staged, stage
 from casebridge.sources.tables import EVENT_COLUMNS, Tables
 
@@ -110,18 +111,47 @@ class TransferRun:
         return status.status_changes(self.links.df, self.lab, self.cfg)
 
     @cached_property
-    def merged(self) -> Staged:
-        return stage(lab.merge_lab(self.t, self.cfg, self.queue, self.inserts, self.lab), "merged")
+    def lab_sources(self) -> Staged:
+        return lab.stage_sources(self.queue, self.lab, self.cfg)
 
     @cached_property
-    def after_lab(self) -> Staged:
-        """Linkable events as ownership and triage see them: marks, completions and merges applied."""
-        cfg = self.cfg
-        kept = self.matched.df.join(self.merged.df.select("event_id"), "event_id", "left_anti")
+    def merged_rows(self) -> DataFrame:
+        """Merges into lab events of the table."""
+        return stage(lab.merge_into_table(self.t, self.lab_sources, self.cfg), "merged_rows").df
+
+    @cached_property
+    def merged_copies(self) -> DataFrame:
+        """Merges into this run's copies."""
+        return stage(lab.merge_into_copies(self.inserts, self.lab_sources, self.cfg), "merged_copies").df
+
+    @property
+    def merged(self) -> DataFrame:
+        return self.merged_rows.unionByName(self.merged_copies)
+
+    def _rematched(self, edited: DataFrame) -> DataFrame:
+        """Edited events that some step may still link, with match counts for their new documents."""
+        facts = (
+            link.event_fields(edited, self.cfg)
+            .withColumn("at_source", F.lit(False))
+            .drop("eventdatavalues")
+            .where(link.needs_match(self.cfg))
+        )
+        return link.match_counts(stage(facts, "edited", link.key_names(self.cfg)), self.lookup.df, self.cfg)
+
+    @cached_property
+    def rows_after_lab(self) -> DataFrame:
+        """Linkable events of the table with marks, completions and merges applied."""
+        kept = self.matched.df.join(self.merged_rows.select("event_id"), "event_id", "left_anti")
         names = {"status": "new_status", "transfer_status": "new_transfer_status"}
         kept = apply_changes(kept, self.status_changes, "event_id", names)
-        edited = self.merged.df.withColumnRenamed("new_document", "eventdatavalues")
-        if cfg.reset_status_on_copy:
+        changed = self._rematched(self.merged_rows.withColumnRenamed("new_document", "eventdatavalues"))
+        return stage(kept.unionByName(changed), "rows_after_lab").df
+
+    @cached_property
+    def after_lab(self) -> Staged:
+        """``rows_after_lab`` and the copies with new documents: what ownership looks at."""
+        edited = self.merged_copies.withColumnRenamed("new_document", "eventdatavalues")
+        if self.cfg.reset_status_on_copy:
             # Copies that say "transferred" can ask for a new owner.
             others = self.inserts.df.select(
                 F.col("programstageinstanceid").cast("bigint").alias("event_id"),
@@ -129,17 +159,10 @@ class TransferRun:
                 F.col("executiondate").alias("executed"),
                 F.col("organisationunitid").alias("facility_id"),
                 "status",
-            ).join(self.merged.df.select("event_id"), "event_id", "left_anti")
+            ).join(self.merged_copies.select("event_id"), "event_id", "left_anti")
             edited = edited.unionByName(others)
-        facts = (
-            link.event_fields(edited, cfg)
-            .withColumn("at_source", F.lit(False))
-            .drop("eventdatavalues")
-            .where(link.needs_match(cfg))
-        )
-        keys = (*link.key_names(cfg), "target_uid")
-        changed = link.match_counts(stage(facts, "merged_facts", keys), self.lookup.df, cfg)
-        return stage(kept.unionByName(changed), "after_lab", keys)
+        keys = (*link.key_names(self.cfg), "target_uid")
+        return stage(self.rows_after_lab.unionByName(self._rematched(edited)), "after_lab", keys)
 
     # ---- ownership ----
 
@@ -159,7 +182,8 @@ class TransferRun:
 
     @cached_property
     def flags(self) -> DataFrame:
-        return triage.triage(self.t, self.cfg, self.after_lab.df)
+        """Looks at the table's own events: a copy has every key matched, merged or not, and is never flagged."""
+        return triage.triage(self.t, self.cfg, self.rows_after_lab)
 
     # ---- notices ----
 
@@ -185,30 +209,17 @@ class TransferRun:
         """(event_id, new_status, new_transfer_status, new_document), one row per changed event."""
         # Marked and completed events are no longer waiting, so none of them is flagged.
         narrow = self.status_changes.unionByName(self.flags, allowMissingColumns=True)
-        return narrow.join(self.merged.df.select("event_id", "new_document"), "event_id", "full")
-
-    def _may_change(self) -> Column:
-        """Base events some change set can hold; reads the row and its document, no join."""
-        cfg = self.cfg
-        held = (F.col("transfer_status") == TRANSFERRED) & (F.col("status") == ACTIVE)
-        queued = link.valid_request(cfg) & ((F.col("transfer_status") == WAITING) | held)
-        at_lab = F.col("programstageid") == link.stage_id(self.t, cfg.lab_stage_uid)
-        return F.coalesce(queued, F.lit(False)) | F.coalesce(at_lab, F.lit(False))
+        changes = narrow.join(self.merged.select("event_id", "new_document"), "event_id", "full")
+        return stage(changes, "event_changes").df
 
     @cached_property
     def events(self) -> DataFrame:
-        """New event table. Rows that cannot change go from the scan to the result, without a shuffle."""
-        base = self.t.programstageinstance
-        read = link.event_fields(base, self.cfg)
-        may_change = self._may_change()
-        passed = read.where(~may_change).select(*base.columns)
-        touched = (
-            read.where(may_change)
-            .select(*base.columns)
-            .unionByName(self.inserts.df.drop("rank", "role"), allowMissingColumns=True)
-        )
-        changed = apply_event_changes(touched, self.event_changes, self.cfg.status_field)
-        return passed.unionByName(changed, allowMissingColumns=True)
+        """New event table. Rows without a change go from the scan to the result: no parse, no shuffle."""
+        rows = self.t.programstageinstance.unionByName(self.inserts.df.drop("rank", "role"), allowMissingColumns=True)
+        keyed = rows.withColumn("event_id", F.col("programstageinstanceid").cast("bigint"))
+        touched, passed = sift(keyed, self.event_changes, "event_id")
+        changed = apply_event_changes(touched.drop("event_id"), self.event_changes, self.cfg.status_field)
+        return passed.drop("event_id").unionByName(changed)
 
     @cached_property
     def owners(self) -> DataFrame:
