@@ -52,14 +52,17 @@ CLOSES = {
 }
 P_SCOPE = frozenset("article aside body button div td th table section main form li blockquote header footer nav caption dd figure".split())
 
+# A quote opens a value only after "="; every character is read once.
+_ATTRS = r"(?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*')?)*+"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|textarea|title|noscript|iframe|svg)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    rf"|<(?P<raw>script|style|textarea|title|noscript|iframe|svg)\b{_ATTRS}>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*+)(?P<attrs>{_ATTRS})>"
     r"|<[!?][^>]*>"
     r"|(?P<text>[^<]+|<)",
     re.IGNORECASE | re.DOTALL,
 )
+_NO_TAG = re.compile(r"<(?!!--)")
 _NAMING = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.IGNORECASE)
 _NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
@@ -123,7 +126,8 @@ def blocks_of(html: str) -> tuple[list[tuple[str, int, list[Element]]], list[Ele
             if stack[i].name in scope:
                 return
 
-    for m in _TOKEN.finditer(html):
+    last = html.rfind(">") + 1  # what follows holds no tag
+    for m in _TOKEN.finditer(html[:last] + _NO_TAG.sub("&lt;", html[last:])):
         kind = m.lastgroup
         if kind == "text":
             if not noisy:

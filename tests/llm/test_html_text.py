@@ -1,6 +1,7 @@
 """Main text against the article of the generated pages, and against hand-written pages of other shapes."""
 
 import re
+import time
 from html import unescape
 
 import pytest
@@ -84,3 +85,17 @@ def test_edge_rows(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
     assert sorted(r["text"] for r in html_text.extract_text(pages).collect()) == ["", "", "a", "a"]
     assert html_text.extract_text(pages.limit(0)).collect() == []
+
+
+def test_quotes_outside_values_and_unfinished_tags():
+    assert html_text.main_text("<article><p title=it's>One, two</p><p>Don't stop</p></article>") == "One, two\nDon't stop"
+    assert html_text.main_text('<article><p title="a > b" class=\'x>y\'>One</p></article>') == "One"
+    assert html_text.main_text("<article><p>one <two") == "one <two"
+
+
+@pytest.mark.parametrize("odd", ["<a", '<a "', "<a ='", "<", "<!", "&", "</", "<script>", "='"])
+def test_long_broken_pages_are_read_in_one_pass(odd):
+    begun = time.process_time()
+    html_text.main_text("<p>text</p>" + odd * 100_000)
+    html_text.main_text(odd * 100_000 + ">")
+    assert time.process_time() - begun < 10
