@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from bisect import bisect_right
+from string import ascii_letters, digits
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,14 +39,17 @@ DIGIT_WORDS = dict(zip("zero one two three four five six seven eight nine".split
 INVISIBLE = "​‌‍⁠﻿­"
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_LOCAL_TAIL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
-_IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
+_LOCAL = frozenset(ascii_letters + digits + "._%+-")
+# A match always begins a run of digits, so long runs are read once.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _ODD = re.compile(f"[{INVISIBLE}{''.join(LOOKALIKES)}！-～‐-―․\U0001d400-\U0001d7ff]")
 _WORD = "(?:" + "|".join(DIGIT_WORDS) + ")"
-_AT = r"\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*"
-_DOT = r"\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*"
+# White space in front counts from the start of its run, for the same reason.
+_BEFORE = r"(?:(?<!\s)\s+)?"
+_AT = _BEFORE + r"[\[({<]\s*(?:at|@)\s*[\])}>]\s*"
+_DOT = _BEFORE + r"[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*"
 _WORDS = re.compile(
     rf"(?P<at>{_AT}|(?<=[a-z0-9])\s+at\s+(?=[a-z0-9-]+(?:(?:\s+dot\s+|{_DOT})[a-z0-9-]+)+))"
     rf"|(?P<dot>{_DOT}|(?<=[a-z0-9])\s+dot\s+(?=[a-z0-9]))"
@@ -141,22 +145,21 @@ def identifiers(text: str) -> list[Span]:
     found: list[Span] = []
     at, done = text.find("@"), 0
     while at >= 0:  # an address can only begin in the run of address characters before its @
-        low = max(done, at - 256)
-        local = _LOCAL_TAIL.search(text, low, at)
-        if local and local.start() == low > done:
-            local = _LOCAL_TAIL.search(text, done, at)
-        domain = local and _DOMAIN.match(text, at + 1)
+        start = at
+        while start > done and text[start - 1] in _LOCAL:
+            start -= 1
+        domain = start < at and _DOMAIN.match(text, at + 1)
         if domain:
             done = domain.end()
-            found.append(("email", local.start(), done))
+            found.append(("email", start, done))
         at = text.find("@", max(at + 1, done))
     for m in _IP.finditer(text):
         if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
             found.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 13:
-            digits = m[0].replace(" ", "").replace("-", "")
-            if 13 <= len(digits) <= 19 and luhn(digits):
+            number = m[0].replace(" ", "").replace("-", "")
+            if 13 <= len(number) <= 19 and luhn(number):
                 found.append(("card", *m.span()))
     if "+" in text:
         for m in _PHONE.finditer(text):

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pyarrow as pa
 import pytest
@@ -142,3 +143,12 @@ def test_span_column_keeps_nulls_as_no_spans():
     from casebridge.llm.tables import span_array
 
     assert span_array(pa.array(["a@b.c", None]), pii.spans_of).to_pylist() == [[{"kind": "email", "start": 0, "end": 5, "base": True}], []]
+
+
+@pytest.mark.parametrize("odd", ["1", "1.", "a", "a@", "+1", " ", "zero ", "( ", "[at] ", "a-", "token="])
+def test_long_odd_texts_are_read_in_one_pass(odd):
+    begun = time.process_time()
+    for text in (odd * 100_000 + " x@y", "[at]" + odd * 100_000):
+        pii.spans_of(text)
+        secret_scan.spans_of(text)
+    assert time.process_time() - begun < 20
