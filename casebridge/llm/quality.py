@@ -1,7 +1,7 @@
 """Text quality by random-indexing word vectors, pooled per document, and a two-layer network.
 
 A word's index vector is sparse, random and fixed by its hash. Its context vector is the sum of the index vectors of
-the words beside it in a sample of labelled texts, the left ones rotated by one place so that order counts. The word
+the words beside it in the texts of all documents, the left ones rotated by one place so that order counts. The word
 vector is the index vector plus the unit context vector. Words are runs of letters, of digits or of one symbol, hashed to
 ``BUCKETS`` places, so the model has a fixed size. Beside its spelling every word has a form (kind, length, case) and
 marks for being repeated; forms have index vectors too. A document is the mean of its words' vectors, the mean of its
@@ -44,26 +44,34 @@ for _low, _high in ((65, 91), (97, 123), (128, 256)):
     KINDS[_low:_high] = 1
 
 
-def _index_vectors() -> np.ndarray:
+def _index_vectors() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index vectors of all buckets, and the places and signs that make them up."""
     random = np.random.default_rng(11)
     vectors = np.zeros((BUCKETS, DIMENSIONS), np.int32)
-    for _ in range(NONZERO):
-        vectors[np.arange(BUCKETS), random.integers(0, DIMENSIONS, BUCKETS)] += random.choice(np.array([-1, 1], np.int32), BUCKETS)
-    return vectors
+    drawn = [(random.integers(0, DIMENSIONS, BUCKETS), random.choice(np.array([-1, 1], np.int32), BUCKETS)) for _ in range(NONZERO)]
+    for places, signs in drawn:
+        vectors[np.arange(BUCKETS), places] += signs
+    return vectors, np.stack([p for p, _ in drawn]), np.stack([s for _, s in drawn]).astype(np.int64)
 
 
-INDEX = _index_vectors()
+INDEX, PLACES, SIGNS = _index_vectors()
 
 
 def _buckets(hashes: np.ndarray) -> np.ndarray:
     return (mixed(hashes) >> np.uint64(64 - 15)).astype(np.int64)
 
 
-def _documents(column: pa.Array) -> Iterator[tuple[Words, np.ndarray, np.ndarray, np.ndarray]]:
-    """Slices of the column: words, their buckets, the buckets of their forms, and bytes of each text."""
+def _words(column: pa.Array) -> Iterator[tuple[Words, np.ndarray, np.ndarray]]:
+    """Slices of the column: words, their buckets, and bytes of each text."""
     data, offsets = utf8(column)
     for a, b in slices(offsets, SLICE_BYTES):
         words = Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], NOT_SPACE, kinds=KINDS)
+        yield words, _buckets(words.hash), np.diff(offsets[a : b + 1])
+
+
+def _documents(column: pa.Array) -> Iterator[tuple[Words, np.ndarray, np.ndarray, np.ndarray]]:
+    """Slices of the column: words, their buckets, the buckets of their forms, and bytes of each text."""
+    for words, ids, size in _words(column):
         first = words.bytes[words.start]
         second = words.bytes[np.minimum(words.start + 1, np.maximum(words.end - 1, 0))]
         length = np.minimum(words.end - words.start, 15).astype(np.uint64)
@@ -73,7 +81,7 @@ def _documents(column: pa.Array) -> Iterator[tuple[Words, np.ndarray, np.ndarray
         for back in (1, 2, 3):
             again[back:] |= (words.hash[back:] == words.hash[:-back]).astype(np.uint64) << np.uint64(back)
         runs = mixed(words.hash[2:] + mixed(words.hash[1:-1] + mixed(words.hash[:-2])))
-        for i in range(b - a):  # a run of three words that the text had before
+        for i in range(len(size)):  # a run of three words that the text had before
             s, e = words.of_text[i], words.of_text[i + 1] - 2
             if e > s:
                 _, back_to, at = np.unique(runs[s:e], return_index=True, return_inverse=True)
@@ -82,20 +90,26 @@ def _documents(column: pa.Array) -> Iterator[tuple[Words, np.ndarray, np.ndarray
         kind = KINDS[first].astype(np.uint64)
         form = (((kind << np.uint64(4)) | length) << np.uint64(2) | case) + np.uint64(1)
         forms = np.stack([_buckets(form), np.where(again, _buckets(again + np.uint64(1 << 40)), -1)], axis=1)
-        yield words, _buckets(words.hash), forms, np.diff(offsets[a : b + 1])
+        yield words, ids, forms, size
 
 
-def context_sums(column: pa.Array) -> np.ndarray:
-    """Context vectors of all buckets over the texts of a column."""
-    total = np.zeros((BUCKETS, DIMENSIONS), np.int64)
-    for words, ids, _, _ in _documents(column):
+def add_contexts(total: np.ndarray, column: pa.Array) -> None:
+    """Add the context vectors over the texts of a column to ``total``."""
+    flat = total.reshape(-1)
+    for words, ids, _ in _words(column):
         begins = np.zeros(len(ids) + 1, bool)
         begins[words.of_text] = True
         inner = ~begins[1:-1] if len(ids) else begins[:0]
         left, right = ids[:-1][inner], ids[1:][inner]
-        for k in range(DIMENSIONS):
-            beside = np.bincount(left, INDEX[right, k], BUCKETS) + np.bincount(right, INDEX[left, k - 1], BUCKETS)
-            total[:, k] += beside.astype(np.int64)
+        for places, signs in zip(PLACES, SIGNS, strict=True):
+            np.add.at(flat, left * DIMENSIONS + places[right], signs[right])
+            np.add.at(flat, right * DIMENSIONS + (places[left] + 1) % DIMENSIONS, signs[left])
+
+
+def context_sums(column: pa.Array) -> np.ndarray:
+    """Context vectors of all buckets over the texts of a column."""
+    total = np.zeros((BUCKETS, DIMENSIONS), np.int64)
+    add_contexts(total, column)
     return total
 
 
@@ -193,25 +207,35 @@ class Model:
     network: Network
 
 
+def contexts(texts: DataFrame) -> np.ndarray:
+    """Context vectors of all buckets over every row of ``text``: one table a task, summed by bucket."""
+    places = [f"v{k}" for k in range(DIMENSIONS)]
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((BUCKETS, DIMENSIONS), np.int64)
+        for batch in batches:
+            add_contexts(total, batch.column(0))
+        met = np.flatnonzero(total.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(met.astype(np.int32)), *(pa.array(total[met, k]) for k in range(DIMENSIONS))], names=["bucket", *places])
+
+    # Tables are as large as they get after some megabytes of text, so there are as many as tasks that run at once.
+    tasks = max(CONTEXT_TASKS, texts.sparkSession.sparkContext.defaultParallelism)
+    parts = texts.coalesce(tasks).mapInArrow(sums, ", ".join(["bucket int", *(f"{p} long" for p in places)]))
+    found = parts.groupBy("bucket").agg(*[F.sum(p).alias(p) for p in places]).toArrow()
+    context = np.zeros((BUCKETS, DIMENSIONS), np.int64)
+    context[found.column("bucket").to_numpy()] = np.stack([found.column(p).to_numpy() for p in places], axis=1)
+    return context
+
+
 def learn(docs: DataFrame, labels: DataFrame, learnable: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
-    """Word vectors and network from labelled rows where ``learnable`` (on the id) holds."""
+    """Word vectors from all texts, and the network from labelled rows where ``learnable`` (on the id) holds."""
     usable = labels.where(learnable & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("double").alias("label"))
     total = usable.count()
     limit = int(min(1.0, SAMPLE / max(total, 1)) * (1 << 20))
     picked = usable.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < limit)  # about SAMPLE rows: small enough to broadcast
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sample = texts.join(F.broadcast(picked), "id").repartition(CONTEXT_TASKS, "id").sortWithinPartitions("id")
-
-    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((BUCKETS, DIMENSIONS), np.int64)
-        for batch in batches:
-            total += context_sums(batch.column("text"))
-        yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.int32).tobytes()], pa.binary())], names=["sums"])
-
-    context = np.zeros((BUCKETS, DIMENSIONS), np.int64)
-    for row in sample.mapInArrow(contexts, "sums binary").toLocalIterator():
-        context += np.frombuffer(bytes(row["sums"]), np.int32).reshape(BUCKETS, DIMENSIONS)
-    vectors = word_vectors(context)
+    vectors = word_vectors(contexts(texts.select("text")))
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -99,6 +99,16 @@ def test_context_vectors_by_definition():
     assert np.count_nonzero(total.any(axis=1)) == 2
 
 
+def test_context_vectors_cover_every_document(spark, make_docs, monkeypatch):
+    rows = [(i, f"w{i} next x{i} {'abc'[i % 3] * 5} end") for i in range(300)] + [(300, None), (301, ""), (5, "again w5")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    monkeypatch.setattr(quality, "SAMPLE", 20)
+    model = quality.learn(make_docs(rows).repartition(13), labels, F.lit(True))
+    total = quality.context_sums(pa.array([t for _, t in rows]))
+    assert np.array_equal(model.vectors, quality.word_vectors(total))
+    assert np.count_nonzero(total.any(axis=1)) > 250  # words of unlabelled rows too
+
+
 def test_temperature_softens_a_sure_network():
     r = np.random.default_rng(0)
     x = r.normal(size=(2000, 5)).astype(np.float32)
