@@ -8,8 +8,7 @@ Letters are folded to lower case; a stretch of other characters counts as one bl
 one. Letters beyond a-z share ``SYMBOLS`` - 27 vectors by code point.
 
 Prototypes are learned from a sample of about ``SAMPLE`` texts a language, picked by a hash of the id; sums are of
-integers, so a model does not depend on the order of tasks. At most ``LANGUAGES`` languages are learned, the most
-frequent ones, ties by name.
+integers, so a model does not depend on the order of tasks. Every language that labels a text with letters is learned.
 
 Null, empty and letter-free texts are ``und`` with score 0, as is every text when nothing could be learned. Ties go
 to the name that sorts first. Texts count whole. Columns other than those named are not read.
@@ -28,12 +27,13 @@ from pyspark.sql import functions as F
 
 from casebridge.llm.words import slices
 
-DIMENSIONS = 512
+DIMENSIONS = 2048
 SYMBOLS = 64
 SAMPLE = 1_500
-LANGUAGES = 200
 UNDETERMINED = "und"
 SLICE_CHARS = 1 << 18
+#: Runs of letters that are bound at once.
+RUNS = 1 << 10
 #: Prototypes are sums of unit vectors in steps of 1 / SCALE.
 SCALE = 1 << 16
 
@@ -60,6 +60,11 @@ def letter_vectors() -> tuple[np.ndarray, np.ndarray]:
 
 def text_vectors(column: pa.Array) -> Iterator[np.ndarray | None]:
     """The vector of each text; None for a text without letters."""
+    return (v for v, _ in vectors_and_letters(column))
+
+
+def vectors_and_letters(column: pa.Array) -> Iterator[tuple[np.ndarray | None, int]]:
+    """The vector of each text, None for a text without letters, and how many letters it has."""
     column = column.cast(pa.large_string()).fill_null("")
     sizes = pc.utf8_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
     ends = np.concatenate([[0], np.cumsum(sizes)])
@@ -71,8 +76,9 @@ def text_vectors(column: pa.Array) -> Iterator[np.ndarray | None]:
         symbols = table[points]
         for i in range(a, b):
             own = symbols[ends[i] - ends[a] : ends[i + 1] - ends[a]]
-            if not own.any():
-                yield None
+            n_letters = int(np.count_nonzero(own))
+            if not n_letters:
+                yield None, 0
                 continue
             own = np.concatenate([[0], own, [0]]).astype(np.int32)
             keep = own != 0
@@ -80,20 +86,21 @@ def text_vectors(column: pa.Array) -> Iterator[np.ndarray | None]:
             keep[0] = True
             own = own[keep]
             runs, counts = np.unique((own[:-2] * SYMBOLS + own[1:-1]) * SYMBOLS + own[2:], return_counts=True)
-            bound = pairs[runs // SYMBOLS]
-            bound *= letters[runs % SYMBOLS]
-            yield counts.astype(np.float32) @ bound.astype(np.float32)
+            total = np.zeros(DIMENSIONS, np.float32)
+            for first in range(0, len(runs), RUNS):
+                some = runs[first : first + RUNS]
+                bound = pairs[some // SYMBOLS]
+                bound *= letters[some % SYMBOLS]
+                total += counts[first : first + RUNS].astype(np.float32) @ bound.astype(np.float32)
+            yield total, n_letters
 
 
 def learn(docs: DataFrame, learnable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, np.ndarray]:
     """Unit prototype of each language, from rows where ``learnable`` holds and the language is not null."""
-    known = docs.where(learnable & F.col(lang_col).isNotNull())
-    counts = known.groupBy(F.col(lang_col).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not counts:
-        return {}
-    chance = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, SAMPLE / r["count"]))])
-    picked = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)) < chance[F.col(lang_col)] * (1 << 20)
-    sample = known.where(picked).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    known = docs.where(learnable & F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    chances = known.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(SAMPLE)) / F.count(F.lit(1))).alias("chance"))
+    picked = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.col("chance") * (1 << 20)
+    sample = known.join(F.broadcast(chances), "lang").where(picked).select("lang", "text")  # a row for each language
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -113,26 +120,28 @@ def learn(docs: DataFrame, learnable: Column, id_col: str = "doc_id", text_col:
 
     parts = sample.mapInArrow(sums, "lang string, place int, value long")
     found: dict[str, np.ndarray] = {}
-    for r in parts.groupBy("lang", "place").agg(F.sum("value").alias("value")).collect():
+    for r in parts.groupBy("lang", "place").agg(F.sum("value").alias("value")).toLocalIterator():
         found.setdefault(r["lang"], np.zeros(DIMENSIONS))[r["place"]] = r["value"]
     return {k: (v / np.linalg.norm(v)).astype(np.float32) for k, v in sorted(found.items()) if v.any()}
 
 
 def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, ``lang_pred`` and ``score`` (the cosine, not below 0) of every row."""
+    """``id_col``, ``lang_pred``, ``score`` (the cosine, not below 0) and ``letters`` (how many) of every row."""
     names = [UNDETERMINED, *prototypes]
     matrix = np.stack(list(prototypes.values())) if prototypes else np.zeros((0, DIMENSIONS), np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lang, score = [], []
-            for v in text_vectors(batch.column(1)):
+            lang, score, letters = [], [], []
+            for v, n in vectors_and_letters(batch.column(1)):
                 size = 0.0 if v is None else float(np.linalg.norm(v))
                 near = matrix @ v / size if size else matrix[:0, 0]
                 best = int(near.argmax()) if len(near) else -1
                 lang.append(names[best + 1])
                 score.append(min(1.0, max(0.0, float(near[best]))) if best >= 0 else 0.0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[id_col, "lang_pred", "score"])
+                letters.append(n)
+            columns = [batch.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(letters, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[id_col, "lang_pred", "score", "letters"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, F.col(text_col).alias("text")).mapInArrow(run, f"{id_col} {kind}, lang_pred string, score double")
+    return docs.select(id_col, F.col(text_col).alias("text")).mapInArrow(run, f"{id_col} {kind}, lang_pred string, score double, letters long")

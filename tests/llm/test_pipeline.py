@@ -1,5 +1,6 @@
 """The pipeline stage by stage against plain versions on its own inputs, and its whole run."""
 
+import random
 import re
 import sys
 
@@ -7,7 +8,7 @@ import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from casebridge.llm import decontam, pii, tables
+from casebridge.llm import decontam, langid, pii, tables
 from casebridge.llm.tables import load, split_by_ids, without_ids
 
 sys.path.insert(0, __file__.rsplit("/", 1)[0])
@@ -95,3 +96,21 @@ def test_id_filter_loses_nothing_when_full(spark, monkeypatch, words):
     assert rest.join(ids, "id").count() == 0
     assert without_ids(rows, ids, "id").count() == 751
     assert without_ids(rows, ids.limit(0), "id").count() == 1001
+
+
+def test_language_rejects_random_and_foreign_texts_of_any_length(spark, medium, stages):
+    r = random.Random(4)
+    alphabets = ["abcdefghijklmnopqrstuvwxyz", [chr(c) for c in range(0x430, 0x450)], [chr(c) for c in range(0x4E00, 0x5E00)]]
+    made = [" ".join("".join(r.choices(a, k=r.randrange(3, 9))) for _ in range(n)) for a in alphabets for n in (20, 50, 200, 500, 3000) for _ in range(6)]
+    planted = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(made)], "doc_id long, text string, lang string")
+    docs = stages[0].select("doc_id", "text", "lang").unionByName(planted)
+    assert set(texts_of(corpus_pipeline.language(spark, docs, medium))) == set(texts_of(stages[1]))
+
+
+def test_rare_languages_are_learned(spark, make_docs):
+    docs = make_docs([(i, t) for i, t in enumerate(["the same words", "andere woorden hier"] * 2)])
+    many = spark.range(300).select(F.lit(9).cast("long").alias("doc_id"), F.lit("the same words").alias("text"), F.format_string("a%03d", "id").alias("lang"))
+    rare = docs.where("doc_id = 1").select("doc_id", "text", F.lit("z").alias("lang"))
+    prototypes = langid.learn(many.unionByName(rare), F.lit(True))
+    assert len(prototypes) == 301
+    assert langid.identify(rare, prototypes).first()["lang_pred"] == "z"
