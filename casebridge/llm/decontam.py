@@ -6,9 +6,13 @@ edits, one piece survives unchanged, so every match shows as an exact piece hit
 looked up at once in one pass over the document. The stretch around a hit that could hold the item is then searched
 with Myers' bit-parallel algorithm, and overlapping stretches of one item are searched once.
 
-Items shorter than ``SHORTEST`` characters say too little to be told from ordinary prose and are not looked for.
-Items are taken in blocks of about ``BLOCK_CHARS`` characters; each block is sent to the executors and passes over all
-documents, so neither the benchmark's size nor the documents' is limited.
+Items shorter than ``SHORTEST`` characters must stand unchanged, and not inside a longer word: where the characters on
+both sides of an end are letters, marks or digits, the item does not match, unless one is of a script that writes no
+blanks between words.
+
+Distinct items are dealt by hash into blocks of about ``BLOCK_CHARS`` characters; one block after the other is sent to
+the executors and passes over all documents. The driver and each worker hold the texts of one block at a time, two with
+the worker's finders.
 
 Null and empty texts on either side match nothing. Of several occurrences of an item in a document the one with the
 smallest distance counts, then the first. Repeated rows each get their results; an item_id that comes with several
@@ -18,6 +22,7 @@ texts is looked for by each, and the best match counts. Positions are code point
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache, reduce
@@ -28,11 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casebridge.llm.tables import staged
+
 CHARS_PER_EDIT = 16
 SHORTEST = 24
 BLOCK_CHARS = 2_000_000
 
 _WORD = re.compile(r"\S+")
+#: Scripts without blanks between words: Thai to Myanmar, Khmer, kana, Han.
+_UNSPACED = re.compile("[\u0e00-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
 Items = tuple[tuple[int, str], ...]
 
 
@@ -59,7 +68,15 @@ def normalise_with_places(text: str) -> tuple[str, list[int]]:
 
 
 def edits_allowed(item: str) -> int:
-    return len(item) // CHARS_PER_EDIT
+    return len(item) // CHARS_PER_EDIT if len(item) >= SHORTEST else 0
+
+
+def _in_word(text: str, at: int) -> bool:
+    """Whether the place before ``text[at]`` lies inside a word."""
+    if not 0 < at < len(text):
+        return False
+    sides = text[at - 1], text[at]
+    return all(c.isalnum() or unicodedata.category(c)[0] == "M" for c in sides) and not any(_UNSPACED.match(c) for c in sides)
 
 
 def pieces(item: str) -> list[tuple[int, str]]:
@@ -114,6 +131,7 @@ class Finder:
 
     def __init__(self, items: Items) -> None:
         self.items = items
+        self.short = [len(item) < SHORTEST for _, item in items]
         where: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for number, (_, item) in enumerate(items):
             for offset, piece in pieces(item):
@@ -131,10 +149,16 @@ class Finder:
             return []
         text = normalise(source)
         diagonals: dict[int, set[int]] = defaultdict(set)
+        found: dict[int, tuple[int, int, int]] = {}
         for last, (size, uses) in self.automaton.iter(text):
             for number, offset in uses:
-                diagonals[number].add(last + 1 - size - offset)
-        found: dict[int, tuple[int, int, int]] = {}
+                if not self.short[number]:
+                    diagonals[number].add(last + 1 - size - offset)
+                    continue
+                match = 0, last + 1 - size, last + 1
+                key = self.items[number][0]
+                if (key not in found or match < found[key]) and not _in_word(text, match[1]) and not _in_word(text, match[2]):
+                    found[key] = match
         for number, at in diagonals.items():
             key, item = self.items[number]
             k = edits_allowed(item)
@@ -166,17 +190,18 @@ def _finder(items: Items) -> Finder:
 def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``id_col, item_id, distance, start, end`` of every document and item found in it."""
     spark = docs.sparkSession
-    items = benchmark.where(F.col(item_text_col).isNotNull() & F.col(item_col).isNotNull()).select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text"))
+    items = benchmark.where(F.col(item_text_col).isNotNull() & F.col(item_col).isNotNull())
+    items = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text")).distinct()
     total = items.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
     blocks = max(1, ceil(total / BLOCK_CHARS))
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"{id_col} {kind}, item_id long, distance int, start int, end int"
-    texts = docs.select(id_col, F.col(text_col).alias("text"))
+    schema = f"{id_col} {kind}, row long, item_id long, distance int, start int, end int"
+    texts = docs.select(id_col, F.col(text_col).alias("text"), (F.xxhash64(text_col) if blocks > 1 else F.lit(0).cast("long")).alias("row"))
 
     def one(block: int) -> DataFrame:
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).collect()
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
         block_items = {(r["item_id"], normalise(r["text"])) for r in rows}
-        shared = spark.sparkContext.broadcast(tuple(sorted(i for i in block_items if len(i[1]) >= SHORTEST)))
+        shared = spark.sparkContext.broadcast(tuple(sorted(i for i in block_items if i[1])))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             finder = _finder(shared.value)
@@ -187,10 +212,21 @@ def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                         rows.append(i)
                         found.append(match)
                 columns = list(zip(*found, strict=True)) or [()] * 4
-                ids = batch.column(0).take(pa.array(rows, pa.int64()))
+                of = pa.array(rows, pa.int64())
                 types = [pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-                yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names=[id_col, "item_id", "distance", "start", "end"])
-
-        return texts.mapInArrow(run, schema)
-
-    return reduce(DataFrame.unionAll, [one(b) for b in range(blocks)])
+                matches = (pa.array(c, t) for c, t in zip(columns, types, strict=True))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(of), batch.column(2).take(of), *matches], names=[id_col, "row", "item_id", "distance", "start", "end"])
+
+        found = texts.mapInArrow(run, schema)
+        if blocks > 1:  # this block goes before the next one comes
+            found = staged(found.withColumn("block", F.lit(block)), f"block{block}")
+            shared.destroy()
+        return found
+
+    every = reduce(DataFrame.unionAll, [one(b) for b in range(blocks)])
+    if blocks > 1:  # texts of one item_id may be in several blocks; each has a match once for every row that repeats the document
+        own = [F.col(c) for c in (id_col, "row", "item_id")]
+        by_block = every.groupBy(*own, "block", "distance", "start", "end").count()
+        best = by_block.groupBy(*own).agg(F.min(F.struct("distance", "start", "end", "block", "count")).alias("best"))
+        every = best.select(id_col, "item_id", F.explode(F.expr("array_repeat(best, int(best.count))")).alias("best")).select(id_col, "item_id", "best.distance", "best.start", "best.end")
+    return every.select(id_col, "item_id", "distance", "start", "end")

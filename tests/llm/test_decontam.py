@@ -92,3 +92,35 @@ def test_several_blocks_and_edge_rows(spark, edge_docs, no_docs, make_docs, monk
     assert decontam.find_items(edge_docs, benchmark.limit(0)).collect() == []
     twice = make_docs([(1, item), (1, item)])
     assert decontam.find_items(twice, benchmark.where("item_id = 1")).count() == 2
+
+
+@pytest.mark.parametrize(
+    ("item", "source", "expected"),
+    [
+        ("What is 2+2?", "Q:  what is\n2+2? A: 4", (4, 16)),
+        ("2+2=4", "12+2=4, 2+2=45 and 2+2=4.", (19, 24)),
+        ("2+2=4", "12+2=4, 2+2=45", None),
+        ("cat", "concat cats, a CAT!", (15, 18)),
+        ("cat", "concat cats", None),
+        ("巴黎是哪国首都", "问巴黎是哪国首都吗", (1, 8)),
+        ("a line of 20 letters", "a line of 21 letters", None),
+    ],
+)
+def test_short_items_are_found_verbatim_at_word_bounds(item, source, expected):
+    found = decontam.Finder(((1, decontam.normalise(item)),)).matches(source)
+    assert found == ([(1, 0, *expected)] if expected else [])
+
+
+def test_texts_of_one_item_in_several_blocks(spark, make_docs, monkeypatch):
+    texts = [f"question {i} of the test, which of its parts is the longest" for i in range(30)]
+    benchmark = spark.createDataFrame([(1, t) for t in texts] + [(2, "six by seven"), (2, "what is six by seven")] * 3, "item_id long, text string")
+    near = texts[4].replace("longest", "longer")
+    docs = make_docs([(1, f"{near} {texts[9]}"), (1, "six by seven"), (2, texts[3]), (2, texts[3]), (3, "six by seventy")])
+    one = sorted(tuple(r) for r in decontam.find_items(docs, benchmark).collect())
+    assert [r[:3] for r in one] == [(1, 1, 0), (1, 2, 0), (2, 1, 0), (2, 1, 0)]
+    collected = []
+    broadcast = spark.sparkContext.broadcast
+    monkeypatch.setattr(decontam, "BLOCK_CHARS", 400)
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda v: collected.append(sum(len(t) for _, t in v)) or broadcast(v))
+    assert sorted(tuple(r) for r in decontam.find_items(docs, benchmark).collect()) == one
+    assert len(collected) == 5 and max(collected) < 900
