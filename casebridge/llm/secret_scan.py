@@ -3,7 +3,8 @@
 The novelty of a candidate is what it adds to the compressed size of the text around it, by a zstandard compressor
 primed with a dictionary of code words and identifiers, divided by its own bytes. Words, paths, names that occur
 nearby and repeated strings cost little; random material costs about its full entropy. Candidates are long strings
-with letters and digits that follow a sensitive word closely. Those at or above ``NOVELTY`` are reported as kind
+with letters and digits that start at most ``REACH`` characters after a sensitive word, or end as closely before one.
+Those at or above ``NOVELTY`` are reported as kind
 ``novel`` unless a pattern already covers them.
 
 Positions are code points, the end is exclusive. Null text counts as empty. Repeated rows each get a result; other
@@ -46,7 +47,8 @@ CODE_WORDS = (
 _ASSIGN = re.compile(r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+_LEAST = 16
+_CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{_LEAST},}}")
 _SENSITIVE = re.compile("|".join(SENSITIVE), re.IGNORECASE | re.ASCII)
 _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
@@ -86,18 +88,31 @@ def novel(text: str, low: str, base: list[Span]) -> list[Span]:
         return []
     found: list[Span] = []
     done = 0
+
+    def judge(a: int, b: int) -> None:
+        s = text[a:b]
+        if not any(c.isdigit() for c in s) or not any(c.isalpha() for c in s) or any(x < b and a < y for _, x, y in base):
+            return
+        around = text[max(0, a - AROUND) : a] + text[b : b + AROUND]
+        if novelty(s, around) >= NOVELTY:
+            found.append(("novel", a, b))
+
+    runs = [m.span() for m in _CANDIDATE.finditer(text)]
+    first = 0  # of the runs that may stand before this word or a later one
     for word in _SENSITIVE.finditer(text):
-        for m in _CANDIDATE.finditer(text, max(done, word.end()), min(len(text), word.end() + REACH)):
-            a, b = m.start(), m.end()
-            if b == word.end() + REACH:  # the string runs on past the reach
+        while first < len(runs) and runs[first][1] <= word.start():
+            a, b = runs[first]
+            if a >= done and word.start() - b <= REACH:
+                done = b
+                judge(a, b)
+            first += 1
+        last = word.end() + REACH + _LEAST
+        for m in _CANDIDATE.finditer(text, max(done, word.end()), min(len(text), last)):
+            a, b = m.span()
+            if b == last:  # the string may run on
                 b = _CANDIDATE.match(text, a).end()
             done = b
-            s = text[a:b]
-            if not any(c.isdigit() for c in s) or not any(c.isalpha() for c in s) or any(x < b and a < y for _, x, y in base):
-                continue
-            around = text[max(0, a - AROUND) : a] + text[b : b + AROUND]
-            if novelty(s, around) >= NOVELTY:
-                found.append(("novel", a, b))
+            judge(a, b)
     return found
 
 

@@ -115,6 +115,15 @@ def test_novel_strings_in_a_sensitive_context(text, expected):
     assert [text[a:b] for k, a, b, _ in secret_scan.spans_of(text) if k == "novel"] == expected
 
 
+@pytest.mark.parametrize("gap", [1, 31, 33, 47, 48])
+def test_novel_strings_on_both_sides_within_reach(gap):
+    for text, at in ((f"the secret{' ' * gap}{RANDOM} ok", 10 + gap), (f"ok {RANDOM}{' ' * gap}is secret", 3)):
+        reached = text.index("secret") - at - len(RANDOM) <= secret_scan.REACH
+        expected = [("novel", at, at + len(RANDOM))] if reached else []
+        assert [s[:3] for s in secret_scan.spans_of(text)] == expected
+    assert secret_scan.spans_of(f"the secret{' ' * 49}{RANDOM} ok") == []
+
+
 @pytest.mark.parametrize("name", ["op2_pii", "op5_secret_scan"])
 def test_query_against_plain_expressions(spark, medium, name):
     plain, kinds = (plain_pii, pii.KINDS) if name == "op2_pii" else (plain_secrets, secret_scan.KINDS[:3])
