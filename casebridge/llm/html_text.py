@@ -2,8 +2,8 @@
 
 Every paragraph earns points for itself, its commas and its length, less the share of its text that is link text. The
 points go in full to the element that holds it, by half to the next one out and by a third, a quarter .. beyond.
-The best element, its score again discounted by its own link share, is the article; elements beside it that
-score well enough, or are plain paragraphs, are kept with it. Menus, headers, footers, sidebars, notices, adverts,
+The best element, its score again discounted by its own link share, is the article, with the elements around it that
+hold nothing else. Elements beside it that have few links or score well enough are kept with it. Menus, headers, footers, sidebars, notices, adverts,
 forms, comments of readers, scripts and styles are left out wherever they stand, by tag, role, class or id.
 
 Null, empty and text-free pages give an empty text. Pages are independent rows: ties go to the outermost, then the
@@ -197,13 +197,13 @@ def main_text(html: str | None) -> str:
             break
         outer = outer.parent
     enough = max(10.0, 0.2 * rank(best))
+    while best.parent is not None and best.name not in ("article", "main") and best.parent.name in HOLDS_PARAGRAPHS - {"body"} and best.parent.chars == best.chars:
+        best = best.parent
     kept = {id(best)}
     if best.parent is not None and best.name not in ("article", "main", "body"):
         for e in every:
             if e.parent is best.parent and e.chars:
-                density = e.linked / e.chars
-                plain = e.name in PLAIN and density < 0.25
-                if plain or e.name in HOLDS_PARAGRAPHS and rank(e) >= enough:
+                if e.linked / e.chars < 0.25 or e.name in HOLDS_PARAGRAPHS and rank(e) >= enough:
                     kept.add(id(e))
     elif best.name in ("article", "main"):
         for e in held.values():  # an article in several parts

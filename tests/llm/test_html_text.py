@@ -73,6 +73,15 @@ def test_noise_around_an_article(noise, shape):
     assert html_text.main_text(html) == f"Title\n{PROSE.strip()}\nShort end."
 
 
+@pytest.mark.parametrize("part", ["<div>{}</div>", "<section>{}</section>", "<div><div>{}</div></div>"])
+def test_a_page_in_parts_keeps_its_short_ones(part):
+    links = "<div><a href=1>one</a> <a href=2>two</a></div><div class=related><p>Other stories.</p></div>"
+    long = "".join(f"<p>{PROSE} {PROSE}</p>" for _ in range(10))
+    parts = part.format("<p>Opening.</p>") + part.format(long) + part.format("<p>Short closing paragraph.</p>")
+    expected = ["Opening.", *[f"{PROSE}{PROSE}".replace("  ", " ").strip()] * 10, "Short closing paragraph."]
+    assert html_text.main_text(f"<html><body><div>{parts}{links}</div></body></html>") == "\n".join(expected)
+
+
 def test_comments_inside_the_article_go_and_a_long_page_stays_whole():
     html = f"<article><p>{PROSE}</p><div id=comments><p>{PROSE}</p></div></article>"
     assert html_text.main_text(html) == PROSE.strip()
