@@ -18,7 +18,7 @@ so that a hot group spreads over many tasks; no task holds more than two blocks.
 member's share of blocks, never all pairs.
 
 With 20 bands of 4 rows, a pair right at 0.85 shares no band with probability 4e-7, less above; the margin of 5
-standard errors loses as many again. Set hashes have 64 bits, class keys 128 and the size.
+standard errors loses up to 3e-6 more (binomial tail). Set hashes have 64 bits, class keys 128 and the size.
 
 Null, empty and blank texts have empty sets, are their own component and kept. Rows that repeat a doc_id: each row
 follows the class of its own text. Columns other than id and text are not read.
