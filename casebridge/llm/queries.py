@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebridge.llm import decontam, html_text, langid, licenses, minhash, packing, pii, quality, secret_scan, topk
+from casebridge.llm import decontam, html_text, langid, licenses, minhash, packing, pii, quality, secret_scan, simhash, topk
 from casebridge.llm.tables import count_kind, crc_mod, load, span_list
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,11 @@ def op10_license_scan(spark, sf_dir):
     )
 
 
+def op12_simhash_near_dedup(spark, sf_dir):
+    found = simhash.near_duplicates(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -95,6 +100,7 @@ QUERIES: dict[str, Query] = {
         op8_exact_top_k,
         op9_benchmark_decontamination,
         op10_license_scan,
+        op12_simhash_near_dedup,
     )
 }
 

@@ -1,0 +1,102 @@
+"""SimHash components against all pairs of fingerprints counted in plain Python."""
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from casebridge.llm import queries, simhash
+
+
+def plain_fingerprint(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    for c in "\t\n\x0b\x0c\r":
+        lowered = lowered.replace(c, " ")
+    words = [w for w in lowered.split(" ") if w]
+    if not words:
+        return 0
+    grams = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << i for i in range(64) if 2 * sum(h >> i & 1 for h in hashes) > len(hashes))
+
+
+def plain(rows):
+    """(doc_id, fingerprint, component) of rows, by a flood over all pairs of fingerprints."""
+    prints = [plain_fingerprint(t) for _, t in rows]
+    return components(rows, prints)
+
+
+def components(rows, prints):
+    distinct = np.unique(np.array(prints, np.uint64))
+    group = {}
+    for i in range(len(distinct)):
+        if i in group:
+            continue
+        group[i], queue = i, [i]
+        while queue:
+            at = queue.pop()
+            for j in np.flatnonzero(np.bitwise_count(distinct ^ distinct[at]) <= 3).tolist():
+                if j not in group:
+                    group[j] = i
+                    queue.append(j)
+    of = [group[int(np.searchsorted(distinct, np.uint64(p)))] for p in prints]
+    least = {}
+    for (doc_id, _), g in zip(rows, of, strict=True):
+        least[g] = min(least.get(g, doc_id), doc_id)
+    return sorted((r[0], f"{p:016x}", least[g]) for r, p, g in zip(rows, prints, of, strict=True))
+
+
+def found(df):
+    return sorted((r["doc_id"], f"{r['fp'] & (1 << 64) - 1:016x}", r["component_id"]) for r in df.collect())
+
+
+def test_edge_rows(edge_docs):
+    rows = [(r["doc_id"], r["text"]) for r in edge_docs.collect()]
+    assert found(simhash.near_duplicates(edge_docs)) == plain(rows)
+
+
+def test_empty_table(no_docs):
+    assert simhash.near_duplicates(no_docs).collect() == []
+
+
+def test_hash_is_sparks(spark):
+    text = "The Quick bröwn fox\tjumps\r\nover 你好 it"
+    grams = ["the quick bröwn", "quick bröwn fox", "bröwn fox jumps", "fox jumps over", "jumps over 你好", "over 你好 it"]
+    expected = [r[0] for r in spark.createDataFrame([(g,) for g in grams], "g string").select(F.xxhash64("g")).collect()]
+    assert [h for run in simhash.shingle_hashes(text) for h in run.view(np.int64).tolist()] == expected
+
+
+@pytest.mark.parametrize("cell", [4, 1024])
+def test_planted_distances(spark, monkeypatch, cell):
+    """Chains and clouds of fingerprints at known distances, hot variants cut into many cells."""
+    monkeypatch.setattr(simhash, "CELL_ROWS", cell)
+    r = np.random.default_rng(5)
+    prints = [int(p) for p in r.integers(0, 1 << 64, 60, dtype=np.uint64)]
+    flips = lambda p, n, bits: p ^ sum(1 << int(b) for b in r.choice(bits, n, replace=False))
+    for p in prints[:20]:
+        prints += [flips(p, n, 64) for n in (1, 2, 3, 3, 3, 4, 5)]
+    hub = prints[0]
+    prints += [flips(hub, int(r.integers(1, 4)), 32) for _ in range(60)]  # all in one half: the other half's variants are hot
+    chain = [prints[5]]
+    for _ in range(12):
+        chain.append(flips(chain[-1], 3, 64))
+    prints += [*chain, 0, 0, 7, (1 << 64) - 1]
+    rows = [(i, None) for i in r.permutation(len(prints)).tolist()]
+    signed = [(i, p - (1 << 64) if p >> 63 else p) for (i, _), p in zip(rows, prints, strict=True)]
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, *_: docs)
+    assert found(simhash.near_duplicates(spark.createDataFrame(signed, "doc_id long, fp long"))) == components(rows, prints)
+
+
+def test_query_against_all_pairs(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    df = queries.op12_simhash_near_dedup(spark, small)
+    assert df.dtypes == [("doc_id", "bigint"), ("fingerprint", "string"), ("component_id", "bigint")]
+    assert sorted(tuple(r) for r in df.collect()) == plain(rows)
+
+
+def test_long_text_in_runs(monkeypatch):
+    text = "Alpha beta  gamma delta\n" * 50 + "end"
+    whole = simhash.fingerprint(text)
+    monkeypatch.setattr(simhash, "RUN", 7)
+    assert simhash.fingerprint(text) == whole == plain_fingerprint(text)
