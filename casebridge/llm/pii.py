@@ -5,9 +5,12 @@ copied from a position of the source or stands for a source range. Two transduce
 on characters (look-alike letters, full-width forms, invisible characters), the second on words (bracketed or
 spelled "at" and "dot", spelled digits). Identifiers found in the result are mapped back through both.
 
-Spans found without any edit are the base; spans that touch an edit are added unless they overlap a base span of
-their kind. Positions are code points, the end is exclusive. Null text counts as empty and has no spans. Repeated
-rows each get their own result; columns other than id and text are never read, so clashing names do no harm.
+Spans found without any edit are the base; spans that touch an edit are added unless a base span of their kind holds them.
+An added span may thus hold a base one that is only a part of the identifier (an address whose local part has a
+look-alike letter); masks cover the union. Positions are code points, the end is exclusive.
+
+Null and empty texts have no spans, an empty table gives no rows, and very long texts and runs of digits are read once.
+Repeated rows each get their own result; columns other than id and text are never read, so clashing names do no harm.
 """
 
 from __future__ import annotations
@@ -44,8 +47,12 @@ _LOCAL = frozenset(ascii_letters + digits + "._%+-")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_ODD = re.compile(f"[{INVISIBLE}{''.join(LOOKALIKES)}！-～‐-―․\U0001d400-\U0001d7ff]")
+# Digits of other scripts and in circles, by their value.
+DIGITS = {c: str(unicodedata.digit(c)) for c in map(chr, range(128, 0x20000)) if unicodedata.digit(c, None) is not None}
+_ODD = re.compile(f"[{INVISIBLE}{''.join(LOOKALIKES)}{''.join(DIGITS)}！-～‐-―․\U0001d400-\U0001d7ff]")
 _WORD = "(?:" + "|".join(DIGIT_WORDS) + ")"
+# Between spelled digits; possessive, since no digit begins with these.
+_GAP = r"(?:[\s.-]++|\s++dot\s++)"
 # White space in front counts from the start of its run, for the same reason.
 _BEFORE = r"(?:(?<!\s)\s+)?"
 _AT = _BEFORE + r"[\[({<]\s*(?:at|@)\s*[\])}>]\s*"
@@ -53,12 +60,12 @@ _DOT = _BEFORE + r"[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*"
 _WORDS = re.compile(
     rf"(?P<at>{_AT}|(?<=[a-z0-9])\s+at\s+(?=[a-z0-9-]+(?:(?:\s+dot\s+|{_DOT})[a-z0-9-]+)+))"
     rf"|(?P<dot>{_DOT}|(?<=[a-z0-9])\s+dot\s+(?=[a-z0-9]))"
-    rf"|(?P<run>\b(?:plus\s+)?{_WORD}\b(?:[\s.-]+(?:{_WORD}|[0-9]+)\b)+)",
+    rf"|(?P<run>\b(?:plus\s+)?{_WORD}\b(?:{_GAP}(?:{_WORD}|[0-9]+)\b)+)",
     re.IGNORECASE | re.ASCII,
 )
-_RUN_PART = re.compile(rf"plus\s+|{_WORD}|\s+", re.IGNORECASE | re.ASCII)
+_RUN_PART = re.compile(rf"plus\s+|\s+dot\s+|{_WORD}|\s+", re.IGNORECASE | re.ASCII)
 _BRACKETED = re.compile(r"[\[({<]\s*(?:at|@|dot|\.)\s*[\])}>]|\sdot\s", re.IGNORECASE)
-_SPELLED = re.compile(rf"\b{_WORD}\b(?:[\s.-]+(?:{_WORD}|[0-9]+)\b){{3}}", re.IGNORECASE | re.ASCII)
+_SPELLED = re.compile(rf"\b{_WORD}\b(?:{_GAP}(?:{_WORD}|[0-9]+)\b){{3}}", re.IGNORECASE | re.ASCII)
 
 Span = tuple[str, int, int]
 Edit = tuple[int, int, str]
@@ -107,14 +114,14 @@ def character_edits(text: str) -> list[Edit]:
         elif "‐" <= c <= "―":
             plain = "-"
         else:
-            plain = LOOKALIKES.get(c) or unicodedata.normalize("NFKC", c)
+            plain = LOOKALIKES.get(c) or DIGITS.get(c) or unicodedata.normalize("NFKC", c)
         if plain.isascii():
             edits.append((m.start(), m.end(), plain))
     return edits
 
 
 def word_edits(text: str) -> list[Edit]:
-    """Bracketed and spelled "at" and "dot", and runs of spelled digits."""
+    """Bracketed and spelled "at" and "dot", and runs of spelled digits, spelled dots among them."""
     edits: list[Edit] = []
     for m in _WORDS.finditer(text):
         if m["at"]:
@@ -123,8 +130,11 @@ def word_edits(text: str) -> list[Edit]:
             edits.append((m.start(), m.end(), "."))
         else:
             for part in _RUN_PART.finditer(text, m.start(), m.end()):
-                word = part[0].lower()
-                plain = "+" if word.startswith("plus") else DIGIT_WORDS.get(word, " ")
+                word = part[0].lower().strip()
+                if word:
+                    plain = {"plus": "+", "dot": "."}.get(word) or DIGIT_WORDS[word]
+                else:  # spelled digits stand for one number, whatever the blanks between them
+                    plain = "" if text[part.start() - 1].isalpha() and text[part.end()].isalpha() else " "
                 if plain != part[0]:
                     edits.append((part.start(), part.end(), plain))
     return edits
@@ -154,7 +164,7 @@ def identifiers(text: str) -> list[Span]:
             found.append(("email", start, done))
         at = text.find("@", max(at + 1, done))
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p) <= 3 and int(p or "0") <= 255 for p in (q.lstrip("0") for q in m[0].split("."))):
             found.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 13:
@@ -183,15 +193,18 @@ def disguised(text: str, base: list[Span]) -> list[Span]:
     touched += [(a, b) for a, b, t in edits if not t]
     touched.sort()
     starts = [a for a, _ in touched]
-    taken: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
-    for kind, a, b in base:
-        taken[kind].append((a, b))
+    taken: dict[str, tuple[list[int], list[int]]] = {k: ([], []) for k in KINDS}
+    for kind, a, b in base:  # in order, not overlapping
+        taken[kind][0].append(a)
+        taken[kind][1].append(b)
     added = []
     for kind, a, b in identifiers(steps[0].text):
         for step in steps:
             a, b = step.source_span(a, b)
         i = bisect_right(starts, b - 1)
-        if i and touched[i - 1][1] > a and not any(x < b and a < y for x, y in taken[kind]):
+        begins, ends = taken[kind]
+        k = bisect_right(begins, a) - 1  # the base span that may hold this one
+        if i and touched[i - 1][1] > a and not (k >= 0 and ends[k] >= b):
             added.append((kind, a, b))
     return added
 
@@ -219,7 +232,7 @@ def mask_text(texts: pa.Array) -> pa.Array:
 
 
 def masked(text: str | None) -> str | None:
-    """The text with each span replaced by its kind in brackets; of overlapping spans the first one's kind."""
+    """The text with each span, or union of overlapping ones, replaced by the kind of its first (and longest) in brackets."""
     if text is None:
         return None
     parts, done = [], 0
