@@ -1,14 +1,16 @@
 """Secrets by pattern, and by novelty: strings that a primed compressor cannot shorten.
 
 The novelty of a candidate is what it adds to the compressed size of the text around it, by a zstandard compressor
-primed with a dictionary of code words and identifiers, divided by its own bytes. Words, paths, names that occur
-nearby and repeated strings cost little; random material costs about its full entropy. Candidates are long strings
+primed with a dictionary of code words and identifiers, divided by its own bytes. Words, paths and strings like those
+nearby cost little; random material costs about its full entropy. Other copies of the candidate itself are taken out of
+the text around it first, so a secret that is written several times is reported at every place. Candidates are long strings
 with letters and digits that start at most ``REACH`` characters after a sensitive word, or end as closely before one.
 Those at or above ``NOVELTY`` are reported as kind
 ``novel`` unless a pattern already covers them.
 
-Positions are code points, the end is exclusive. Null text counts as empty. Repeated rows each get a result; other
-columns are not read.
+Positions are code points, the end is exclusive. Null and empty texts have no spans, an empty table gives no rows, and
+very long texts are read once, with a bounded piece around each candidate. Repeated rows each get a result; other columns
+are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -82,6 +84,17 @@ def novelty(candidate: str, around: str) -> float:
     return max(0, len(pack(before + b"\n" + candidate.encode())) - len(pack(before))) / size
 
 
+def surroundings(text: str, a: int, b: int) -> str:
+    """Up to ``AROUND`` characters on both sides of a candidate, without its other copies or cut-off parts of them."""
+    s, n = text[a:b], b - a
+    low, high = max(0, a - AROUND), min(len(text), b + AROUND)
+    cut = text.find(s, max(0, low - n + 1), min(a, low + n - 1))
+    low = cut + n if 0 <= cut < low else low
+    cut = text.rfind(s, max(b, high - n + 1), high + n - 1)
+    high = cut if 0 <= cut < high < cut + n else high
+    return (text[low:a] + "\n" + text[b:high]).replace(s, " ")
+
+
 def novel(text: str, low: str, base: list[Span]) -> list[Span]:
     """Incompressible strings in a sensitive context that no base span overlaps."""
     if not any(w in low for w in SENSITIVE):
@@ -93,8 +106,7 @@ def novel(text: str, low: str, base: list[Span]) -> list[Span]:
         s = text[a:b]
         if not any(c.isdigit() for c in s) or not any(c.isalpha() for c in s) or any(x < b and a < y for _, x, y in base):
             return
-        around = text[max(0, a - AROUND) : a] + text[b : b + AROUND]
-        if novelty(s, around) >= NOVELTY:
+        if novelty(s, surroundings(text, a, b)) >= NOVELTY:
             found.append(("novel", a, b))
 
     runs = [m.span() for m in _CANDIDATE.finditer(text)]
