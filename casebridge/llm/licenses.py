@@ -1,27 +1,32 @@
 """License notices by an exact set-similarity join, and license phrases by their places. DataFrame functions only.
 
-A template is the set of a notice's words. A text block matches it when it holds at least ``CONTAINMENT`` of those
-words. Blocks are joined with templates on shared words under three filters that lose nothing:
+A template is the set of a notice's words. A text matches it where a run of words, up to ``STRETCH`` times as long as the
+notice, holds at least ``CONTAINMENT`` of those words; line ends, comment marks and other signs between words don't
+matter, so a notice may be wrapped or quoted. Texts are joined with templates on shared words under three filters that
+lose nothing:
 
 * *prefix*: words are ordered by how many documents hold them, rare ones first. With ``need`` words to share, a match
   shares one of the first ``size - need + 1`` words of the template and of the block;
 * *length*: a block has at least ``need`` of the templates' words;
 * *position*: after the shared word, both sides still have enough words to reach ``need``.
 
-Overlaps of the remaining pairs are counted in full. The join runs twice: on whole documents, which leaves few, and on
-the lines of those. Only words that occur in some template enter a block's set; the others can't be shared.
+The join runs twice: on whole documents, which leaves few, and on blocks of those that overlap so far that every run lies
+in one. The runs of the remaining blocks are counted in full. Only words that occur in some template enter a block's
+set; the others can't be shared.
 
 Phrases are joined as templates too (all their words needed, a document as the block), and the places where their
 words stand one after another are then counted in the documents that are left.
 
 Words are lower case (A-Z) runs of letters, digits and anything beyond ASCII. Null and empty texts have no words, no
-labels and score 0. Rows that repeat an id and text repeat their result. Other columns are not read.
+labels and score 0; an empty table gives no rows. Texts are read whole, however long. Rows that repeat an id and text
+repeat their result. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 import re
 from math import ceil
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +34,8 @@ from pyspark.sql import functions as F
 from casebridge.llm.tables import split_by_ids, staged
 
 CONTAINMENT = 0.8
+#: Words of a run for each word of the notice.
+STRETCH = 1.5
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # Phrases and their labels.
@@ -54,6 +61,11 @@ def words_of(text: str) -> list[str]:
     return re.findall(WORD, text.lower())
 
 
+def run_length(notice: str) -> int:
+    """Words of a run that may match the notice."""
+    return ceil(STRETCH * len(words_of(notice)))
+
+
 def templates(notices: dict[str, str], phrases: dict[str, str]) -> list[tuple[str, str, list[str], int]]:
     """``kind, name, distinct words, words needed`` of every template."""
     found = [("notice", label, text, CONTAINMENT) for label, text in sorted(notices.items())]
@@ -63,7 +75,8 @@ def templates(notices: dict[str, str], phrases: dict[str, str]) -> list[tuple[st
 
 
 def words_col(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(f"({WORD})"), F.lit(1))
+    folded = F.translate(text, ascii_uppercase, ascii_lowercase)  # lower() would fold other letters, too
+    return F.regexp_extract_all(folded, F.lit(f"({WORD})"), F.lit(1))
 
 
 def _strings(values: list[str]) -> Column:
@@ -107,6 +120,19 @@ def places(words: Column, phrase: str) -> Column:
     return F.filter(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")), here)
 
 
+def _most_held(words: Column, blocks: Column, wanted: list[str], run: int, step: int) -> Column:
+    """The most distinct words of ``wanted`` that a run of words beginning in one of the blocks holds."""
+    listed = _strings(wanted)
+
+    def of_block(block: Column) -> Column:
+        first = block * step
+        places = F.sequence(first, F.least(first + step, F.size(words)) - 1)
+        begins = F.filter(places, lambda i: F.array_contains(listed, F.get(words, i)))
+        return F.coalesce(F.array_max(F.transform(begins, lambda i: F.size(F.array_intersect(F.slice(words, i + 1, F.lit(run)), listed)))), F.lit(0))
+
+    return F.coalesce(F.array_max(F.transform(blocks, of_block)), F.lit(0))
+
+
 def scan_licenses(docs: DataFrame, notices: dict[str, str] = NOTICES, phrases: dict[str, str] = PHRASES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_words, places, base, notices`` of every row.
 
@@ -131,23 +157,41 @@ def scan_licenses(docs: DataFrame, notices: dict[str, str] = NOTICES, phrases: d
     whole = matching_blocks(tokens.select("doc_id", "text_key", as_ranks("known").alias("ranks")), template_rows, "doc_id", "text_key")
     wanted = staged(whole.select("doc_id", "text_key").distinct(), "wanted")
     maybe, _ = split_by_ids(texts.withColumn("text_key", F.xxhash64("text")), wanted, "text_key")
-    chosen = staged(maybe.join(wanted, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"]), "chosen")
+    chosen = maybe.join(wanted, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"])
+    chosen = staged(chosen.select("doc_id", "text_key", words_col(F.col("text")).alias("words")), "chosen")
 
-    lines = chosen.select("doc_id", "text_key", F.posexplode(F.split("text", "\n")).alias("line", "block"))
-    lines = lines.select("doc_id", "text_key", "line", F.array_intersect(_strings(vocabulary), words_col(F.col("block"))).alias("known"))
-    in_lines = matching_blocks(lines.select("doc_id", "text_key", "line", as_ranks("known").alias("ranks")), template_rows.where("kind = 'notice'"), "doc_id", "text_key", "line")
-    best = in_lines.groupBy("doc_id", "text_key", "name").agg(F.max("containment").alias("containment"))
-    noticed = best.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_list(F.struct("name", "containment"))).alias("notices"))
+    step = max([run_length(n) for n in notices.values()], default=1)
+    starts = F.sequence(F.lit(0), F.floor((F.size("words") - 1) / step).cast("int"))
+    cut = F.transform(starts, lambda b: F.array_intersect(_strings(vocabulary), F.slice("words", b * step + 1, F.lit(2 * step))))
+    blocks = chosen.where(F.size("words") > 0).select("doc_id", "text_key", F.posexplode(cut).alias("block", "known"))
+    near = matching_blocks(blocks.select("doc_id", "text_key", "block", as_ranks("known").alias("ranks")), template_rows.where("kind = 'notice'"), "doc_id", "text_key", "block")
+    near = near.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("name", "block")).alias("near"))  # at most the document's blocks, each with a few templates
 
     listed = F.array(*[F.struct(F.lit(phrases[p]).alias("label"), places(F.col("words"), p).alias("at")) for p in sorted(phrases)])
-    standing = chosen.select("doc_id", "text_key", words_col(F.col("text")).alias("words")).select("doc_id", "text_key", listed.alias("phrases"))
-    standing = standing.select(
+
+    def near_blocks(name: str) -> Column:
+        return F.transform(F.filter("near", lambda n: n["name"] == name), lambda n: n["block"])
+
+    held = [
+        F.struct(
+            F.lit(name).alias("name"),
+            _most_held(F.col("words"), near_blocks(name), words, run_length(notices[name]), step).alias("held"),
+            F.lit(need).alias("need"),
+            F.lit(len(words)).alias("size"),
+        )
+        for kind, name, words, need in known
+        if kind == "notice"
+    ]
+    read = chosen.join(near, ["doc_id", "text_key"], "left").select("doc_id", "text_key", listed.alias("phrases"), F.array(*held).alias("held"))
+    enough = F.filter("held", lambda n: n["held"] >= n["need"])
+    standing = read.select(
         "doc_id",
         "text_key",
         F.flatten(F.transform("phrases", lambda p: p["at"])).alias("places"),
         F.array_distinct(F.transform(F.filter("phrases", lambda p: F.size(p["at"]) > 0), lambda p: p["label"])).alias("base"),
+        F.transform(enough, lambda n: F.struct(n["name"].alias("name"), (n["held"] / n["size"]).alias("containment"))).alias("notices"),
     )
-    found = tokens.select("doc_id", "text_key", "n_words").join(standing.join(noticed, ["doc_id", "text_key"], "left"), ["doc_id", "text_key"], "left")
+    found = tokens.select("doc_id", "text_key", "n_words").join(standing, ["doc_id", "text_key"], "left")
     return found.select(
         "doc_id",
         "n_words",

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebridge.llm import decontam, html_text, langid, licenses, minhash, packing, pii, quality, secret_scan, simhash, topk
+from casebridge.llm import collocations, decontam, hard_negatives, html_text, langid, licenses, minhash, packing, pii, quality, secret_scan, simhash, topk
 from casebridge.llm.tables import count_kind, crc_mod, load, span_list
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,11 +82,20 @@ def op10_license_scan(spark, sf_dir):
     )
 
 
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(load(spark, sf_dir, "documents"))
+
+
 def op12_simhash_near_dedup(spark, sf_dir):
     found = simhash.near_duplicates(load(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op13_hard_negatives(spark, sf_dir):
+    label = F.when(F.pmod("vec_id", F.lit(7)) == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(load(spark, sf_dir, "embeddings").withColumn("label", label), F.pmod("vec_id", F.lit(50)) == 0)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -100,7 +109,9 @@ QUERIES: dict[str, Query] = {
         op8_exact_top_k,
         op9_benchmark_decontamination,
         op10_license_scan,
+        op11_collocations,
         op12_simhash_near_dedup,
+        op13_hard_negatives,
     )
 }
 
@@ -121,7 +132,7 @@ def _license_sql() -> str:
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     lowered = f"translate({{}}, '{letters}', '{letters.lower()}')"
     known = licenses.templates(licenses.NOTICES, {})
-    notices = ", ".join(f"('{name}', {words!r}, {need})" for _, name, words, need in known)
+    notices = ", ".join(f"('{name}', {words!r}, {need}, {licenses.run_length(licenses.NOTICES[name])})" for _, name, words, need in known)
     at = " UNION ALL ".join(
         f"SELECT doc_id, '{label}' AS label, unnest(list_filter(range(len(ws)), lambda i: "
         + " AND ".join(f"ws[i + {k + 1}] = '{w}'" for k, w in enumerate(phrase.split()))
@@ -133,10 +144,10 @@ WITH w AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all({lowere
 standing AS ({at}),
 base AS (SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
   list_sort(list(DISTINCT label)) AS labels FROM standing GROUP BY doc_id),
-lines AS (SELECT doc_id, regexp_extract_all({lowered.format("unnest(string_split(text, chr(10)))")}, '{word}') AS ws FROM w),
-notices(name, words, need) AS (VALUES {notices}),
-held AS (SELECT DISTINCT doc_id, name, len(list_intersect(words, ws)) / len(words) AS containment
-  FROM lines, notices WHERE len(list_intersect(words, ws)) >= need),
+notices(name, words, need, run) AS (VALUES {notices}),
+near AS (SELECT * FROM w, notices WHERE len(list_intersect(words, ws)) >= need),
+counted AS (SELECT *, list_max(list_transform(range(len(ws)), lambda i: len(list_intersect(words, ws[i + 1:i + run])))) AS most FROM near),
+held AS (SELECT DISTINCT doc_id, name, most / len(words) AS containment FROM counted WHERE most >= need),
 best AS (SELECT doc_id, list(DISTINCT name) AS names, max(containment) AS containment FROM held GROUP BY doc_id)
 SELECT w.doc_id, len(ws) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
   coalesce(array_to_string(base.labels, ','), '') AS base_labels,
@@ -146,4 +157,58 @@ FROM w LEFT JOIN base USING (doc_id) LEFT JOIN best USING (doc_id)
 """
 
 
-ORACLE: dict[str, str] = {"op8_exact_top_k": _TOP_K, "op10_license_scan": _license_sql()}
+_COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+grams AS (
+  SELECT lang, k AS words, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+  FROM w, (VALUES (1), (2), (3), (4)) sizes(k) WHERE len(ws) >= k),
+f AS (SELECT lang, phrase, words, count(*) AS a FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE words = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE words > 1 AND a >= 30),
+cuts AS (SELECT *, unnest(range(1, words)) AS cut FROM c),
+s AS (
+  SELECT cuts.lang, cuts.phrase, cut, cuts.a, x.a AS l, y.a AS r, (2000000::HUGEINT * cuts.a // (x.a + y.a))::BIGINT AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = array_to_string(ws[1:cut], ' ')
+  JOIN f y ON y.lang = cuts.lang AND y.phrase = array_to_string(ws[cut + 1:], ' ')),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+sized AS (SELECT lang, a, ws, words, unnest(range(2, words)) AS size FROM c),
+placed AS (SELECT *, unnest(range(1, words - size + 2)) AS place FROM sized),
+held AS (SELECT lang, array_to_string(ws[place:place + size - 1], ' ') AS phrase, max(a) AS most FROM placed GROUP BY ALL),
+kept AS (
+  SELECT best.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM best LEFT JOIN held USING (lang, phrase) WHERE most IS NULL OR 100 * most::HUGEINT < 80 * a::HUGEINT)
+SELECT lang, rank, phrase, a, l, r, n, score FROM kept JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+_HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+p AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM p WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+negatives AS (
+  SELECT o.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY o.anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+  FROM positives o JOIN p ON p.anchor_id = o.anchor_id AND NOT same
+    AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 3
+"""
+
+
+ORACLE: dict[str, str] = {
+    "op8_exact_top_k": _TOP_K,
+    "op10_license_scan": _license_sql(),
+    "op11_collocations": _COLLOCATIONS,
+    "op13_hard_negatives": _HARD_NEGATIVES,
+}

@@ -1,0 +1,110 @@
+"""Hard negatives against all products, and against SQL."""
+
+import math
+from itertools import pairwise
+
+import numpy as np
+import pytest
+from compare import connect, difference
+from pyspark.sql import functions as F
+
+from casebridge.llm import hard_negatives as hn
+from casebridge.llm import queries
+
+SCHEMA = "vec_id long, embedding array<double>, label int, block long, part string"
+
+
+def brute_force(rows, asks, positives=5, negatives=3, scale=256):
+    usable = [
+        (i, label, [math.floor(scale * x) for x in v])
+        for i, v, label in rows
+        if label is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    anchors = {}
+    for i, label, v in usable:
+        if asks(i):
+            anchors[i] = min((label, v), anchors.get(i, (label, v)))
+    out = []
+    for a, (label, v) in anchors.items():
+        scored = [(-sum(x * y for x, y in zip(v, w, strict=False)), i, other) for i, other, w in usable if i != a]
+        own = sorted((s, i) for s, i, other in scored if other == label)[:positives]
+        for ps, p in own:
+            hard = sorted((s, i) for s, i, other in scored if other != label and 50 * -ps <= 100 * -s <= 95 * -ps)
+            out += [(a, p, n + 1, i, -ps, -s) for n, (s, i) in enumerate(hard[:negatives])]
+    return sorted(out)
+
+
+def check(spark, rows, modulus):
+    df = spark.createDataFrame([(i, v, label, 1, "x") for i, v, label in rows], SCHEMA)
+    found = hn.hard_negatives(df, F.pmod("vec_id", F.lit(modulus)) == 0)
+    expected = brute_force(rows, lambda i: i % modulus == 0)
+    assert sorted(tuple(r) for r in found.collect()) == expected
+    return expected
+
+
+@pytest.mark.parametrize(("hot", "labels"), [(0.0, 10), (0.4, 3), (0.0, 1)])
+def test_random_vectors(spark, monkeypatch, hot, labels):
+    monkeypatch.setattr(hn, "SAMPLE", 100)
+    monkeypatch.setattr(hn, "BLOCK_BITS", 4)
+    monkeypatch.setattr(hn, "ANCHOR_BLOCK", 20)
+    monkeypatch.setattr(hn, "ZONE_PAGE", 16)
+    r = np.random.default_rng(9)
+    vectors = r.normal(size=(1200, 12)) * r.choice([0.2, 1, 3], (1200, 1))
+    vectors[r.random(1200) < hot] = vectors[0]
+    own = r.integers(0, labels, 1200).tolist()
+    rows = check(spark, [(i, v.tolist(), own[i]) for i, v in enumerate(vectors)], 20)
+    assert bool(rows) == (labels > 1)
+
+
+def test_edge_rows(spark):
+    nan, inf = math.nan, math.inf
+    rows = [(0, None, 1), (10, [1.0, None], 1), (20, [nan, 1.0], 1), (30, [inf, 0.0], 2), (40, [], 2), (50, [1.0, 2.0, 3.0], 1), (60, [1.0], 1)]
+    rows += [(60, [0.5, 4.0], 2), (7, [0.7, 0.9], 2), (8, [0.7, 0.9], 2), (8, [0.7, 0.9], 2), (9, [1.0, 1.2], 1), (11, [2.0, 3.0], None)]
+    rows += [(12, [1.0, 1.2], 1), (12, [1.0, 1.2], 1), (70, [-1.0, 1.0], 3), (80, [0.0, 0.0], 3), (81, [0.0, 0.0], 4), (82, [1.0, 1.0], 3)]
+    assert check(spark, rows, 10)
+    check(spark, rows[:4], 10)
+    check(spark, [], 10)
+    check(spark, [(10, [0.0, 0.0], 1), (20, [0.0, 0.0], 1), (30, [0.0, 0.0], 2)], 10)
+
+
+def test_large_components_stay_exact(spark):
+    r = np.random.default_rng(3)
+    assert check(spark, [(i, v.tolist(), i % 2) for i, v in enumerate(np.abs(r.normal(size=(60, 3))) * 1e6)], 10)
+
+
+@pytest.mark.parametrize(("dimensions", "bits"), [(1, 4), (2, 4), (3, 3), (5, 2), (4, 1)])
+def test_curve_visits_every_cell_in_steps_of_one(dimensions, bits):
+    grid = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dimensions, indexing="ij"), axis=-1).reshape(-1, dimensions)
+    keys = hn.hilbert_keys(grid, bits)
+    assert sorted(keys.tolist()) == list(range(1 << bits * dimensions))
+    path = grid[np.argsort(keys)]
+    assert all(np.abs(a - b).sum() == 1 for a, b in pairwise(path))
+
+
+def test_intervals_hold_all_products():
+    r = np.random.default_rng(1)
+    rows, asked = r.integers(-99, 99, (200, 8)), r.integers(-99, 99, (30, 8))
+    blocks = rows.reshape(10, 20, 8)
+    low, high = hn.intervals(asked, blocks.min(axis=1), blocks.max(axis=1))
+    scores = (asked @ rows.T).reshape(30, 10, 20)
+    assert (low[:, :, None] <= scores).all() and (scores <= high[:, :, None]).all()
+
+
+def test_far_blocks_are_not_read(spark, monkeypatch):
+    """Two tight clusters a label: the positives of an anchor lie in a block of its own cluster."""
+    monkeypatch.setattr(hn, "BLOCK_BITS", 4)
+    read = []
+    original = hn.read_blocks
+    monkeypatch.setattr(hn, "read_blocks", lambda index, wanted, *rest: read.append(wanted.count()) or original(index, wanted, *rest))
+    r = np.random.default_rng(4)
+    centres = r.normal(size=(8, 6)) * 10
+    rows = [(i, (centres[i % 8] + r.normal(size=6) / 100).tolist(), i % 8 // 2) for i in range(1600)]
+    check(spark, rows, 100)
+    blocks = 1600 / 16
+    assert read[0] < 16 * blocks / 4 and read[1] < 16 * blocks
+
+
+def test_query_against_sql(spark, small):  # sf0.01 with the other queries in test_licenses
+    df = queries.op13_hard_negatives(spark, small)
+    assert df.dtypes == [("anchor_id", "bigint"), ("positive_id", "bigint"), ("rank", "int"), ("negative_id", "bigint"), ("positive_score", "bigint"), ("negative_score", "bigint")]
+    assert difference(df, connect(small), queries.ORACLE["op13_hard_negatives"]) == ""

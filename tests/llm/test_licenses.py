@@ -22,12 +22,11 @@ def plain(text):
         at = [i for i in range(len(words)) if words[i : i + len(parts)] == parts]
         places += at
         base |= {label} if at else set()
-    for line in text.split("\n"):
-        held = set(WORDS.findall(line))
-        for _, name, wanted, need in licenses.templates(licenses.NOTICES, {}):
-            shared = len(held & set(wanted))
-            if shared >= need:
-                notices[name] = max(shared / len(wanted), notices.get(name, 0))
+    for _, name, wanted, need in licenses.templates(licenses.NOTICES, {}):
+        run = -(-3 * len(WORDS.findall(licenses.NOTICES[name])) // 2)
+        shared = max((len(set(words[i : i + run]) & set(wanted)) for i in range(len(words))), default=0)
+        if shared >= need:
+            notices[name] = shared / len(wanted)
     return len(words), sorted(places), sorted(base), sorted(notices.items())
 
 
@@ -63,6 +62,32 @@ def test_made_up_texts(make_docs):
     assert found(make_docs(rows)) == [(i, *plain(t)) for i, t in rows]
 
 
+WRAPPED = {
+    "mit-text": "# Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and associated documentation files (the \"Software\"), to deal\n# in the Software without restriction",
+    "bsd": " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\n * are met:",
+    "apache-2.0": "Licensed under the Apache License,\nVersion 2.0 (the \"License\")",
+    "lgpl": "This library is free software; you can redistribute it and/or\r\nmodify it under the terms of the GNU Lesser General Public\r\nLicense",
+}
+
+
+@pytest.mark.parametrize("label", WRAPPED)
+@pytest.mark.parametrize("before", [0, 30, 95])
+def test_notices_wrapped_over_lines(make_docs, label, before):
+    text = "word\n" * before + WRAPPED[label] + "\nmore" * before
+    assert label in dict(found(make_docs([(1, text)]))[0][4])
+    assert found(make_docs([(1, text)])) == [(1, *plain(text))]
+
+
+def test_words_far_apart_are_no_notice(make_docs):
+    text = (" filler" * 20 + " ").join(licenses.NOTICES["bsd"].split())
+    assert found(make_docs([(1, text)])) == [(1, *plain(text))] == [(1, 20 * 20 + 21, [], [], [])]
+
+
+def test_only_ascii_is_folded(make_docs):
+    text = "ALL RIGHTS RESERVED, C\u212aC BY \u0130x"
+    assert found(make_docs([(1, text), (2, "Cc BY")])) == [(1, *plain(text)), (2, *plain("Cc BY"))]
+
+
 def test_edge_rows(edge_docs, no_docs, make_docs):
     result = found(edge_docs)
     assert [(r[0], r[1]) for r in result] == [(2, 6), (3, 0), (4, 6), (4, 6), (5, 200_000), (7, 0), (8, 3), (9, 0)]
