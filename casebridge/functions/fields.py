@@ -1,23 +1,89 @@
-"""JSON document columns: read ``{"<field>": {"value": ...}}`` values, set one, merge two documents."""
+"""JSON document columns: read ``{"<field>": {"value": ...}}`` values, set one, merge two documents.
+
+Edits work on the text. A document is cut into tokens, and a fold over their depth finds its members; members that an edit
+does not name come back as they were written, numbers with all their digits included.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DOCUMENT = "map<string,variant>"
 # What the parser makes of a number that is no short integer.
 _DECIMAL = r"^-?[0-9]+(\.[0-9]+([eE]-?[0-9]+)?|[0-9]{17,})$"
+# Strings, structure, and all else; possessive, so that long strings need no stack.
+_TOKEN = r'(?s)"(?:[^"\\]++|\\.)*+"|[{}\[\],:]|[^"{}\[\],:]++'
+_FOUND = "array<struct<start:int,colon:int,end:int>>"
+_STATE = f"struct<at:int,depth:int,start:int,colon:int,found:{_FOUND}>"
+
+
+def _held(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def members(document: Column) -> Column:
+    """Members of the text of an object, in order: ``key``, the text around the colon (``name``, ``value``).
+
+    Blanks between tokens belong to the text before or after the colon. Text that is no object has no members; the
+    text must be valid JSON.
+    """
+    tokens = F.regexp_extract_all(document, F.lit(f"({_TOKEN})"), F.lit(1))
+
+    def state(at: Column, depth: Column, start: Column, colon: Column, found: Column) -> Column:
+        named = [c.alias(n) for c, n in zip((at, depth, start, colon, found), ("at", "depth", "start", "colon", "found"), strict=True)]
+        return F.struct(*named).cast(_STATE)
+
+    def step(s: Column, token: Column) -> Column:
+        opens, closes = token.isin("{", "["), token.isin("}", "]")
+        at = s["at"] + 1  # tokens read, this one included: the place of the next
+        begins = (s["depth"] == 0) & opens
+        ends = (s["depth"] == 1) & (closes | (token == ","))
+        member = F.struct(s["start"].alias("start"), s["colon"].alias("colon"), s["at"].alias("end"))
+        return state(
+            at,
+            s["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0),
+            F.when(begins | ends, at).otherwise(s["start"]),
+            F.when(begins | ends, -1).when((s["depth"] == 1) & (token == ":") & (s["colon"] < 0), s["at"]).otherwise(s["colon"]),
+            F.when(ends & (s["colon"] >= 0), F.concat(s["found"], F.array(member))).otherwise(s["found"]),
+        )
+
+    def texts(tokens: Column) -> Column:
+        def part(first: Column, last: Column) -> Column:
+            return F.array_join(F.slice(tokens, first + 1, last - first), "")
+
+        zero = state(F.lit(0), F.lit(0), F.lit(0), F.lit(-1), F.array())
+        found = F.aggregate(tokens, zero, step, lambda s: s["found"])
+        return F.transform(found, lambda m: F.struct(part(m["start"], m["colon"]).alias("name"), part(m["colon"] + 1, m["end"]).alias("value")))
+
+    return F.transform(
+        _held(tokens, texts),
+        lambda m: F.struct(F.get_json_object(F.concat(F.lit("["), m["name"], F.lit("]")), "$[0]").alias("key"), m["name"].alias("name"), m["value"].alias("value")),
+    )
+
+
+def _is_object(text: Column) -> Column:
+    return text.rlike(r"^\s*\{") & F.try_parse_json(text).isNotNull()
+
+
+def _written(found: Column) -> Column:
+    """The text of an object with these members."""
+    pairs = F.transform(found, lambda m: F.concat(m["name"], F.lit(":"), m["value"]))
+    return F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
+
+
+def _member(name: Column, value: Column) -> Column:
+    return F.struct(name.alias("name"), value.alias("value"))
 
 
 def read_fields(df: DataFrame, document: str, fields: Mapping[str, str]) -> DataFrame:
     """Add one text column per (alias, field), NULL where the field or its value is missing.
 
     Strings come as parsed. A number comes as it is written in the document: the parser would turn 1.50 into 1.5 and
-    cut long decimals, so its token is read from the text, and taken where it has the parsed value.
+    cut long decimals, so a value that looks like such a number is read off the text.
 
     The document is parsed once per row. ``explode`` of the one-element array keeps Catalyst from
     pushing filters on the new columns below the parse, where each would parse the text again.
@@ -34,35 +100,47 @@ def read_fields(df: DataFrame, document: str, fields: Mapping[str, str]) -> Data
     return parsed.select("*", *values).drop("_doc")
 
 
+def _last(found: Column, key: str) -> Column:
+    """The text of the member's value; of members of one name the last counts."""
+    return F.get(F.transform(F.filter(F.reverse(found), lambda m: m["key"] == key), lambda m: m["value"]), F.lit(0))
+
+
 def _as_written(document: Column, field: str, value: Column) -> Column:
     """``value``, or the number's own token where the document holds it as a number."""
-    token = F.regexp_extract(document, rf'"{field}"\s*:\s*\{{[^{{}}]*"value"\s*:\s*(-?[0-9][0-9.eE+-]*)\s*[,}}]', 1)
-    same = token.try_cast("double") == value.try_cast("double")
-    return F.when(value.rlike(_DECIMAL) & F.coalesce(same, F.lit(False)), token).otherwise(value)
+    token = F.trim(_last(members(_last(members(document), field)), "value"))
+    # Nested, not joined by "and": the text is cut up only for values that look like numbers.
+    return F.when(value.rlike(_DECIMAL), F.when(token.startswith('"'), value).otherwise(token)).otherwise(value)
 
 
 def set_value(document: Column, field: str, value: Column) -> Column:
     """Set ``document[field].value``; other content stays. A field that is absent or no object stays as it is."""
+    written = F.to_json(F.struct(value.alias("value")), {"ignoreNullFields": "false"})
+    token = F.regexp_extract(written, r"(?s)^\{\"value\":(.*)\}$", 1)
+
+    def with_value(found: Column) -> Column:
+        changed = F.transform(found, lambda m: _member(m["name"], F.when(m["key"] == "value", token).otherwise(m["value"])))
+        added = F.concat(changed, F.array(_member(F.lit('"value"'), token)))
+        return _written(F.when(F.exists(found, lambda m: m["key"] == "value"), changed).otherwise(added))
 
-    def with_value(inner: Column) -> Column:
-        members = F.try_variant_get(inner, "$", DOCUMENT)
-        kept = F.map_filter(members, lambda k, _: k != "value")
-        changed = F.map_concat(kept, F.create_map(F.lit("value"), value.cast("variant")))
-        return F.when(members.isNull(), inner).otherwise(F.parse_json(F.to_json(changed)))
+    def edited(m: Column) -> Column:
+        return _member(m["name"], F.when((m["key"] == field) & m["value"].rlike(r"^\s*\{"), _held(members(m["value"]), with_value)).otherwise(m["value"]))
 
-    fields = F.from_json(document, DOCUMENT)
-    edited = F.transform_values(fields, lambda k, v: F.when(k == field, with_value(v)).otherwise(v))
-    return F.when(F.map_contains_key(fields, F.lit(field)), F.to_json(edited)).otherwise(document)
+    return F.when(_is_object(document), _written(F.transform(members(document), edited))).otherwise(document)
 
 
 def merge(left: Column, right: Column, only: tuple[str, ...] | None = None) -> Column:
-    """Top-level merge where the right side wins whole fields, JSON nulls included."""
-    old = F.from_json(left, DOCUMENT)
-    new = F.from_json(right, DOCUMENT)
+    """Top-level merge where the right side wins whole fields, JSON nulls included. NULL unless both are objects."""
+    new = members(right)
     if only is not None:
-        new = F.map_filter(new, lambda k, _: k.isin(*only))
-    kept = F.map_filter(old, lambda k, _: ~F.map_contains_key(new, k))
-    return F.to_json(F.map_concat(kept, new))
+        new = F.filter(new, lambda m: m["key"].isin(*only))
+
+    def joined(pair: Column) -> Column:
+        names = F.transform(pair["new"], lambda m: m["key"])
+        kept = F.filter(pair["old"], lambda m: ~F.array_contains(names, m["key"]))
+        return _written(F.concat(kept, pair["new"]))
+
+    pair = F.struct(members(left).alias("old"), new.alias("new"))
+    return F.when(_is_object(left) & _is_object(right), _held(pair, joined))
 
 
 def message_text(prefix: str, *parts: str) -> Column:

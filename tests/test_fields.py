@@ -110,3 +110,49 @@ def test_numbers_are_read_as_written(spark, number):
 def test_setting_in_a_member_that_is_no_object_changes_nothing(spark, member):
     df = spark.createDataFrame([(f'{{"s":{member},"t":{{"value":"u"}}}}',)], "d string")
     assert json.loads(df.select(set_value(F.col("d"), "s", F.lit("new"))).first()[0]) == json.loads(df.first()[0])
+
+
+BIG = "123456789012345678901234567890123456789012.5"
+
+
+def test_a_number_after_a_nested_member_is_read_as_written(spark):
+    text = '{"z":{"value":9.10},"a":{"x":{"q":1,"value":7.70},"l":[{"value":6.60}],"value":1.50},"b":{"value":"1.50"}}'
+    df = read_fields(docs(spark, [text]), "d", {"p": "a", "q": "b", "r": "z"})
+    assert tuple(df.select("p", "q", "r").first()) == ("1.50", "1.50", "9.10")
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ('{"s":{"value":"old"},"n":2.00}', '{"s":{"value":"new"},"n":2.00}'),
+        (f'{{"b": {BIG} ,\n "s" : {{ "by":1.50, "value" : 3.0 }} }}', f'{{"b": {BIG} ,\n "s" :{{ "by":1.50, "value" :"new"}}}}'),
+        ('{"q":{"s":{"value":"in"}},"s":{"value":{"value":1.0},"k":[1.0,{"value":2.0}]}}', '{"q":{"s":{"value":"in"}},"s":{"value":"new","k":[1.0,{"value":2.0}]}}'),
+        ('{"t":"{\\"s\\":{\\"value\\":1}}","s":{}}', '{"t":"{\\"s\\":{\\"value\\":1}}","s":{"value":"new"}}'),
+        ('{"\\u0073":{"value":1},"e":"a,b:c}]"}', '{"\\u0073":{"value":"new"},"e":"a,b:c}]"}'),
+        ('{"n":1.0e5}', '{"n":1.0e5}'),
+        ("[1.50]", "[1.50]"),
+        ("broken { 1.50", "broken { 1.50"),
+        ('{"s":{"value":1},"x":}', '{"s":{"value":1},"x":}'),
+    ],
+)
+def test_setting_keeps_all_other_text(spark, text, expected):
+    assert docs(spark, [text]).select(set_value(F.col("d"), "s", F.lit("new"))).first()[0] == expected
+
+
+def test_setting_null(spark):
+    got = docs(spark, ['{"s":{"value":"old"}}']).select(set_value(F.col("d"), "s", F.lit(None).cast("string"))).first()[0]
+    assert got == '{"s":{"value":null}}'
+
+
+def test_merging_keeps_all_other_text(spark):
+    left = f'{{"a":{{"value":2.00}},"b": {BIG},"c":[{{"a":1.0}}] , "d":"}}{{,"}}'
+    df = spark.createDataFrame([(left, '{ "b":{"value":1.50}, "x" :0.10}'), (left, "{}"), ("{}", left), ("[1]", left), (left, "1"), (left, "{")], "l string, r string")
+    got = [r[0] for r in df.select(merge(F.col("l"), F.col("r"))).collect()]
+    first = '{"a":{"value":2.00},"c":[{"a":1.0}] , "d":"}{,", "b":{"value":1.50}, "x" :0.10}'
+    assert got == [first, left, left, None, None, None]
+
+
+def test_long_documents_need_no_stack(spark):
+    text = '{"t":"' + '\\"' * 50_000 + '","s":{"value":1},"l":' + "[" * 500 + "]" * 500 + "}"
+    got = docs(spark, [text]).select(set_value(F.col("d"), "s", F.lit("x"))).first()[0]
+    assert got == text.replace('{"value":1}', '{"value":"x"}')
