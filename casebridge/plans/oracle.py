@@ -81,6 +81,11 @@ FROM ev2 e JOIN id_values i ON i.value = e.id_number JOIN name_values n ON n.val
 JOIN active a ON a.person_id = i.person_by_id
 WHERE {SOURCE} AND {VALID} AND transfer_status = 'AUTOMATICALLY' AND status = 'ACTIVE' AND lab IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY a.enrolment_id) = 1""",
+    "numbered": """
+SELECT programstageinstanceid AS event_id, uid, programstageinstanceid || '.00' AS number, repeat('7', 42) || '.50' AS large,
+       '{ "num00000001" : {"value" : ' || programstageinstanceid || '.00},"big00000001":{"in":{"value":0.10},"value":'
+       || repeat('7', 42) || '.50,"list":[1.0,{"a":2.00}]},' || substr(eventdatavalues, 2) AS doc
+FROM programstageinstance""",
     "merged": f"""
 SELECT e.event_id, e.enrolment_id, e.stage_id, e.executed, e.facility_id, e.status,
        {", ".join(f"coalesce(s.{f}, e.{f}) AS {f}" for f in FIELDS.split(", "))}, e.lab_only
@@ -177,6 +182,13 @@ FINAL = {
     "FROM ev0",
     "json_merge": "SELECT event_id, id_number, full_name, request, transfer_status, uid AS lab, target_uid, lab_only, "
     "status AS extra FROM ev0",
+    "json_set_text": """
+SELECT event_id, number, large, regexp_replace(doc, '"iup9aING8xC":[{]"value":"[^"]*"', '"iup9aING8xC":{"value":"Check Name"') AS eventdatavalues
+FROM numbered""",
+    "json_merge_text": """
+SELECT event_id, number, large, rtrim(regexp_replace(doc, ',"WTz4HSqoE5E":[{]"value":"[^"]*"[}]', ''), '}') || '},"WTz4HSqoE5E":{"value":"' || uid
+       || '"}, "extraField1":{"value":1.50}}' AS eventdatavalues
+FROM numbered""",
     "apply_changes": "SELECT event_id, coalesce(new_status, status) AS status, "
     "coalesce(new_transfer_status, transfer_status) AS transfer_status FROM ev0 LEFT JOIN marked USING (event_id)",
     "ownership_candidates": "SELECT event_id, person_id, target_facility_id FROM source",

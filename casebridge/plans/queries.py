@@ -231,6 +231,32 @@ def json_merge(spark, sf_dir):
     return read_fields(_fields(events, edited), "eventdatavalues", more).select(_event_id(), *FIELDS, *more)
 
 
+def _with_numbers(events: DataFrame) -> DataFrame:
+    """Documents with members whose text no parser keeps: trailing zeros, over 40 digits, blanks, a nested ``value``."""
+    number = F.concat(F.col("programstageinstanceid").cast("string"), F.lit(".00"))
+    opening = ['{ "num00000001" : {"value" : ', number, '},"big00000001":{"in":{"value":0.10},"value":', "7" * 42, '.50,"list":[1.0,{"a":2.00}]},']
+    parts = [F.lit(p) if isinstance(p, str) else p for p in opening]
+    return events.withColumn("eventdatavalues", F.concat(*parts, F.substring("eventdatavalues", 2, 1 << 30)))
+
+
+_NUMBERS = {"number": "num00000001", "large": "big00000001"}
+
+
+def json_set_text(spark, sf_dir):
+    """The whole text of every document after one value was set."""
+    events = _with_numbers(fixtures.load(spark, sf_dir).programstageinstance)
+    edited = events.withColumn("eventdatavalues", set_value(F.col("eventdatavalues"), CFG.status_field, F.lit(CHECK_NAME)))
+    return read_fields(edited, "eventdatavalues", _NUMBERS).select(_event_id(), "eventdatavalues", *_NUMBERS)
+
+
+def json_merge_text(spark, sf_dir):
+    """The whole text of every document after a result and a number were merged over it."""
+    events = _with_numbers(fixtures.load(spark, sf_dir).programstageinstance)
+    added = F.concat(F.lit(f'{{"{CFG.lab_field}":{{"value":"'), F.col("uid"), F.lit('"}, "extraField1":{"value":1.50}}'))
+    edited = events.withColumn("eventdatavalues", merge(F.col("eventdatavalues"), added))
+    return read_fields(edited, "eventdatavalues", _NUMBERS).select(_event_id(), "eventdatavalues", *_NUMBERS)
+
+
 def apply_changes(spark, sf_dir):
     r = _run(spark, sf_dir)
     marks = r.marks.withColumn("new_document", F.lit(None).cast("string"))
@@ -401,6 +427,8 @@ QUERIES: dict[str, Query] = {
     "merge_lab": merge_lab,
     "json_set": json_set,
     "json_merge": json_merge,
+    "json_set_text": json_set_text,
+    "json_merge_text": json_merge_text,
     "apply_changes": apply_changes,
     "ownership_candidates": ownership_candidates,
     "update_ownership": update_ownership,
