@@ -48,8 +48,8 @@ KEPT = 2_000
 #: Phrases (by an estimate) that a hash partition has, and the least number of counters it may hold.
 PARTITION_MASS = 16_000_000
 CAPACITY = 1 << 20
-#: Phrases a task adds up before it writes summaries, and bytes of text it cuts at a time.
-TASK_PHRASES = 4_000_000
+#: Phrases a task adds up before it writes or merges summaries, and bytes of text it cuts at a time.
+TASK_PHRASES = 1 << 20
 SLICE_BYTES = 1 << 20
 #: Table of bits: bits for each survivor, within these bounds, and places each sets.
 BITS_EACH, BITS_LEAST, BITS_MOST, PROBES = 32, 1 << 16, 1 << 28, 3
@@ -156,7 +156,8 @@ def summaries(texts: DataFrame, partitions: int) -> DataFrame:
 
     def pack(hashes: list[np.ndarray]) -> pa.RecordBatch:
         part, key = place_of(np.concatenate(hashes), partitions)
-        distinct, counts = np.unique((part << np.uint64(32)) | key, return_counts=True)
+        key |= part << np.uint64(32)
+        distinct, counts = np.unique(key, return_counts=True)
         cuts = np.searchsorted(distinct, np.arange(partitions + 1, dtype=np.uint64) << np.uint64(32))
         rows = []
         for p in np.flatnonzero(np.diff(cuts)).tolist():
