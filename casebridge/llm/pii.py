@@ -49,7 +49,8 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 # Digits of other scripts and in circles, by their value.
 DIGITS = {c: str(unicodedata.digit(c)) for c in map(chr, range(128, 0x20000)) if unicodedata.digit(c, None) is not None}
-_ODD = re.compile(f"[{INVISIBLE}{''.join(LOOKALIKES)}{''.join(DIGITS)}！-～‐-―․\U0001d400-\U0001d7ff]")
+# Beyond the first plane one range, sorted out afterwards: a long list of such characters would be tried one by one.
+_ODD = re.compile(f"[{INVISIBLE}{''.join(LOOKALIKES)}{''.join(c for c in DIGITS if c < '\uffff')}！-～‐-―․\U00010000-\U0001ffff]")
 _WORD = "(?:" + "|".join(DIGIT_WORDS) + ")"
 # Between spelled digits; possessive, since no digit begins with these.
 _GAP = r"(?:[\s.-]++|\s++dot\s++)"
