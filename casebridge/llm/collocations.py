@@ -4,10 +4,10 @@ Texts are lower-cased (A-Z), split at ``. , ; : ! ?`` and line ends into pieces,
 phrase is 1 to ``LONGEST`` words in a row within a piece.
 
 1. *Summaries.* Every task hashes the phrases of its texts and adds them up in one summary per hash partition; what a
-   summary holds is sorted, packed and written. A partition's summaries are merged one by one. Whenever the merged one
+   summary holds is sorted, packed and shuffled. A partition's summaries are merged one by one. Whenever the merged one
    holds more than its capacity, the count of the next largest key is taken off all keys (Misra-Gries, in its mergeable
-   form). The capacity exceeds the partition's mass, all its occurrences, divided by the least count, so what is taken off
-   stays under the least count and every frequent phrase survives; rare ones may.
+   form). The capacity exceeds the partition's mass (its occurrences so far) divided by the least count, and nothing is
+   taken off that would bring the sum of what was taken to the least count, so every frequent phrase survives; rare ones may.
 2. *Counts.* Survivors set bits in a table of bounded size. A second pass over the texts counts phrases that meet it, by their
    words, first in the task and then per phrase. Counts below the least are dropped, so survivors that were not
    frequent, and chance hits of the bits, do no harm. The fuller the table of bits, the more phrases are counted for nothing.
@@ -112,20 +112,27 @@ def added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 class Summary:
-    """A Misra-Gries summary: no count is more than ``taken`` below the truth, and what is missing has at most ``taken``."""
+    """A Misra-Gries summary: no count is more than ``taken`` below the truth, and what is missing has at most ``taken``.
 
-    def __init__(self, capacity: int) -> None:
-        self.capacity, self.taken = capacity, 0
+    It holds ``capacity`` keys, or, with ``least``, at least one more than its mass divided by that. ``taken`` then stays
+    below ``least``: a summary that could only shrink by taking more stays as it is.
+    """
+
+    def __init__(self, capacity: int, least: int | None = None) -> None:
+        self.capacity, self.least, self.taken, self.mass = capacity, least, 0, 0
         self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
     def merge(self, keys: np.ndarray, counts: np.ndarray, taken: int = 0) -> None:
         self.keys, self.counts = added(np.concatenate([self.keys, keys]), np.concatenate([self.counts, counts]))
         self.taken += taken
-        if len(self.keys) > self.capacity:
-            next_largest = len(self.counts) - 1 - self.capacity
+        self.mass += int(counts.sum())
+        capacity = max(self.capacity, self.mass // self.least + 1 if self.least else 0)
+        if len(self.keys) > capacity:
+            next_largest = len(self.counts) - 1 - capacity
             off = int(np.partition(self.counts, next_largest)[next_largest])
-            left = self.counts > off
-            self.keys, self.counts, self.taken = self.keys[left], self.counts[left] - off, self.taken + off
+            if self.least is None or self.taken + off < self.least:
+                left = self.counts > off
+                self.keys, self.counts, self.taken = self.keys[left], self.counts[left] - off, self.taken + off
 
     def at_least(self, least: int) -> np.ndarray:
         """Keys whose true count may reach ``least``."""
@@ -152,7 +159,7 @@ def place_of(hashes: np.ndarray, partitions: int) -> tuple[np.ndarray, np.ndarra
 
 
 def summaries(texts: DataFrame, partitions: int) -> DataFrame:
-    """``part, n, mass, keys, counts``: packed summaries of hash partitions, some for each task."""
+    """``part, n, keys, counts``: packed summaries of hash partitions, some for each task."""
 
     def pack(hashes: list[np.ndarray]) -> pa.RecordBatch:
         part, key = place_of(np.concatenate(hashes), partitions)
@@ -162,10 +169,10 @@ def summaries(texts: DataFrame, partitions: int) -> DataFrame:
         rows = []
         for p in np.flatnonzero(np.diff(cuts)).tolist():
             keys, c = distinct[cuts[p] : cuts[p + 1]] & _KEY, counts[cuts[p] : cuts[p + 1]]
-            rows.append((p, len(keys), int(c.sum()), *_pack(keys, c)))
-        columns = list(zip(*rows, strict=True)) or [()] * 5
-        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["part", "n", "mass", "keys", "counts"])
+            rows.append((p, len(keys), *_pack(keys, c)))
+        columns = list(zip(*rows, strict=True)) or [()] * 4
+        kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["part", "n", "keys", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -180,45 +187,37 @@ def summaries(texts: DataFrame, partitions: int) -> DataFrame:
         if size:
             yield pack(held)
 
-    return texts.mapInArrow(run, "part int, n long, mass long, keys binary, counts binary")
+    return texts.mapInArrow(run, "part int, n long, keys binary, counts binary")
 
 
-def survivors(written: DataFrame, partitions: int, least: int) -> DataFrame:
+def survivors(summed: DataFrame, partitions: int, least: int) -> DataFrame:
     """``place`` (partition and key in one number) of every phrase that may be frequent."""
-    mass = written.groupBy("part").agg(F.sum("mass").alias("whole"))  # a row per partition
-    dealt = written.join(F.broadcast(mass), "part").repartitionById(partitions, F.col("part"))
-    dealt = dealt.select("part", "whole", "n", "keys", "counts").sortWithinPartitions("part")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, summary = None, Summary(0)
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        merged: dict[int, Summary] = {}
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         size = 0
 
         def fold() -> None:
-            nonlocal held, size
-            if held:
-                summary.merge(*(np.concatenate(x) for x in zip(*held, strict=True)))
-            held, size = [], 0
-
-        def out() -> pa.RecordBatch:
-            fold()
-            found = (np.uint64(part or 0) << np.uint64(32)) | summary.at_least(least)
-            return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["place"])
+            nonlocal size
+            for p, pieces in held.items():
+                merged.setdefault(p, Summary(CAPACITY, least)).merge(*(np.concatenate(x) for x in zip(*pieces, strict=True)))
+            held.clear()
+            size = 0
 
         for batch in batches:
-            for p, whole, n, keys, counts in zip(*(batch.column(i) for i in range(5)), strict=True):
-                if p.as_py() != part:
-                    if part is not None:
-                        yield out()
-                    part, summary = p.as_py(), Summary(max(whole.as_py() // least + 1, CAPACITY))
-                held.append(_unpack(keys.as_py(), counts.as_py(), n.as_py()))
+            for p, n, keys, counts in zip(*(batch.column(i) for i in range(4)), strict=True):
+                held.setdefault(p.as_py(), []).append(_unpack(keys.as_py(), counts.as_py(), n.as_py()))
                 size += n.as_py()
                 if size >= TASK_PHRASES:
                     fold()
-        if part is not None:
-            yield out()
+        fold()
+        for p, summary in merged.items():
+            found = (np.uint64(p) << np.uint64(32)) | summary.at_least(least)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["place"])
 
-    return dealt.mapInArrow(run, "place long")
+    # A task gets the summaries of one hash partition.
+    return summed.repartitionById(partitions, F.col("part")).mapInArrow(run, "place long")
 
 
 def _probes(places: np.ndarray, bits: int) -> Iterator[np.ndarray]:
@@ -294,8 +293,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, text_col: str = "text"
     chars = texts.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     partitions = max(width, -(-chars // PARTITION_MASS))  # about a phrase a character at most
-    written = staged(summaries(texts, partitions), "summaries")
-    table = bit_table(staged(survivors(written, partitions, least), "survivors"))
+    table = bit_table(staged(survivors(summaries(texts, partitions), partitions, least), "survivors"))
     found = counted(texts, partitions, table).groupBy("lang", "phrase", "words").agg(F.sum("c").alias("a"))
     return staged(found.where((F.col("words") == 0) | (F.col("a") >= least)), "frequent")
 

@@ -106,6 +106,20 @@ def test_summary_keeps_its_promise(capacity):
     assert {k for k, c in true.items() if c >= least} <= set(merged.at_least(least).tolist())
 
 
+def test_a_summary_with_a_least_count_loses_no_frequent_key():
+    """Whatever comes first: rare keys that fill it, or few keys often."""
+    r = np.random.default_rng(8)
+    stream = np.concatenate([np.arange(5000), r.permutation(np.repeat(np.arange(40), 9)), np.arange(9000, 12_000), np.repeat(7, 100)]).astype(np.uint64)
+    true = Counter(stream.tolist())
+    for order in (stream, stream[::-1], r.permutation(stream)):
+        for least in (2, 5, 10):
+            merged = collocations.Summary(3, least)
+            for piece in np.array_split(order, 60):
+                merged.merge(*collocations.added(piece, np.ones(len(piece), np.int64)))
+            assert merged.taken < least
+            assert {k for k, c in true.items() if c >= least} <= set(merged.at_least(least).tolist())
+
+
 def test_packed_keys_come_back():
     r = np.random.default_rng(4)
     keys = np.unique(r.integers(0, 1 << 32, 5000, dtype=np.uint64))
