@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebridge.functions.fields import set_value
+from casebridge.sources.layout import plain
 
 
 def apply_changes(base: DataFrame, changes: DataFrame, key: str | list[str], columns: dict[str, str]) -> DataFrame:
@@ -24,8 +25,9 @@ def apply_event_changes(events: DataFrame, changes: DataFrame, status_field: str
     """New snapshot of event rows from (event_id, new_status, new_transfer_status, new_document).
 
     A new document comes first, then the transfer status is set in it. Documents without a change stay
-    the text they were.
+    the text they were. Columns derived from documents go.
     """
+    events = plain(events)
     joined = events.withColumn("event_id", F.col("programstageinstanceid").cast("bigint")).join(
         changes, "event_id", "left"
     )

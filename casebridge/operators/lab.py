@@ -12,6 +12,7 @@ from casebridge.operators.link import has_result, key_names, stage_id
 from casebridge.operators.sift import sift
 from casebridge.operators.spread import Profile, spread_join
 from casebridge.operators.staging import Staged, stage
+from casebridge.sources.layout import is_laid_out, plain
 from casebridge.sources.tables import Tables
 
 
@@ -68,14 +69,19 @@ def stage_sources(queue: Staged, lab: DataFrame, cfg: TransferConfig) -> Staged:
 
 
 def lab_targets(t: Tables, cfg: TransferConfig) -> DataFrame:
-    """Lab-stage events of the table: (lab_event_id, target_key, document)."""
-    at_lab = t.programstageinstance.where(F.col("programstageid") == stage_id(t, cfg.lab_stage_uid))
+    """Lab-stage events of the table: (lab_event_id, target_key, document, ..), the whole one in ``event``."""
+    events = t.programstageinstance
+    at_lab = events.where(F.col("programstageid") == stage_id(t, cfg.lab_stage_uid))
+    if is_laid_out(events):  # as literals, for the pruning of partitions; two at most, as the subquery allows one
+        ids = t.programstage.where(F.col("uid") == cfg.lab_stage_uid).select("programstageid").limit(2).collect()
+        at_lab = at_lab.where(F.col("programstageid").isin([r[0] for r in ids]))
     if cfg.skip_deleted_events:
         at_lab = at_lab.where(~F.coalesce("deleted", F.lit(False)))
-    return _targets(at_lab, cfg)
+    at_lab = plain(at_lab)
+    return _targets(at_lab.withColumn("event", F.struct(*at_lab.columns)), cfg, "event")
 
 
-def _targets(events: DataFrame, cfg: TransferConfig) -> DataFrame:
+def _targets(events: DataFrame, cfg: TransferConfig, *more: str) -> DataFrame:
     # A table no such run has written yet has no lineage.
     column = target_column(cfg)
     key = F.col(column) if column in events.columns else F.lit(None)
@@ -86,6 +92,7 @@ def _targets(events: DataFrame, cfg: TransferConfig) -> DataFrame:
         F.col("executiondate").alias("executed"),
         F.col("organisationunitid").alias("facility_id"),
         "status",
+        *more,
     ).where("target_key IS NOT NULL")
 
 
@@ -113,10 +120,14 @@ def merge_lab(targets: DataFrame, seen: Profile, sources: Staged, cfg: TransferC
     )
 
 
-def merge_into_table(t: Tables, sources: Staged, cfg: TransferConfig) -> DataFrame:
-    """Changes of the table's lab events. Only those that may have a source leave the scan."""
-    reached = stage(sift(lab_targets(t, cfg), sources.df, "target_key")[0], "lab_targets", ("target_key",))
-    return merge_lab(reached.df, reached.profiles["target_key"], sources, cfg)
+def stage_targets(t: Tables, sources: Staged, cfg: TransferConfig) -> Staged:
+    """The table's lab events that may have a source; no others leave the scan."""
+    return stage(sift(lab_targets(t, cfg), sources.df, "target_key")[0], "lab_targets", ("target_key",))
+
+
+def merge_into_table(reached: Staged, sources: Staged, cfg: TransferConfig) -> DataFrame:
+    """Changes of the table's lab events."""
+    return merge_lab(reached.df.drop("event"), reached.profiles["target_key"], sources, cfg)
 
 
 def merge_into_copies(inserts: Staged, sources: Staged, cfg: TransferConfig) -> DataFrame:

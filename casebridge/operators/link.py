@@ -11,7 +11,8 @@ from casebridge.config import ACTIVE, COMPLETED, PERMANENT, TRANSFERRED, WAITING
 from casebridge.functions.fields import read_fields
 from casebridge.operators.spread import profile, spread_join
 from casebridge.operators.staging import Staged, stage
-from casebridge.sources.tables import EVENT_COLUMNS, Tables
+from casebridge.sources.layout import VALUE, has_values, in_queues, plain
+from casebridge.sources.tables import Tables
 
 # ---- the narrow view of an event ------------------------------------------------------------------
 
@@ -34,19 +35,17 @@ def program_id(t: Tables, cfg: TransferConfig) -> Column:
 
 
 def event_fields(events: DataFrame, cfg: TransferConfig) -> DataFrame:
-    """Add the text values the jobs look at."""
-    keys = {f"key_{i}": k.event_field for i, k in enumerate(cfg.match_keys)}
-    return read_fields(
-        events,
-        "eventdatavalues",
-        {
-            **keys,
-            "request": cfg.request_field,
-            "transfer_status": cfg.status_field,
-            "lab": cfg.lab_field,
-            "target_uid": cfg.target_facility_field,
-        },
-    )
+    """Add the text values the jobs look at, from their own columns where the table is laid out so."""
+    fields = {
+        **{f"key_{i}": k.event_field for i, k in enumerate(cfg.match_keys)},
+        "request": cfg.request_field,
+        "transfer_status": cfg.status_field,
+        "lab": cfg.lab_field,
+        "target_uid": cfg.target_facility_field,
+    }
+    if has_values(events, list(fields.values())):
+        return events.select("*", *[F.col(VALUE + f).alias(a) for a, f in fields.items()])
+    return read_fields(events, "eventdatavalues", fields)
 
 
 def event_facts(events: DataFrame, t: Tables, cfg: TransferConfig) -> DataFrame:
@@ -60,7 +59,7 @@ def event_facts(events: DataFrame, t: Tables, cfg: TransferConfig) -> DataFrame:
         F.col("organisationunitid").alias("facility_id"),
         "status",
         *field_names(cfg),
-        F.struct(*EVENT_COLUMNS).alias("event"),
+        F.struct(*plain(events).columns).alias("event"),
     )
 
 
@@ -159,12 +158,12 @@ def all_matched(cfg: TransferConfig) -> Column:
 def stage_queue(t: Tables, cfg: TransferConfig) -> Staged:
     """Events some step may link, read and parsed once.
 
-    Those that may be copied or bring a late result keep the whole event, in a column of its own that
-    only these two steps read.
+    Those that may be copied, flagged or bring a late result keep the whole event, in a column of its own that
+    only the steps read that write events. All a step looks for waits or was transferred, so of a laid-out table
+    only the partitions of these two queues are read.
     """
-    facts = event_facts(t.programstageinstance, t, cfg).where(needs_match(cfg))
-    source = F.col("at_source") & (is_waiting(cfg) | is_late_lab(cfg))
-    kept = facts.withColumn("event", F.when(source, F.col("event")))
+    facts = event_facts(in_queues(t.programstageinstance), t, cfg).where(needs_match(cfg))
+    kept = facts.withColumn("event", F.when(is_waiting(cfg) | is_late_lab(cfg), F.col("event")))
     return stage(kept, "queue", (*key_names(cfg), "target_uid"))
 
 

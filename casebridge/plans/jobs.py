@@ -52,7 +52,8 @@ def transfer_lab(t: Tables, cfg: TransferConfig) -> LabResult:
     steps = TransferRun(t, cfg)
     links = steps.links.df.where(F.col("transfer_status") == TRANSFERRED)
     late = stage(lab.lab_events(links, cfg), "lab_events").df
-    merged = lab.merge_into_table(t, lab.stage_sources(steps.queue, late, cfg), cfg)
+    sources = lab.stage_sources(steps.queue, late, cfg)
+    merged = lab.merge_into_table(lab.stage_targets(t, sources, cfg), sources, cfg)
     return LabResult(lab.complete_lab_events(late), merged, notify.lab_notices(late))
 
 

@@ -236,6 +236,11 @@ GROUP BY text, user_id""",
     "GROUP BY stage_id, transfer_status, status",
     "run_published": "SELECT stage_id, transfer_status, status, count(*) AS events FROM ev4 "
     "GROUP BY stage_id, transfer_status, status",
+    "run_compacted": f"SELECT event_id, enrolment_id, stage_id, facility_id, status, {FIELDS}, lab_only FROM ev4",
+    "run_twice": "SELECT stage_id, transfer_status, status, count(*) AS events FROM ev4 "
+    "GROUP BY stage_id, transfer_status, status",
+    "queue_laid_out": "SELECT event_id FROM waiting",
+    "json_extract_laid_out": f"SELECT event_id, {FIELDS} FROM ev0",
     "hot_key_join": """
 SELECT o_orderstatus AS k, count(*) AS pairs, cast(sum(o_orderkey - c_custkey) AS bigint) AS spans
 FROM orders JOIN customer ON o_orderstatus = ['F', 'O', 'P'][c_custkey % 3 + 1] AND c_custkey % 7 > 0

@@ -17,9 +17,11 @@ from casebridge.operators import lab, link, notify
 from casebridge.operators.changes import apply_event_changes
 from casebridge.operators.spread import profile, spread_join
 from casebridge.operators.staging import stage, staging_root
-from casebridge.plans.run import TransferRun, end_state
+from casebridge.plans.run import TransferRun, end_state, start_run
 from casebridge.sources import fixtures
-from casebridge.sources.publish import latest, publish
+from casebridge.sources.layout import read_base, write_base
+from casebridge.sources.publish import compact, latest, newest, publish
+from casebridge.sources.tables import Tables
 
 CFG = TransferConfig()
 THREE_KEYS = replace(CFG, match_keys=(*CFG.match_keys, DISTRICT_NUMBER))
@@ -363,8 +365,11 @@ def run_all(spark, sf_dir):
 
 def run_events(spark, sf_dir):
     """Every event after a run."""
-    r = _run(spark, sf_dir)
-    return read_fields(_fields(r.events), "eventdatavalues", {"lab_only": LAB_ONLY}).select(
+    return _every_event(_run(spark, sf_dir).events)
+
+
+def _every_event(events: DataFrame) -> DataFrame:
+    return read_fields(_fields(events), "eventdatavalues", {"lab_only": LAB_ONLY}).select(
         _event_id(),
         F.col("programinstanceid").alias("enrolment_id"),
         F.col("programstageid").alias("stage_id"),
@@ -377,9 +382,48 @@ def run_events(spark, sf_dir):
 
 def run_published(spark, sf_dir):
     """A run published to the shared folder, as readers then find it."""
-    out = f"{staging_root(spark)}/casebridge/{uuid.uuid4().hex}/out"
-    t = fixtures.load(spark, sf_dir)
+    out, t = f"{_folder(spark)}/out", fixtures.load(spark, sf_dir)
+    publish(TransferRun(t, CFG, RUN).result, RUN, out)
+    return end_state(latest(t, out), CFG)
+
+
+def _folder(spark: SparkSession) -> str:
+    return f"{staging_root(spark)}/casebridge/{uuid.uuid4().hex}"
+
+
+def _laid_out(spark: SparkSession, sf_dir: str) -> Tables:
+    """The tables with the events written by stage and queue, their values in columns of their own."""
+    t, path = fixtures.load(spark, sf_dir), f"{_folder(spark)}/events"
+    write_base(t.programstageinstance, CFG, path)
+    return t.but(programstageinstance=read_base(t.programstageinstance, path))
+
+
+def queue_laid_out(spark, sf_dir):
+    """Waiting source events of a laid-out table: partitions of the queue are read, no document is parsed."""
+    queue = link.stage_queue(_laid_out(spark, sf_dir), CFG).df
+    return _waiting(queue).select("event_id")
+
+
+def json_extract_laid_out(spark, sf_dir):
+    return _fields(_laid_out(spark, sf_dir).programstageinstance).select(_event_id(), *FIELDS)
+
+
+def run_compacted(spark, sf_dir):
+    """Every event as readers find it after a run was published and its changes folded into whole tables."""
+    out, t = f"{_folder(spark)}/out", fixtures.load(spark, sf_dir)
+    publish(TransferRun(t, CFG, RUN).result, RUN, out)
+    compact(t, out)
+    return _every_event(latest(t, out).programstageinstance)
+
+
+def run_twice(spark, sf_dir):
+    """The end state after a second run over a published one: base, changes, and changes over these."""
+    out, t = f"{_folder(spark)}/out", fixtures.load(spark, sf_dir)
     publish(TransferRun(t, CFG, RUN).result, RUN, out)
+    base = newest(spark, out)
+    now = latest(t, out, base)
+    again = start_run(now, "again", datetime(2026, 1, 2), after=base)
+    publish(TransferRun(now, CFG, again).result, again, out)
     return end_state(latest(t, out), CFG)
 
 
@@ -453,5 +497,9 @@ QUERIES: dict[str, Query] = {
     "run_events": run_events,
     "run_all": run_all,
     "run_published": run_published,
+    "run_compacted": run_compacted,
+    "run_twice": run_twice,
+    "queue_laid_out": queue_laid_out,
+    "json_extract_laid_out": json_extract_laid_out,
     "hot_key_join": hot_key_join,
 }

@@ -1,8 +1,9 @@
 """A whole run: copy, mark, late lab results, ownership, triage, notices; each step on the one before.
 
 Steps share one narrow view of the events and hand over change sets. The event table is read once for all
-of them, but for its lab events, and again when the new table is written; nothing rewrites it in
-between. Every property is computed on first use, so a caller can stop at any step.
+of them, and once more for its lab events. What is published are the rows that changed and the new ones
+(``changes``), which the steps have read already; the table after the run is the old one with these in place of
+its own. Every property is computed on first use, so a caller can stop at any step.
 """
 
 from __future__ import annotations
@@ -17,19 +18,33 @@ from pyspark.sql import functions as F
 
 from casebridge.config import Run, TransferConfig
 from casebridge.operators import copies, lab, link, notify, ownership, status, triage
+from casebridge.operators.changelog import over_base
 from casebridge.operators.changes import apply_changes, apply_event_changes
 from casebridge.operators.sift import sift
 from casebridge.operators.staging import Staged, stage
-from casebridge.sources.tables import EVENT_COLUMNS, Tables
+from casebridge.sources.layout import plain
+from casebridge.sources.tables import Tables
 
 if TYPE_CHECKING:
     from casebridge.sources.publish import Published
 
 
+@dataclass(frozen=True)
+class Changes:
+    """Whole rows that a run changed or added, one per event, and one per changed person and program."""
+
+    programstageinstance: DataFrame
+    trackedentityprogramowner: DataFrame
+
+
 @dataclass(frozen=True)
 class RunResult:
+    """``tables`` are the tables after the run, ``changes`` what it changed in them."""
+
     tables: Tables
     messages: notify.Messages
+    changes: Changes
+    cfg: TransferConfig
 
 
 def start_run(
@@ -114,10 +129,14 @@ class TransferRun:
     def lab_sources(self) -> Staged:
         return lab.stage_sources(self.queue, self.lab, self.cfg)
 
+    @cached_property
+    def lab_targets(self) -> Staged:
+        return lab.stage_targets(self.t, self.lab_sources, self.cfg)
+
     @cached_property
     def merged_rows(self) -> DataFrame:
         """Merges into lab events of the table."""
-        return stage(lab.merge_into_table(self.t, self.lab_sources, self.cfg), "merged_rows").df
+        return stage(lab.merge_into_table(self.lab_targets, self.lab_sources, self.cfg), "merged_rows").df
 
     @cached_property
     def merged_copies(self) -> DataFrame:
@@ -213,30 +232,56 @@ class TransferRun:
         return stage(changes, "event_changes").df
 
     @cached_property
-    def events(self) -> DataFrame:
-        """New event table. Rows without a change go from the scan to the result: no parse, no shuffle."""
-        rows = self.t.programstageinstance.unionByName(self.inserts.df.drop("rank", "role"), allowMissingColumns=True)
+    def changed_events(self) -> DataFrame:
+        """Whole rows of changed events of the table and of new events. The event table is not read for them.
+
+        The queue and the lab targets hold every event a step can change; where both hold one, the target's row is taken.
+        """
+        plain_columns = plain(self.t.programstageinstance).columns
+        targets = self.lab_targets.df.join(self.merged_rows.select(F.col("event_id").alias("lab_event_id")), "lab_event_id", "left_semi")
+        queued = self.queue.df.where("event is not null").join(self.merged_rows.select("event_id"), "event_id", "left_anti")
+        rows = queued.select("event.*").unionByName(targets.select("event.*")).select(plain_columns)
         keyed = rows.withColumn("event_id", F.col("programstageinstanceid").cast("bigint"))
-        touched, passed = sift(keyed, self.event_changes, "event_id")
-        changed = apply_event_changes(touched.drop("event_id"), self.event_changes, self.cfg.status_field)
-        return passed.drop("event_id").unionByName(changed)
+        maybe, _ = sift(keyed, self.event_changes, "event_id")
+        touched = maybe.join(self.event_changes.select("event_id"), "event_id", "left_semi").drop("event_id")
+        new = self.inserts.df.drop("rank", "role")
+        new_keyed = new.withColumn("event_id", F.col("programstageinstanceid").cast("bigint"))
+        edited, passed = sift(new_keyed, self.event_changes, "event_id")
+        both = touched.unionByName(edited.drop("event_id"), allowMissingColumns=True)
+        changed = apply_event_changes(both, self.event_changes, self.cfg.status_field)
+        return changed.unionByName(passed.drop("event_id"), allowMissingColumns=True)
 
     @cached_property
-    def owners(self) -> DataFrame:
+    def events(self) -> DataFrame:
+        """The event table after the run: its rows but for the changed ones, and those with the new ones."""
+        changed = self.event_changes.select(F.col("event_id").alias("programstageinstanceid"))
+        return over_base(plain(self.t.programstageinstance), self.changed_events, ["programstageinstanceid"], changed)
+
+    @cached_property
+    def owner_changes(self) -> DataFrame:
+        """Changed rows of the owners: one per person and program."""
         base = self.t.trackedentityprogramowner
         kinds = base.schema
-        changes = self.ownership.select(
+        return self.ownership.select(
             F.col("person_id").cast(kinds["trackedentityinstanceid"].dataType).alias("trackedentityinstanceid"),
             F.col("program_id").alias("programid"),
-            F.col("new_facility_id").cast(kinds["organisationunitid"].dataType).alias("new_facility_id"),
+            F.col("new_facility_id").cast(kinds["organisationunitid"].dataType).alias("organisationunitid"),
         ).distinct()
-        on = ["trackedentityinstanceid", "programid"]
-        return apply_changes(base, changes, on, {"organisationunitid": "new_facility_id"})
+
+    @cached_property
+    def owners(self) -> DataFrame:
+        return with_owner_changes(self.t.trackedentityprogramowner, self.owner_changes)
 
     @cached_property
     def result(self) -> RunResult:
         tables = self.t.but(programstageinstance=self.events, trackedentityprogramowner=self.owners)
-        return RunResult(tables, self.messages)
+        return RunResult(tables, self.messages, Changes(self.changed_events, self.owner_changes), self.cfg)
+
+
+def with_owner_changes(owners: DataFrame, changes: DataFrame) -> DataFrame:
+    """Owners with new facilities; a person may have several rows of one program."""
+    renamed = changes.withColumnRenamed("organisationunitid", "new_facility_id")
+    return apply_changes(owners, renamed, ["trackedentityinstanceid", "programid"], {"organisationunitid": "new_facility_id"})
 
 
 def run_all(t: Tables, cfg: TransferConfig, run: Run) -> RunResult:
@@ -246,7 +291,7 @@ def run_all(t: Tables, cfg: TransferConfig, run: Run) -> RunResult:
 def end_state(t: Tables, cfg: TransferConfig) -> DataFrame:
     """Events per stage, transfer status and status: the end check of a run."""
     return (
-        link.event_fields(t.programstageinstance.select(*EVENT_COLUMNS), cfg)
+        link.event_fields(t.programstageinstance, cfg)
         .groupBy(F.col("programstageid").alias("stage_id"), "transfer_status", "status")
         .agg(F.count(F.lit(1)).alias("events"))
     )

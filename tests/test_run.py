@@ -124,7 +124,7 @@ def test_the_chain_of_runs_decides_not_their_clocks(spark, tables, first, tmp_pa
     assert (newest(spark, out).run_id, newest(spark, out).step, newest(spark, out).message_base) == ("b", 2, 7)
     with pytest.raises(ValueError, match="computed from a"):
         publish(small, replace(RUN, run_id="c", parent="a"), out)
-    assert latest(tables, out).programstageinstance.inputFiles()[0].count("/runs/b/")
+    assert any("/runs/b/" in f for f in latest(tables, out).programstageinstance.inputFiles())
 
 
 def test_a_failure_before_the_marker_leaves_the_old_tables(spark, tables, first, tmp_path):
