@@ -4,10 +4,15 @@ Every paragraph earns points for itself, its commas and its length, less the sha
 points go in full to the element that holds it, by half to the next one out and by a third, a quarter .. beyond.
 The best element, its score again discounted by its own link share, is the article, with the elements around it that
 hold nothing else. Elements beside it that have few links or score well enough are kept with it. Menus, headers, footers, sidebars, notices, adverts,
-forms, comments of readers, scripts and styles are left out wherever they stand, by tag, role, class or id.
+comments of readers, scripts, styles and the fields of forms are left out wherever they stand, by tag, role, class or id.
 
-Null, empty and text-free pages give an empty text. Pages are independent rows: ties go to the outermost, then the
-first element, repeated rows repeat their result, and a page of any length is worked on whole.
+A class or id is read word by word. A word that stands for itself (``sidebar``) names the element; one behind ``no``, ``has``,
+``category`` and the like doesn't. One that is part of a longer name (``sidebar-right``) leaves a block out as long as there is
+a text outside it: where nearly all text of the page lies in such a block, or in a form, it is a container like any other.
+
+Null, empty and text-free pages give an empty text, and an empty table no rows. Pages are independent rows: ties go to the
+outermost, then the first element, repeated rows repeat their result, and a page of any length is worked on whole. Columns
+other than the html and those kept are not read.
 """
 
 from __future__ import annotations
@@ -27,7 +32,7 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 LEAVE_OUT = frozenset(
-    "head title script style noscript template nav footer aside form button select option textarea input iframe svg canvas "
+    "head title script style noscript template nav footer aside button select option textarea input iframe svg canvas "
     "object menu dialog audio video map".split()
 )
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alertdialog alert form".split())
@@ -37,6 +42,8 @@ NOISE_WORDS = frozenset(
     "subscription signup login comment comments respond reply replies disqus discussion share sharing social related "
     "recommended pagination pager widget".split()
 )
+# Words before a noise word of one name that make it a property: no-sidebar, has-comments, category-social.
+QUALIFIERS = frozenset("no not non without with has have having is category cat tag type format topic".split())
 HOLDS_PARAGRAPHS = frozenset("article body main section div td blockquote center details figure li dd th form fieldset".split())
 PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote ul ol dl table figure".split())
 
@@ -67,35 +74,72 @@ _NAMING = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\
 _NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
+#: What an element is by its name: kept, left out unless nearly all text is in it, left out.
+KEPT, DOUBTFUL, NOISE = 0, 1, 2
+#: Times the text outside that a doubtful element's text must have to be kept.
+NEARLY_ALL = 10
+
+
 class Element:
     __slots__ = ("name", "parent", "order", "score", "chars", "linked", "noise")
 
-    def __init__(self, name: str, parent: Element | None, order: int, noise: bool) -> None:
+    def __init__(self, name: str, parent: Element | None, order: int, noise: int) -> None:
         self.name, self.parent, self.order, self.noise = name, parent, order, noise
         self.score = 0.0
         self.chars = self.linked = 0
 
 
-def is_noise(name: str, attrs: str, inside_article: bool) -> bool:
+def named_noise(value: str) -> int:
+    """What the names of a class or id say."""
+    found = KEPT
+    for name in value.split():
+        words = [w.lower() for w in _NAME_WORDS.findall(name)]
+        at = next((i for i, w in enumerate(words) if w in NOISE_WORDS), None)
+        if at is not None and QUALIFIERS.isdisjoint(words[:at]):
+            if len(words) == 1:
+                return NOISE
+            found = DOUBTFUL
+    return found
+
+
+def noise_of(name: str, attrs: str, inside_article: bool) -> int:
     if name in LEAVE_OUT or name == "header" and not inside_article:
-        return True
+        return NOISE
+    found = DOUBTFUL if name == "form" else KEPT
     if name in ("html", "body", "main", "article") or not attrs:
-        return False
+        return found
     for m in _NAMING.finditer(attrs):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if key == "role" and value.lower() in NOISE_ROLES:
-            return True
+            return NOISE
         if key == "hidden" and m[2] is None and m[3] is None or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return NOISE
         if key in ("class", "id") and name not in PLAIN - {"ul", "ol", "blockquote", "table", "figure"}:
-            if not NOISE_WORDS.isdisjoint(w.lower() for w in _NAME_WORDS.findall(value)):
-                return True
-    return False
+            found = max(found, named_noise(value))
+    return NOISE if found == DOUBTFUL and name not in BLOCKS else found
+
+
+def without_doubtful(blocks: list[tuple[str, int, list[Element]]]) -> list[tuple[str, int, list[Element]]]:
+    """Blocks outside doubtful elements, and inside those that hold nearly all text that is left, from the outermost in."""
+    doubtful = {id(e) for _, _, path in blocks for e in path if e.noise == DOUBTFUL}
+    while doubtful:
+        outside, inside = 0, dict.fromkeys(doubtful, 0)
+        for text, links, path in blocks:
+            outermost = next((id(e) for e in path if id(e) in doubtful), None)
+            if outermost is None:
+                outside += max(0, len(text) - links)
+            else:
+                inside[outermost] += max(0, len(text) - links)
+        most = max(inside, key=inside.__getitem__)
+        if inside[most] <= NEARLY_ALL * outside:
+            break
+        doubtful.discard(most)
+    return [b for b in blocks if not any(id(e) in doubtful for e in b[2])]
 
 
 def blocks_of(html: str) -> tuple[list[tuple[str, int, list[Element]]], list[Element]]:
     """Blocks of text in page order with their link characters and open elements, and all elements."""
-    root = Element("#page", None, 0, False)
+    root = Element("#page", None, 0, KEPT)
     stack, every = [root], [root]
     blocks: list[tuple[str, int, list[Element]]] = []
     parts: list[str] = []
@@ -115,7 +159,7 @@ def blocks_of(html: str) -> tuple[list[tuple[str, int, list[Element]]], list[Ele
         e = stack.pop()
         anchors -= e.name == "a"
         articles -= e.name in ("article", "main")
-        noisy -= e.noise
+        noisy -= e.noise == NOISE
 
     def close(names: frozenset[str], scope: frozenset[str]) -> None:
         for i in range(len(stack) - 1, 0, -1):
@@ -157,12 +201,12 @@ def blocks_of(html: str) -> tuple[list[tuple[str, int, list[Element]]], list[Ele
         attrs = m["attrs"]
         if attrs.endswith("/") and name not in BLOCKS:
             continue
-        e = Element(name, stack[-1], len(every), is_noise(name, attrs, articles > 0))
+        e = Element(name, stack[-1], len(every), noise_of(name, attrs, articles > 0))
         stack.append(e)
         every.append(e)
         anchors += name == "a"
         articles += name in ("article", "main")
-        noisy += e.noise
+        noisy += e.noise == NOISE
     end_block()
     return blocks, every
 
@@ -171,6 +215,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     blocks, every = blocks_of(html)
+    blocks = without_doubtful(blocks)
     for text, links, open_elements in blocks:
         density = min(1.0, links / len(text))
         points = (1 + text.count(",") + min(len(text) / 100, 3.0)) * (1 - density)

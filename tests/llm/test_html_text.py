@@ -82,6 +82,30 @@ def test_a_page_in_parts_keeps_its_short_ones(part):
     assert html_text.main_text(f"<html><body><div>{parts}{links}</div></body></html>") == "\n".join(expected)
 
 
+SIDEBAR = f'<div class="sidebar"><p>{PROSE}</p></div><div class="sidebar-right"><p>{PROSE}</p></div>'
+COMMENTS = f'<div id="comments"><p>{PROSE}{PROSE}</p></div><ol class="comment-list"><li>{PROSE}</li></ol>'
+
+
+@pytest.mark.parametrize("more", ["", SIDEBAR, COMMENTS, SIDEBAR + COMMENTS])
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        '<div class="content no-sidebar">{}</div>',
+        '<div class="layout-with-sidebar"><div>{}</div></div>',
+        '<div class="post has-comments">{}</div>',
+        '<section class="post category-social">{}</section>',
+        '<form id="aspnetForm" action="x"><input type=hidden value=1><div id=main>{}</div><select><option>one</option></select><button>Go</button></form>',
+        '<div class="two-column sidebar-right">{}</div>',
+        '<div class="widgetArea"><div id="share-wrap"><div>{}</div></div></div>',
+    ],
+)
+def test_names_that_do_not_mean_the_whole_page(wrapper, more):
+    """Wrappers named by what else they hold, with and without the real thing inside."""
+    article = f"<h1>Title</h1><p>{PROSE}</p><p>{PROSE}</p><p>Short end.</p>"
+    html = f"<html><body><header>Site</header>{wrapper.format(article + more)}<footer>About us</footer></body></html>"
+    assert html_text.main_text(html) == f"Title\n{PROSE.strip()}\n{PROSE.strip()}\nShort end."
+
+
 def test_comments_inside_the_article_go_and_a_long_page_stays_whole():
     html = f"<article><p>{PROSE}</p><div id=comments><p>{PROSE}</p></div></article>"
     assert html_text.main_text(html) == PROSE.strip()
