@@ -21,7 +21,8 @@ With 20 bands of 4 rows, a pair right at 0.85 shares no band with probability 4e
 standard errors loses up to 3e-6 more (binomial tail). Set hashes have 64 bits, class keys 128 and the size.
 
 Null, empty and blank texts have empty sets, are their own component and kept. Rows that repeat a doc_id: each row
-follows the class of its own text. Columns other than id and text are not read.
+follows the class of its own text, which ``text_key`` (its hash) names. Very long texts are read whole, an empty table gives no
+rows. Columns other than id and text are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -99,7 +100,7 @@ def _lists(values: list[np.ndarray], width: int) -> pa.ListArray:
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, n, low, high`` (size and hash of the set), ``bands``, ``sig`` of every row."""
+    """``doc_id, text_key, n, low, high`` (size and hash of the set), ``bands``, ``sig`` of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,12 +113,12 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 sigs.append(packed(found))
             key = np.array(keys, np.uint64).reshape(-1, 2).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(key[:, 0]), pa.array(key[:, 1]), _lists(bands, BANDS), _lists(sigs, MINIMA * BITS // 64)],
-                names=["doc_id", "n", "low", "high", "bands", "sig"],
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(key[:, 0]), pa.array(key[:, 1]), _lists(bands, BANDS), _lists(sigs, MINIMA * BITS // 64)],
+                names=["doc_id", "text_key", "n", "low", "high", "bands", "sig"],
             )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n long, low long, high long, bands array<long>, sig array<long>")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key"))
+    return rows.mapInArrow(run, "doc_id long, text_key long, n long, low long, high long, bands array<long>, sig array<long>")
 
 
 def _cells(rows: DataFrame, group: str, member: str, blocks: Column) -> DataFrame:
@@ -234,7 +235,7 @@ def _linked_pairs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row."""
+    """``doc_id, text_key, n_shingles, component_id, kept`` of every row."""
     sketches = staged(sketch(docs, id_col, text_col), "sketches")
     classes = sketches.where("n > 0").groupBy("n", "low", "high").agg(F.min(F.struct("doc_id", "bands", "sig")).alias("first"))
     reps = staged(classes.select("n", "low", "high", "first.*"), "classes")
@@ -254,6 +255,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     labelled = reps.select("n", "low", "high", "doc_id").join(linked, F.col("doc_id") == F.col("node"), "left")
     classed = labelled.select("n", "low", "high", F.coalesce("label", "doc_id").alias("component_id"))
-    found = sketches.select("doc_id", "n", "low", "high").join(classed, ["n", "low", "high"], "left")
+    found = sketches.select("doc_id", "text_key", "n", "low", "high").join(classed, ["n", "low", "high"], "left")
     component = F.coalesce("component_id", "doc_id")
-    return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    return found.select("doc_id", "text_key", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))

@@ -38,7 +38,7 @@ def op3_html_extraction(spark, sf_dir):
 
 
 def op4_minhash_near_dedup(spark, sf_dir):
-    return minhash.near_duplicates(load(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(load(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op5_secret_scan(spark, sf_dir):

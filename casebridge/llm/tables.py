@@ -22,9 +22,18 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
+
+
 def shared_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; where it is unset, a folder in the warehouse, which is shared too."""
+    """``spark.checkpoint.dir``; where it is unset, a folder in the warehouse of a local session. A cluster has to name one."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir is not set: intermediate tables need a folder that the whole cluster shares")
     return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/staging").rstrip("/")
 
 
@@ -48,9 +57,10 @@ def split_by_ids(rows: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame,
     """
     place = F.pmod(F.xxhash64(key), F.lit(FILTER_ROWS * 64))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
-    set_bits = ids.where(F.col(key).isNotNull()).select(F.floor(place / 64).alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
-    marked = rows.withColumn("_word", F.floor(place / 64)).join(F.broadcast(set_bits), "_word", "left")
-    maybe = F.coalesce(F.col("_bits").bitwiseAND(bit) != 0, F.lit(False)) & F.col(key).isNotNull()
+    word, bits = unused(rows, "id_word"), unused(rows, "id_bits")
+    marks = ids.where(F.col(key).isNotNull()).select(F.floor(place / 64).alias(word), bit.alias(bits))
+    marked = rows.withColumn(word, F.floor(place / 64)).join(F.broadcast(marks.groupBy(word).agg(F.bit_or(bits).alias(bits))), word, "left")
+    maybe = F.coalesce(F.col(bits).bitwiseAND(bit) != 0, F.lit(False)) & F.col(key).isNotNull()
     return marked.where(maybe).select(rows.columns), marked.where(~maybe).select(rows.columns)
 
 

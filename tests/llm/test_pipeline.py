@@ -85,6 +85,54 @@ def test_rows_that_repeat_an_id_and_text_leave_one(spark, small, make_docs):
     assert sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, small).collect()) == [1, 2, 3]
 
 
+def test_rows_of_one_id_are_judged_by_their_texts(spark, small, make_docs):
+    """Three shapes: different texts under one id, a copy under an id that has another text, and both repeated."""
+    copied = "one two three four five six seven"
+    rows = [(0, copied), (1, "a b c d e f g"), (1, "h i j k l m n"), (5, "o p q r s t u"), (5, copied), (6, copied), (6, copied)]
+    kept = corpus_pipeline.near_duplicates(spark, make_docs(rows), small).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(0, copied), (1, "a b c d e f g"), (1, "h i j k l m n"), (5, "o p q r s t u")]
+    item = load(spark, small, "benchmark").first()["text"]
+    rows = [(1, "a text of its own"), (1, f"before {item} after"), (2, "3.14 = 2"), (2, "--- 12 ---"), (2, None)]
+    assert [r["text"] for r in corpus_pipeline.decontamination(spark, make_docs(rows), small).where("doc_id = 1").collect()] == ["a text of its own"]
+    assert [r["text"] for r in corpus_pipeline.language(spark, make_docs([*rows, (2, "the words of a text")]), small).where("doc_id = 2").collect()] == ["the words of a text"]
+
+
+CODE = """def total(rows):
+    out = {}
+    for i, (key, value) in enumerate(rows):
+        out.setdefault(key, []).append(value * 2 + i)
+    return {k: sum(v) / len(v) for k, v in out.items() if v}
+"""
+UNLIKE_PROSE = [
+    CODE,
+    CODE * 5,
+    "C8H10N4O2 + 3 HNO3 -> C8H7N7O8 + 3 H2O (pKa 10.4, mp 238 C); NaOH, KMnO4, H2SO4, CH3COOH",
+    "NATO UNESCO UNICEF OECD WTO IMF NASA ESA CERN DARPA IEEE ACM ISO IETF W3C",
+    "qty;sku;price\n12;XK-99;4.50\n7;ZZ-01;19.99\n" * 20,
+    "Nguyen Thi Bich Ngoc, Szymon Wojciechowski, Gruffydd ap Llwyd, Xochitl Quetzalli, Bjork Gudmundsdottir",
+]
+
+
+def test_labelled_rows_unlike_prose_stay(spark, medium, stages):
+    columns = ["doc_id", "text", "lang"]
+    odd = spark.createDataFrame([(-1 - i, t, "en") for i, t in enumerate(UNLIKE_PROSE)], "doc_id long, text string, lang string")
+    kept = texts_of(corpus_pipeline.language(spark, stages[0].select(columns).unionByName(odd), medium))
+    assert set(range(-len(UNLIKE_PROSE), 0)) <= set(kept)
+    assert set(kept) - set(range(-len(UNLIKE_PROSE), 0)) == set(texts_of(stages[1]))
+
+
+def test_column_names_that_the_stages_use(spark, small, make_docs):
+    docs = make_docs([(1, "a b c d e f g"), (1, "a b c d e f g"), (2, "a b c d e f g"), (3, "mail a@b.c now")])
+    for name in ("once", "_word", "_bits", "id_word", "id_bits", "affected", "row_key", "row", "text_key", "kept", "lang_pred", "letters", "class"):
+        docs = docs.withColumn(name, F.lit(f"own {name}"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, small)
+        own = docs.first()
+        assert all(own[c] == f"own {c}" for c in docs.columns if c in ("once", "_word", "_bits", "id_word", "id_bits", "row_key", "class"))
+    assert sorted(r["doc_id"] for r in docs.collect()) == [1, 3]
+    assert corpus_pipeline.packed(spark, docs, small).count() == 2
+
+
 @pytest.mark.parametrize("words", [1, 1 << 20])
 def test_id_filter_loses_nothing_when_full(spark, monkeypatch, words):
     monkeypatch.setattr(tables, "FILTER_ROWS", words)
