@@ -14,6 +14,8 @@ rings of growing difference between their pivot distance and the query's; the ra
 far, and the search stops when the next ring lies outside it. Queries are blocked too; a task holds one block of
 each. Only candidates that meet the bound are written, at most k of a visit, and merged by rank.
 
+A block of the index is sent to the blocks of queries that visit it, once each.
+
 The search is exact: bounds are tested with a slack above rounding, products are integers (in 64 bits).
 
 Vectors that are null or hold a null or non-finite component take no part. Shorter vectors count as filled up with
@@ -182,10 +184,13 @@ def top_k(embeddings: DataFrame, asks: Column, k: int = 10, scale: int = 1024, i
             )
 
     visits = queries.mapInArrow(visit, "query_id long, q array<long>, cell int, block int, at double, bound double")
-    visits = visits.withColumn("query_block", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int"))
+    visits = staged(visits.withColumn("query_block", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int")), "visits")
     sizes = F.create_map(*[F.lit(x) for cell, (blocks, _, _) in cells.items() for x in (cell, blocks)]) if cells else None
     block = F.pmod(F.xxhash64("vec_id"), sizes[F.col("cell")]).cast("int") if cells else F.lit(0)
-    blocked = index.withColumn("block", block).withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
+    # A block goes to the query blocks that visit it, and to no others.
+    readers = visits.select(F.col("cell").alias("to_cell"), F.col("block").alias("to_block"), F.col("query_block").alias("reader")).distinct()
+    placed = index.withColumn("block", block)
+    blocked = placed.join(readers, (placed.cell == readers.to_cell) & (placed.block == readers.to_block)).select("vec_id", "v", "dist", "to_cell", "to_block", "reader")
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         p = shared.value
@@ -200,7 +205,6 @@ def top_k(embeddings: DataFrame, asks: Column, k: int = 10, scale: int = 1024, i
         columns = [np.concatenate([np.zeros(0, np.int64), *c]) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 3
         return pa.table({"query_id": columns[0], "vec_id": columns[1], "score": columns[2]})
 
-    keys = ("cell", "block", "query_block")
-    near = blocked.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInArrow(search, "query_id long, vec_id long, score long")
+    near = blocked.groupBy("to_cell", "to_block", "reader").cogroup(visits.groupBy("cell", "block", "query_block")).applyInArrow(search, "query_id long, vec_id long, score long")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -55,6 +55,25 @@ def test_large_components_stay_exact(spark, vector_schema):
     check(spark, vector_schema, [(i, v.tolist()) for i, v in enumerate(r.normal(size=(60, 3)) * 1e5)], 10)
 
 
+def test_blocks_go_to_the_queries_that_visit_them(spark, vector_schema, monkeypatch):
+    """Tight clusters far apart: with many query blocks, few copies of the index are sent."""
+    monkeypatch.setattr(topk, "SAMPLE", 400)
+    monkeypatch.setattr(topk, "BLOCK_LEAST", 50)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
+    sent = []
+    original = topk.staged
+    monkeypatch.setattr(topk, "staged", lambda df, name: sent.append((name, out := original(df, name))) or out)
+    r = np.random.default_rng(1)
+    centres = r.normal(size=(10, 8)) * 20
+    rows = [(i, (centres[i % 10] + r.normal(size=8) / 50).tolist()) for i in range(2000)]
+    check(spark, vector_schema, rows, 100, k=5)
+    visits = dict(sent)["visits"]
+    index = dict(sent)["index"]
+    copies = visits.select("cell", "block", "query_block").distinct().count()
+    blocks = visits.select("cell", "block").distinct().count()
+    assert index.count() == 2000 and copies < 5 * blocks / 2  # five blocks of queries
+
+
 def test_rings_stop_early_and_lose_nothing():
     r = np.random.default_rng(2)
     p = topk.Pivots(np.arange(50), r.integers(-50, 50, (50, 4)), 120.0)
