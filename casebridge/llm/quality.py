@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,8 @@ HIDDEN = 32
 EPOCHS = 300
 CUTOFF = 0.3
 SLICE_BYTES = 1 << 18
-CONTEXT_TASKS = 8
+#: Least number of tasks that sum context vectors, and the most splits of the scan one takes.
+CONTEXT_TASKS, SPLITS_A_TASK = 8, 4
 
 # Kinds of bytes: letters (and all of UTF-8 beyond ASCII) 1, digits 2, every symbol its own.
 KINDS = IDENTITY.copy()
@@ -218,8 +220,8 @@ def contexts(texts: DataFrame) -> np.ndarray:
         met = np.flatnonzero(total.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(met.astype(np.int32)), *(pa.array(total[met, k]) for k in range(DIMENSIONS))], names=["bucket", *places])
 
-    # Tables are as large as they get after some megabytes of text, so there are as many as tasks that run at once.
-    tasks = max(CONTEXT_TASKS, texts.sparkSession.sparkContext.defaultParallelism)
+    # Tables are as large as they get after some megabytes of text, so a task takes a few splits of the scan, never more.
+    tasks = max(CONTEXT_TASKS, ceil(texts.rdd.getNumPartitions() / SPLITS_A_TASK))
     parts = texts.coalesce(tasks).mapInArrow(sums, ", ".join(["bucket int", *(f"{p} long" for p in places)]))
     found = parts.groupBy("bucket").agg(*[F.sum(p).alias(p) for p in places]).toArrow()
     context = np.zeros((BUCKETS, DIMENSIONS), np.int64)
