@@ -1,0 +1,101 @@
+"""Workspaces: removed at the end, taken up again after a lost driver; and where staged tables may lie."""
+
+import os
+from dataclasses import replace
+from datetime import datetime
+from types import SimpleNamespace
+
+import pytest
+from pyspark.sql import functions as F
+from tiny import CFG, World, document
+
+from casebridge.config import Run
+from casebridge.operators import staging
+from casebridge.operators.link import event_fields
+from casebridge.operators.staging import job_key, stage, staging_root, workspace
+from casebridge.sources import publish as publishing
+from casebridge.sources.publish import latest, newest, publish_run
+from casebridge.sources.shared import exists
+
+NO_NOTICE = replace(CFG, static_notice=False)
+RUN = Run("r", datetime(2026, 1, 1), event_base=100)
+
+
+def work(spark, calls):
+    """Three steps, each on the one before; ``calls`` counts the rows that are worked out."""
+    first = stage(spark.range(10).select("id", F.rand().alias("r")), "first")
+    second = stage(first.df.withColumn("twice", F.col("r") * 2), "second", ("id",))
+    calls.append(first.df.count())
+    return stage(second.df.where("twice >= 0"), "third")
+
+
+def test_a_workspace_is_removed_at_the_end(spark):
+    with workspace(spark) as here:
+        assert work(spark, []).rows == 10 and here.steps == 3 and here.taken_up == 0
+        assert exists(spark, here.folder)
+    assert not exists(spark, here.folder)
+    with pytest.raises(RuntimeError), workspace(spark, "broken") as here:
+        work(spark, [])
+        raise RuntimeError
+    assert not exists(spark, here.folder)
+    with workspace(spark, "unused") as here:
+        pass
+    assert not exists(spark, here.folder)
+
+
+def test_a_lost_job_is_taken_up_where_it_was(spark, monkeypatch):
+    """The driver dies after two steps, the third half written: its folder stays, without Spark's mark of success."""
+    with monkeypatch.context() as lost:
+        lost.setattr(staging, "remove_folder", lambda *args: None)
+        with workspace(spark, "again") as here:
+            rows = sorted(map(tuple, work(spark, []).df.collect()))
+            (third,) = [f for f in os.listdir(here.folder.removeprefix("file:")) if "third" in f]
+    os.remove(f"{here.folder.removeprefix('file:')}/{third}/_SUCCESS")
+    with workspace(spark, "again") as here:
+        done = work(spark, [])
+        assert (here.steps, here.taken_up) == (3, 2)
+        assert sorted(map(tuple, done.df.collect())) == rows and done.rows == 10  # random numbers: nothing was worked out again
+    assert not exists(spark, here.folder)
+    with workspace(spark, "another") as here:
+        assert sorted(map(tuple, work(spark, []).df.collect())) != rows and here.taken_up == 0
+
+
+def test_keys_follow_from_what_a_job_depends_on(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/a")
+    table = spark.read.parquet(f"{tmp_path}/a")
+    key = job_key(CFG, RUN, tables=(table,))
+    assert key == job_key(CFG, RUN, tables=(spark.read.parquet(f"{tmp_path}/a"),))
+    spark.range(3).write.mode("append").parquet(f"{tmp_path}/a")
+    others = [job_key(NO_NOTICE, RUN, tables=(table,)), job_key(CFG, replace(RUN, run_id="s"), tables=(table,)), job_key(CFG, RUN, tables=(spark.read.parquet(f"{tmp_path}/a"),))]
+    assert len({key, *others}) == 4
+
+
+def test_a_published_run_leaves_no_steps_and_a_lost_one_goes_on(spark, tmp_path, monkeypatch):
+    w = World().person(1, "N1", "Ann").user(7).event(5, document("N1", "Ann")).event(6, document("N2", "Bob"))
+    t, out = w.tables(spark), str(tmp_path)
+    with monkeypatch.context() as lost:
+        lost.setattr(staging, "remove_folder", lambda *args: None)
+        lost.setattr(publishing, "_commit", lambda *args: (_ for _ in ()).throw(SystemExit("killed")))
+        with pytest.raises(SystemExit):
+            publish_run(t, NO_NOTICE, RUN, out)
+    assert newest(spark, out) is None
+    seen, made = [], staging.Workspace
+    monkeypatch.setattr(staging, "Workspace", lambda folder: seen.append(made(folder)) or seen[-1])
+    publish_run(t, NO_NOTICE, RUN, out)
+    assert seen[0].taken_up == seen[0].steps > 10
+    assert not exists(spark, seen[0].folder)
+    events = event_fields(latest(t, out).programstageinstance, CFG)
+    assert sorted((r["programstageinstanceid"], r["transfer_status"]) for r in events.collect()) == [(5, "AUTOMATICALLY"), (6, "No Match"), (101, "NOTTRANSFERRED"), (102, "NOTTRANSFERRED")]
+
+
+def test_a_cluster_has_to_name_a_shared_folder():
+    def session(master, folder):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        conf = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": "file:/w"}
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k) or d), sparkContext=context)
+
+    assert staging_root(session("spark://host:7077", "hdfs://x/shared/")) == "hdfs://x/shared"
+    assert staging_root(session("local[4]", None)) == "file:/w/staging"
+    for master in ("spark://host:7077", "yarn", "local-cluster[3,2,1024]"):
+        with pytest.raises(ValueError, match="shares"):
+            staging_root(session(master, None))
