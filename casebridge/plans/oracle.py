@@ -162,6 +162,7 @@ FINAL = {
     "match_by_id": "SELECT event_id, person_by_id FROM waiting JOIN id_values ON value = id_number",
     "match_by_name": "SELECT event_id, person_by_name FROM waiting JOIN name_values ON value = full_name",
     "match_both": "SELECT event_id, person_by_id, person_by_name FROM waiting_links",
+    "match_both_indexed": "SELECT event_id, person_by_id, person_by_name FROM waiting_links",
     "match_three_keys": "SELECT event_id, person_by_id, person_by_name, person_by_district "
     "FROM waiting_links JOIN district_values ON value = district",
     "match_enrolments": "SELECT event_id, destination AS enrolment_id, program_id FROM waiting_enrolments",
@@ -241,10 +242,10 @@ GROUP BY text, user_id""",
     "GROUP BY stage_id, transfer_status, status",
     "queue_laid_out": "SELECT event_id FROM waiting",
     "json_extract_laid_out": f"SELECT event_id, {FIELDS} FROM ev0",
-    "hot_key_join": """
-SELECT o_orderstatus AS k, count(*) AS pairs, cast(sum(o_orderkey - c_custkey) AS bigint) AS spans
-FROM orders JOIN customer ON o_orderstatus = ['F', 'O', 'P'][c_custkey % 3 + 1] AND c_custkey % 7 > 0
-GROUP BY o_orderstatus""",
+    "match_hot_names": """
+SELECT o_orderkey AS event_id, cast(1 AS bigint) AS n_0, n AS n_1
+FROM orders JOIN customer c ON o_custkey = c_custkey
+JOIN (SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY c_mktsegment) USING (c_mktsegment)""",
 }
 
 

@@ -15,13 +15,13 @@ from casebridge.functions.fields import merge, read_fields, set_value
 from casebridge.functions.ids import expand
 from casebridge.operators import lab, link, notify
 from casebridge.operators.changes import apply_event_changes
-from casebridge.operators.spread import profile, spread_join
 from casebridge.operators.staging import stage, staging_root
 from casebridge.plans.run import TransferRun, end_state, start_run
 from casebridge.sources import fixtures
 from casebridge.sources.layout import read_base, write_base
-from casebridge.sources.publish import compact, latest, newest, publish
+from casebridge.sources.publish import compact, latest, newest, publish_run
 from casebridge.sources.tables import Tables
+from casebridge.sources.value_index import build_index, new_values
 
 CFG = TransferConfig()
 THREE_KEYS = replace(CFG, match_keys=(*CFG.match_keys, DISTRICT_NUMBER))
@@ -121,6 +121,21 @@ def match_both(spark, sf_dir):
     return _pairs(spark, sf_dir, [0, 1])
 
 
+def match_both_indexed(spark, sf_dir):
+    """Both keys matched with a kept index of the values: written with a part of the persons, brought up to date, read."""
+    t, facts = _facts(spark, sf_dir)
+    late = F.col("trackedentityinstanceid") % 3 == 0
+    values = t.trackedentityattributevalue
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folder, name = f"{_folder(spark)}/values", f"casebridge_values_{uuid.uuid4().hex}"
+    index = build_index(t.but(trackedentityattributevalue=values.where(~late)), CFG, name, folder, buckets)
+    index.add(new_values(t, CFG, values.where(late)))
+    names = link.key_names(CFG)
+    waiting = stage(_waiting(facts).select("event_id", *names), "waiting", tuple(names))
+    found = link.match_pairs(waiting, index.lookup(), CFG, [0, 1])
+    return found.select("event_id", F.col("person_0").alias("person_by_id"), F.col("person_1").alias("person_by_name"))
+
+
 def match_three_keys(spark, sf_dir):
     return _pairs(spark, sf_dir, [0, 1, 2], THREE_KEYS, district=True)
 
@@ -383,7 +398,7 @@ def _every_event(events: DataFrame) -> DataFrame:
 def run_published(spark, sf_dir):
     """A run published to the shared folder, as readers then find it."""
     out, t = f"{_folder(spark)}/out", fixtures.load(spark, sf_dir)
-    publish(TransferRun(t, CFG, RUN).result, RUN, out)
+    publish_run(t, CFG, RUN, out)
     return end_state(latest(t, out), CFG)
 
 
@@ -411,7 +426,7 @@ def json_extract_laid_out(spark, sf_dir):
 def run_compacted(spark, sf_dir):
     """Every event as readers find it after a run was published and its changes folded into whole tables."""
     out, t = f"{_folder(spark)}/out", fixtures.load(spark, sf_dir)
-    publish(TransferRun(t, CFG, RUN).result, RUN, out)
+    publish_run(t, CFG, RUN, out)
     compact(t, out)
     return _every_event(latest(t, out).programstageinstance)
 
@@ -419,32 +434,27 @@ def run_compacted(spark, sf_dir):
 def run_twice(spark, sf_dir):
     """The end state after a second run over a published one: base, changes, and changes over these."""
     out, t = f"{_folder(spark)}/out", fixtures.load(spark, sf_dir)
-    publish(TransferRun(t, CFG, RUN).result, RUN, out)
+    publish_run(t, CFG, RUN, out)
     base = newest(spark, out)
     now = latest(t, out, base)
     again = start_run(now, "again", datetime(2026, 1, 2), after=base)
-    publish(TransferRun(now, CFG, again).result, again, out)
+    publish_run(now, CFG, again, out)
     return end_state(latest(t, out), CFG)
 
 
-def hot_key_join(spark, sf_dir):
-    """Orders x customers of their status, three values that are hot on both sides, cut into a grid."""
+def match_hot_names(spark, sf_dir):
+    """How many persons hold an event's number and its name, where five names are all there are, hot on both sides.
+
+    Holders are counted per name before the join, and hot names are cut: an event stays one row.
+    """
     read = spark.read.parquet
-    orders = read(f"{sf_dir}/orders.parquet").select(F.col("o_orderstatus").alias("k"), "o_orderkey")
-    third = F.element_at(F.array(F.lit("F"), F.lit("O"), F.lit("P")), (F.col("c_custkey") % 3 + 1).cast("int"))
-    customers = read(f"{sf_dir}/customer.parquet").where(F.col("c_custkey") % 7 > 0).select(third.alias("k"), "c_custkey")
-    met = spread_join(
-        orders,
-        customers,
-        "k",
-        hot_rows=1,
-        left_profile=profile(orders, "k"),
-        right_profile=profile(customers, "k"),
-        left_split=("o_orderkey",),
-        right_split=("c_custkey",),
-    )
-    spans = (F.col("o_orderkey") - F.col("c_custkey")).cast("bigint")
-    return met.groupBy("k").agg(F.count(F.lit(1)).alias("pairs"), F.sum(spans).cast("bigint").alias("spans"))
+    customers = read(f"{sf_dir}/customer.parquet").select("c_custkey", F.col("c_mktsegment").alias("name"))
+    orders = read(f"{sf_dir}/orders.parquet").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
+    number = F.concat(F.lit("TB-"), F.col("c_custkey").cast("string"))
+    events = orders.join(customers, "c_custkey").select(F.col("o_orderkey").alias("event_id"), number.alias("key_0"), F.col("name").alias("key_1"))
+    held = [customers.select(F.col("c_custkey").alias("person_id"), F.lit(k.attribute_uid).alias("attribute_uid"), v.alias("value")) for k, v in zip(CFG.match_keys, (number, F.col("name")), strict=True)]
+    counted = link.match_counts(stage(events, "hot_names", ("key_0", "key_1")), held[0].unionByName(held[1]), replace(CFG, hot_key_rows=1))
+    return counted.select("event_id", "n_0", "n_1")
 
 
 QUERIES: dict[str, Query] = {
@@ -457,6 +467,7 @@ QUERIES: dict[str, Query] = {
     "match_by_id": match_by_id,
     "match_by_name": match_by_name,
     "match_both": match_both,
+    "match_both_indexed": match_both_indexed,
     "match_three_keys": match_three_keys,
     "match_enrolments": match_enrolments,
     "transfer_rows": transfer_rows,
@@ -501,5 +512,5 @@ QUERIES: dict[str, Query] = {
     "run_twice": run_twice,
     "queue_laid_out": queue_laid_out,
     "json_extract_laid_out": json_extract_laid_out,
-    "hot_key_join": hot_key_join,
+    "match_hot_names": match_hot_names,
 }

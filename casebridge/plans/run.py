@@ -27,6 +27,7 @@ from casebridge.sources.tables import Tables
 
 if TYPE_CHECKING:
     from casebridge.sources.publish import Published
+    from casebridge.sources.value_index import ValueIndex
 
 
 @dataclass(frozen=True)
@@ -72,16 +73,16 @@ def start_run(
 
 
 class TransferRun:
-    """``run`` is needed from the copies on."""
+    """``run`` is needed from the copies on; ``index``, if given, holds the attribute values of the tables."""
 
-    def __init__(self, t: Tables, cfg: TransferConfig, run: Run | None = None):
-        self.t, self.cfg, self.run = t, cfg, run
+    def __init__(self, t: Tables, cfg: TransferConfig, run: Run | None = None, index: ValueIndex | None = None):
+        self.t, self.cfg, self.run, self.index = t, cfg, run, index
 
     # ---- linkage, shared by all steps ----
 
     @cached_property
     def lookup(self) -> Staged:
-        return link.stage_lookup(self.t, self.cfg)
+        return self.index.lookup() if self.index else link.stage_lookup(self.t, self.cfg)
 
     @cached_property
     def queue(self) -> Staged:
@@ -284,8 +285,8 @@ def with_owner_changes(owners: DataFrame, changes: DataFrame) -> DataFrame:
     return apply_changes(owners, renamed, ["trackedentityinstanceid", "programid"], {"organisationunitid": "new_facility_id"})
 
 
-def run_all(t: Tables, cfg: TransferConfig, run: Run) -> RunResult:
-    return TransferRun(t, cfg, run).result
+def run_all(t: Tables, cfg: TransferConfig, run: Run, index: ValueIndex | None = None) -> RunResult:
+    return TransferRun(t, cfg, run, index).result
 
 
 def end_state(t: Tables, cfg: TransferConfig) -> DataFrame:
