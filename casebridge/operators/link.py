@@ -155,14 +155,14 @@ def all_matched(cfg: TransferConfig) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"n_{i}") > 0 for i in range(len(cfg.match_keys))])
 
 
-def stage_queue(t: Tables, cfg: TransferConfig) -> Staged:
+def stage_queue(t: Tables, cfg: TransferConfig, events: DataFrame | None = None) -> Staged:
     """Events some step may link, read and parsed once.
 
     Those that may be copied, flagged or bring a late result keep the whole event, in a column of its own that
     only the steps read that write events. All a step looks for waits or was transferred, so of a laid-out table
-    only the partitions of these two queues are read.
+    only the partitions of these two queues are read. ``events``: rows of the table, where only those come into question.
     """
-    facts = event_facts(in_queues(t.programstageinstance), t, cfg).where(needs_match(cfg))
+    facts = event_facts(in_queues(t.programstageinstance if events is None else events), t, cfg).where(needs_match(cfg))
     kept = facts.withColumn("event", F.when(is_waiting(cfg) | is_late_lab(cfg), F.col("event")))
     return stage(kept, "queue", (*key_names(cfg), "target_uid"))
 

@@ -240,6 +240,8 @@ GROUP BY text, user_id""",
     "run_compacted": f"SELECT event_id, enrolment_id, stage_id, facility_id, status, {FIELDS}, lab_only FROM ev4",
     "run_twice": "SELECT stage_id, transfer_status, status, count(*) AS events FROM ev4 "
     "GROUP BY stage_id, transfer_status, status",
+    "run_incremental": "SELECT stage_id, transfer_status, status, count(*) AS events FROM again_ev4 "
+    "GROUP BY stage_id, transfer_status, status",
     "queue_laid_out": "SELECT event_id FROM waiting",
     "json_extract_laid_out": f"SELECT event_id, {FIELDS} FROM ev0",
     "match_hot_names": """
@@ -262,7 +264,33 @@ def _complete(final: str, ctes: dict[str, str]) -> str:
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + final
 
 
+LATE_VALUE, LATE_EVENT = "trackedentityinstanceid % 4 = 1", "(event_id % 5 = 2 AND stage_id = 101)"
+
+
+def _two_runs() -> dict[str, str]:
+    """The steps over the early rows, and as ``again_..`` once more over the table they leave and the late rows."""
+    first = {
+        **STEPS,
+        "attr": f"{STEPS['attr']} WHERE NOT {LATE_VALUE}",
+        "every": STEPS["ev0"],
+        "ev0": f"SELECT * FROM every WHERE NOT {LATE_EVENT}",
+        "new_owners": FINAL["owners_after"],
+    }
+    order = [n for n in first if n not in ("every", "ev0", "new_owners")]
+    place = order.index("attr") + 1
+    order = [*order[:place], "every", "ev0", *order[place:], "new_owners"]
+    again = {**STEPS, "ev0": f"SELECT {_state('ev4')} UNION ALL SELECT {_state('every')} WHERE {LATE_EVENT}"}
+    named = re.compile(r"\b(" + "|".join(STEPS) + r")\b")
+
+    def second(name: str, sql: str) -> str:
+        if name != "ev0":
+            sql = named.sub(r"again_\1", sql.replace("trackedentityprogramowner", "new_owners"))
+        return sql.replace("2000000000", "2100000000")
+
+    return {n: first[n] for n in order} | {f"again_{n}": second(n, q) for n, q in again.items()}
+
+
 def oracle_sql() -> dict[str, str]:
     plain = {**oracle_ctes(), **STEPS}
-    district = {**oracle_ctes(district=True), **STEPS}
-    return {k: _complete(q, district if k == "match_three_keys" else plain) for k, q in FINAL.items()}
+    steps = {"match_three_keys": {**oracle_ctes(district=True), **STEPS}, "run_incremental": {**oracle_ctes(), **_two_runs()}}
+    return {k: _complete(q, steps.get(k, plain)) for k, q in FINAL.items()}

@@ -16,9 +16,10 @@ from casebridge.functions.ids import expand
 from casebridge.operators import lab, link, notify
 from casebridge.operators.changes import apply_event_changes
 from casebridge.operators.staging import stage, staging_root
+from casebridge.plans.incremental import Arrivals, incremental_run
 from casebridge.plans.run import TransferRun, end_state, start_run
 from casebridge.sources import fixtures
-from casebridge.sources.layout import read_base, write_base
+from casebridge.sources.layout import lay_out, read_base, write_base
 from casebridge.sources.publish import compact, latest, newest, publish_run
 from casebridge.sources.tables import Tables
 from casebridge.sources.value_index import build_index, new_values
@@ -442,6 +443,26 @@ def run_twice(spark, sf_dir):
     return end_state(latest(t, out), CFG)
 
 
+def run_incremental(spark, sf_dir):
+    """The end state after a run over a part of the events and values, and one over what has come since.
+
+    Values of every fourth person and every fifth source event come between the two; the second run looks at events
+    with a touched value only.
+    """
+    out, t = f"{_folder(spark)}/out", fixtures.load(spark, sf_dir)
+    late_value, late_event = F.col("trackedentityinstanceid") % 4 == 1, (F.col("programstageinstanceid") % 5 == 2) & (F.col("programstageid") == 101)
+    new = Arrivals(t.programstageinstance.where(late_event), t.trackedentityattributevalue.where(late_value))
+    early = t.but(programstageinstance=t.programstageinstance.where(~late_event), trackedentityattributevalue=t.trackedentityattributevalue.where(~late_value))
+    publish_run(early, CFG, RUN, out)
+    compact(early, out)
+    base = newest(spark, out)
+    now = latest(early, out, base)
+    arrived = lay_out(new.programstageinstance, CFG)
+    now = now.but(programstageinstance=now.programstageinstance.unionByName(arrived, allowMissingColumns=True), trackedentityattributevalue=t.trackedentityattributevalue)
+    again = start_run(now, "again", datetime(2026, 1, 2), after=base)
+    return end_state(incremental_run(now, CFG, again, new).result.tables, CFG)
+
+
 def match_hot_names(spark, sf_dir):
     """How many persons hold an event's number and its name, where five names are all there are, hot on both sides.
 
@@ -510,6 +531,7 @@ QUERIES: dict[str, Query] = {
     "run_published": run_published,
     "run_compacted": run_compacted,
     "run_twice": run_twice,
+    "run_incremental": run_incremental,
     "queue_laid_out": queue_laid_out,
     "json_extract_laid_out": json_extract_laid_out,
     "match_hot_names": match_hot_names,

@@ -77,6 +77,8 @@ class TransferRun:
 
     def __init__(self, t: Tables, cfg: TransferConfig, run: Run | None = None, index: ValueIndex | None = None):
         self.t, self.cfg, self.run, self.index = t, cfg, run, index
+        #: The events the queue is made from, where not all have to be looked at.
+        self.pending: DataFrame | None = None
 
     # ---- linkage, shared by all steps ----
 
@@ -86,7 +88,7 @@ class TransferRun:
 
     @cached_property
     def queue(self) -> Staged:
-        return link.stage_queue(self.t, self.cfg)
+        return link.stage_queue(self.t, self.cfg, self.pending)
 
     @cached_property
     def matched(self) -> Staged:
