@@ -7,6 +7,7 @@ does not name come back as they were written, numbers with all their digits incl
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,16 +89,14 @@ def read_fields(df: DataFrame, document: str, fields: Mapping[str, str]) -> Data
     The document is parsed once per row. ``explode`` of the one-element array keeps Catalyst from
     pushing filters on the new columns below the parse, where each would parse the text again.
     """
-    schema = T.StructType(
-        [
-            T.StructField(f, T.StructType([T.StructField("value", T.StringType())]))
-            for f in dict.fromkeys(fields.values())
-        ]
-    )
+    names = dict.fromkeys(fields.values())
+    schema = T.StructType([T.StructField(f, T.StructType([T.StructField("value", T.StringType())])) for f in names])
     parsed = df.select("*", F.explode(F.array(F.from_json(document, schema))).alias("_doc"))
-    text = F.col(document)
-    values = [_as_written(text, f, F.col(f"_doc.`{f}`.value")).alias(a) for a, f in fields.items()]
-    return parsed.select("*", *values).drop("_doc")
+    numeric = reduce(lambda a, b: a | b, [F.col(f"_doc.`{f}`.value").rlike(_DECIMAL) for f in names])
+    # Cut up only where some value looks like a number.
+    written = F.when(numeric, _value_texts(F.col(document)))
+    found = parsed.select("*", F.explode(F.array(written)).alias("_texts"))
+    return found.select("*", *[_as_written(f).alias(a) for a, f in fields.items()]).drop("_doc", "_texts")
 
 
 def _last(found: Column, key: str) -> Column:
@@ -105,11 +104,16 @@ def _last(found: Column, key: str) -> Column:
     return F.get(F.transform(F.filter(F.reverse(found), lambda m: m["key"] == key), lambda m: m["value"]), F.lit(0))
 
 
-def _as_written(document: Column, field: str, value: Column) -> Column:
-    """``value``, or the number's own token where the document holds it as a number."""
-    token = F.trim(_last(members(_last(members(document), field)), "value"))
-    # Nested, not joined by "and": the text is cut up only for values that look like numbers.
-    return F.when(value.rlike(_DECIMAL), F.when(token.startswith('"'), value).otherwise(token)).otherwise(value)
+def _value_texts(document: Column) -> Column:
+    """``key`` and the text of the inner ``value`` of every member of the document."""
+    return F.transform(members(document), lambda m: F.struct(m["key"].alias("key"), F.trim(_last(members(m["value"]), "value")).alias("value")))
+
+
+def _as_written(field: str) -> Column:
+    """The parsed value, or the number's own text where the document holds it as a number."""
+    value, text = F.col(f"_doc.`{field}`.value"), _last(F.col("_texts"), field)
+    # Nested, not joined by "and": the text is only looked at for values that look like numbers.
+    return F.when(value.rlike(_DECIMAL), F.when(text.startswith('"'), value).otherwise(text)).otherwise(value)
 
 
 def set_value(document: Column, field: str, value: Column) -> Column:

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from dataclasses import dataclass, field
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -43,14 +44,18 @@ _workspace: ContextVar[Workspace | None] = ContextVar("workspace", default=None)
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; in a local session without one, a folder in its warehouse.
+    """The folder in ``spark.checkpoint.dir``; where that is unset, one in the warehouse.
 
-    A cluster has to name a folder that all its machines share.
+    A warehouse in a machine's own folder, Spark's default, will do for a local session only: a cluster has to name a folder
+    that all its machines share.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root and not spark.sparkContext.master.startswith("local["):
+    if root:
+        return root.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if urlparse(warehouse).scheme in ("", "file") and not spark.sparkContext.master.startswith("local["):
         raise ValueError("spark.checkpoint.dir is not set: staged tables need a folder that the whole cluster shares")
-    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/staging").rstrip("/")
+    return f"{warehouse}/staging"
 
 
 @contextmanager

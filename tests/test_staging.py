@@ -96,6 +96,9 @@ def test_a_cluster_has_to_name_a_shared_folder():
 
     assert staging_root(session("spark://host:7077", "hdfs://x/shared/")) == "hdfs://x/shared"
     assert staging_root(session("local[4]", None)) == "file:/w/staging"
+    remote = session("yarn", None)
+    remote.conf.get = lambda k, d=None: "hdfs://x/warehouse" if k.endswith("warehouse.dir") else d
+    assert staging_root(remote) == "hdfs://x/warehouse/staging"
     for master in ("spark://host:7077", "yarn", "local-cluster[3,2,1024]"):
         with pytest.raises(ValueError, match="shares"):
             staging_root(session(master, None))
