@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from casebridge.operators.staging import staging_root
+
 SPANS = T.ArrayType(
     T.StructType(
         [T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("base", T.BooleanType())]
@@ -30,11 +32,8 @@ def unused(df: DataFrame, name: str) -> str:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; where it is unset, a folder in the warehouse of a local session. A cluster has to name one."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root and not spark.sparkContext.master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir is not set: intermediate tables need a folder that the whole cluster shares")
-    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/staging").rstrip("/")
+    """``spark.checkpoint.dir``, or where it is unset a folder in the warehouse. A cluster has to name one its machines share."""
+    return staging_root(spark)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
