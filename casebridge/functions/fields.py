@@ -1,7 +1,7 @@
 """JSON document columns: read ``{"<field>": {"value": ...}}`` values, set one, merge two documents.
 
-Edits work on the text. A document is cut into tokens, and a fold over their depth finds its members; members that an edit
-does not name come back as they were written, numbers with all their digits included.
+Edits work on the text. A pattern finds the members of a document, and a fold over its tokens those of one nested deeper than
+the pattern reaches; members that an edit does not name come back as they were written, numbers with all their digits included.
 """
 
 from __future__ import annotations
@@ -17,6 +17,25 @@ from pyspark.sql import types as T
 _DECIMAL = r"^-?[0-9]+(\.[0-9]+([eE]-?[0-9]+)?|[0-9]{17,})$"
 # Strings, structure, and all else; possessive, so that long strings need no stack.
 _TOKEN = r'(?s)"(?:[^"\\]++|\\.)*+"|[{}\[\],:]|[^"{}\[\],:]++'
+#: Levels below a member's value that one pattern covers; as deep as documents of events go, with room.
+LEVELS = 4
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
+_BLANK = r"[ \t\r\n]*+"
+
+
+def _nested(levels: int) -> str:
+    """Text between brackets, which holds brackets that many levels deep."""
+    inner = rf"|[{{\[]{_nested(levels - 1)}[}}\]]" if levels else ""
+    return rf'(?:[^"{{}}\[\]]++|{_STRING}{inner})*+'
+
+
+# Possessive throughout, so that neither long nor wide documents need a stack.
+_VALUE = rf'(?:[^"{{}}\[\],]++|{_STRING}|[{{\[]{_nested(LEVELS)}[}}\]])++'
+_PAIR = rf"{_BLANK}{_STRING}{_BLANK}:{_VALUE}"
+_FLAT = rf"(?s)\A\s*+\{{(?:{_PAIR}(?:,{_PAIR})*+|{_BLANK})\}}\s*+\z"
+# A member starts where the object or the member before it ends.
+_MEMBER = rf"(?s)(?:\A\s*+\{{|\G,)({_BLANK}{_STRING}{_BLANK}):({_VALUE})"
+_PLAIN_NAME = r'\A[ \t\r\n]*+"([^"\\\x00-\x1F]++)"[ \t\r\n]*+\z'
 _FOUND = "array<struct<start:int,colon:int,end:int>>"
 _STATE = f"struct<at:int,depth:int,start:int,colon:int,found:{_FOUND}>"
 
@@ -30,8 +49,26 @@ def members(document: Column) -> Column:
     """Members of the text of an object, in order: ``key``, the text around the colon (``name``, ``value``).
 
     Blanks between tokens belong to the text before or after the colon. Text that is no object has no members; the
-    text must be valid JSON.
+    text must be valid JSON. Members nested up to ``LEVELS`` deep are matched whole, deeper ones by a fold over tokens.
     """
+
+    def matched(text: Column) -> Column:
+        def part(group: int) -> Column:
+            return F.regexp_extract_all(text, F.lit(_MEMBER), F.lit(group))
+
+        return F.transform(F.arrays_zip(part(1).alias("name"), part(2).alias("value")), keyed)
+
+    def keyed(m: Column) -> Column:
+        # Empty where the name has escapes, which take a parser.
+        plain = F.nullif(F.regexp_extract(m["name"], _PLAIN_NAME, 1), F.lit(""))
+        key = F.coalesce(plain, F.get_json_object(F.concat(F.lit("["), m["name"], F.lit("]")), "$[0]"))
+        return F.struct(key.alias("key"), m["name"].alias("name"), m["value"].alias("value"))
+
+    return F.when(document.rlike(_FLAT), matched(document)).otherwise(F.transform(_folded(document), keyed))
+
+
+def _folded(document: Column) -> Column:
+    """``name`` and ``value`` of the members of any object, however deep."""
     tokens = F.regexp_extract_all(document, F.lit(f"({_TOKEN})"), F.lit(1))
 
     def state(at: Column, depth: Column, start: Column, colon: Column, found: Column) -> Column:
@@ -60,10 +97,7 @@ def members(document: Column) -> Column:
         found = F.aggregate(tokens, zero, step, lambda s: s["found"])
         return F.transform(found, lambda m: F.struct(part(m["start"], m["colon"]).alias("name"), part(m["colon"] + 1, m["end"]).alias("value")))
 
-    return F.transform(
-        _held(tokens, texts),
-        lambda m: F.struct(F.get_json_object(F.concat(F.lit("["), m["name"], F.lit("]")), "$[0]").alias("key"), m["name"].alias("name"), m["value"].alias("value")),
-    )
+    return _held(tokens, texts)
 
 
 def _is_object(text: Column) -> Column:
@@ -94,7 +128,7 @@ def read_fields(df: DataFrame, document: str, fields: Mapping[str, str]) -> Data
     parsed = df.select("*", F.explode(F.array(F.from_json(document, schema))).alias("_doc"))
     numeric = reduce(lambda a, b: a | b, [F.col(f"_doc.`{f}`.value").rlike(_DECIMAL) for f in names])
     # Cut up only where some value looks like a number.
-    written = F.when(numeric, _value_texts(F.col(document)))
+    written = F.when(numeric, _value_texts(F.col(document), list(names)))
     found = parsed.select("*", F.explode(F.array(written)).alias("_texts"))
     return found.select("*", *[_as_written(f).alias(a) for a, f in fields.items()]).drop("_doc", "_texts")
 
@@ -104,9 +138,10 @@ def _last(found: Column, key: str) -> Column:
     return F.get(F.transform(F.filter(F.reverse(found), lambda m: m["key"] == key), lambda m: m["value"]), F.lit(0))
 
 
-def _value_texts(document: Column) -> Column:
-    """``key`` and the text of the inner ``value`` of every member of the document."""
-    return F.transform(members(document), lambda m: F.struct(m["key"].alias("key"), F.trim(_last(members(m["value"]), "value")).alias("value")))
+def _value_texts(document: Column, names: list[str]) -> Column:
+    """``key`` and the text of the inner ``value`` of the document's members with these names."""
+    named = F.filter(members(document), lambda m: m["key"].isin(names))
+    return F.transform(named, lambda m: F.struct(m["key"].alias("key"), F.trim(_last(members(m["value"]), "value")).alias("value")))
 
 
 def _as_written(field: str) -> Column:

@@ -3,7 +3,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from casebridge.functions.fields import merge, message_text, read_fields, set_value
+from casebridge.functions import fields
+from casebridge.functions.fields import members, merge, message_text, read_fields, set_value
 
 READ = [
     ('{"a":{"value":"x","more":1},"b":{"value":"y"}}', "x", "y"),
@@ -156,3 +157,43 @@ def test_long_documents_need_no_stack(spark):
     text = '{"t":"' + '\\"' * 50_000 + '","s":{"value":1},"l":' + "[" * 500 + "]" * 500 + "}"
     got = docs(spark, [text]).select(set_value(F.col("d"), "s", F.lit("x"))).first()[0]
     assert got == text.replace('{"value":1}', '{"value":"x"}')
+
+
+# ---- members by pattern and by fold ----
+
+ODD = [
+    "{}", " { } ", '{"a":1}', ' { "a" : 1 , "b":[1,{"c":"},{"}] } ', '{"a":{"value":"x,\\"y:{"},"a":null}', '{"":{"":0.10}}', '{"q\\"u\\u0041":"\\\\"}',
+    '{"k":"é{[,:]}\\n","t":\t-1.50e3\n,"u":true}', "[]", '[{"a":1}]', "5", "", "{", '{"a":{"value":1.50}', "{'a':{'value':1.50}}", '{"a":{"value":1.50}} x', None,
+    '{"w":{"value":"' + "x" * 30000 + '"}}', "{" + ",".join(f'"k{i}":{{"value":{i}.0}}' for i in range(3000)) + "}",
+    *['{"d":' + '{"e":[' * n + '1.50,"]"' + "]}" * n + ',"z":{"value":2.00}}' for n in range(6)],
+]
+
+
+def test_members_found_by_pattern_are_those_of_the_fold(spark, monkeypatch):
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(ODD)], "i int, d string")
+
+    def found():
+        edited = {"s": set_value(F.col("d"), "z", F.lit("n")), "m": merge(F.col("d"), F.lit('{"z":{"value":3.0}}'))}
+        rows = read_fields(df.select("i", "d", members(F.col("d")).alias("members")), "d", {"z": "z", "a": "a", "w": "w"}).withColumns(edited)
+        return {r["i"]: r for r in rows.collect()}
+
+    by_pattern = found()
+    monkeypatch.setattr(fields, "_FLAT", "(?!)")
+    assert by_pattern == found()
+    assert [len(by_pattern[i]["members"]) for i in (0, 3, 4, 18)] == [0, 2, 2, 3000] and by_pattern[len(ODD) - 1]["z"] == "2.00"
+
+
+def test_only_documents_deeper_than_the_pattern_are_folded(spark, monkeypatch):
+    """The fold takes some hundred times as long per document."""
+    original = fields._folded
+
+    def refuse(document):
+        return F.when(F.raise_error(F.concat(F.lit("folded: "), document)).isNull(), original(document))
+
+    monkeypatch.setattr(fields, "_folded", refuse)
+    flat = spark.createDataFrame([(d,) for d in ODD[2:5] + ODD[17:21]], "d string")
+    flat.select(set_value(F.col("d"), "a", F.lit("n")), merge(F.col("d"), F.lit('{"a":{"value":1.50}}'))).collect()
+    read_fields(flat, "d", {"a": "a"}).collect()
+    deep = spark.createDataFrame([(ODD[-1],)], "d string").select(members(F.col("d")))
+    with pytest.raises(Exception, match="folded"):
+        deep.collect()
