@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -34,8 +35,11 @@ def program_id(t: Tables, cfg: TransferConfig) -> Column:
     return t.program.where(F.col("uid") == cfg.program_uid).select("programid").scalar()
 
 
-def event_fields(events: DataFrame, cfg: TransferConfig) -> DataFrame:
-    """Add the text values the jobs look at, from their own columns where the table is laid out so."""
+def event_fields(events: DataFrame, cfg: TransferConfig, more: Mapping[str, str] | None = None) -> DataFrame:
+    """Add the text values the jobs look at, from their own columns where the table is laid out so.
+
+    ``more``: further columns and their fields, which no table has a column for. Documents are parsed once for all of them.
+    """
     fields = {
         **{f"key_{i}": k.event_field for i, k in enumerate(cfg.match_keys)},
         "request": cfg.request_field,
@@ -43,9 +47,11 @@ def event_fields(events: DataFrame, cfg: TransferConfig) -> DataFrame:
         "lab": cfg.lab_field,
         "target_uid": cfg.target_facility_field,
     }
+    more = dict(more or {})
     if has_values(events, list(fields.values())):
-        return events.select("*", *[F.col(VALUE + f).alias(a) for a, f in fields.items()])
-    return read_fields(events, "eventdatavalues", fields)
+        known = events.select("*", *[F.col(VALUE + f).alias(a) for a, f in fields.items()])
+        return read_fields(known, "eventdatavalues", more) if more else known
+    return read_fields(events, "eventdatavalues", {**fields, **more})
 
 
 def event_facts(events: DataFrame, t: Tables, cfg: TransferConfig) -> DataFrame:

@@ -43,11 +43,11 @@ def _named(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({"key_0": "id_number", "key_1": "full_name"})
 
 
-def _fields(events: DataFrame, document: Column | None = None) -> DataFrame:
-    """Event id and extracted fields, of the stored documents or of edited ones."""
+def _fields(events: DataFrame, document: Column | None = None, **more: str) -> DataFrame:
+    """Event id and extracted fields, of the stored documents or of edited ones; ``more`` names further fields."""
     if document is not None:
         events = events.withColumn("eventdatavalues", document)
-    return _named(link.event_fields(events, CFG))
+    return _named(link.event_fields(events, CFG, more))
 
 
 def _event_id() -> Column:
@@ -220,17 +220,13 @@ def complete_lab_events(spark, sf_dir):
 
 def merge_lab(spark, sf_dir):
     merged = _run(spark, sf_dir).merged.withColumnRenamed("new_document", "eventdatavalues").drop("status")
-    return read_fields(_fields(merged), "eventdatavalues", {"lab_only": LAB_ONLY}).select(
-        "event_id", *FIELDS, "lab_only"
-    )
+    return _fields(merged, lab_only=LAB_ONLY).select("event_id", *FIELDS, "lab_only")
 
 
 def json_set(spark, sf_dir):
     events = fixtures.load(spark, sf_dir).programstageinstance
     edited = set_value(F.col("eventdatavalues"), CFG.status_field, F.lit(CHECK_NAME))
-    return read_fields(_fields(events, edited), "eventdatavalues", {"lab_only": LAB_ONLY}).select(
-        _event_id(), *FIELDS, "lab_only"
-    )
+    return _fields(events, edited, lab_only=LAB_ONLY).select(_event_id(), *FIELDS, "lab_only")
 
 
 def json_merge(spark, sf_dir):
@@ -246,7 +242,7 @@ def json_merge(spark, sf_dir):
     )
     edited = merge(F.col("eventdatavalues"), added)
     more = {"lab_only": LAB_ONLY, "extra": "extraField1"}
-    return read_fields(_fields(events, edited), "eventdatavalues", more).select(_event_id(), *FIELDS, *more)
+    return _fields(events, edited, **more).select(_event_id(), *FIELDS, *more)
 
 
 def _with_numbers(events: DataFrame) -> DataFrame:
@@ -384,7 +380,7 @@ def run_events(spark, sf_dir):
 
 
 def _every_event(events: DataFrame) -> DataFrame:
-    return read_fields(_fields(events), "eventdatavalues", {"lab_only": LAB_ONLY}).select(
+    return _fields(events, lab_only=LAB_ONLY).select(
         _event_id(),
         F.col("programinstanceid").alias("enrolment_id"),
         F.col("programstageid").alias("stage_id"),
