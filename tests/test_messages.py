@@ -58,6 +58,28 @@ def test_no_table_as_long_as_the_messages_is_written(spark, tmp_path, monkeypatc
     assert max(longest.values()) < 100 and {REQUESTS, RECIPIENTS} <= set(longest)
 
 
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_message_rows_are_dealt_to_tasks_by_their_number(spark, tmp_path, monkeypatch, broadcast):
+    """What messages are made from is small: by its bytes one task would make them all."""
+    monkeypatch.setattr(notify, "MESSAGES_LEAST", 500, raising=False)
+    monkeypatch.setattr(notify, "MESSAGES_MOST", 1000, raising=False)
+    cfg = replace(QUIET, hot_key_rows=5, copy_chunk=1)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        r = TransferRun(busy(60, 200).tables(spark), cfg, RUN)
+        publish(r.result, RUN, str(tmp_path))
+        for told in (r.messages, published_messages(spark, str(tmp_path), cfg)):
+            rows = told.message.select("messageid", "userid", F.spark_partition_id().alias("task")).collect()
+            assert sorted(x["messageid"] for x in rows) == list(range(1, 12_001))
+            made = Counter(x["task"] for x in rows)
+            assert len(made) > 8 and max(made.values()) < 4_000
+        counted = message_counts(r.sent).withColumn("task", F.spark_partition_id()).collect()
+        assert {x["messages"] for x in counted} == {60} and len(counted) == 200
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_published_messages_are_those_of_the_run(spark, tmp_path):
     """Several facilities, a member twice, and a second run's messages with its own id, clock and numbers."""
     out = str(tmp_path)

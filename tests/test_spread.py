@@ -136,3 +136,15 @@ def test_a_hot_key_is_cut(spark):
     dealt = _dealt(left, "k", "_l", "_r", [(v, n, 1) for v, (_, n) in cut.items()], ["l"], False)
     largest = dealt.groupBy("k", "_l").count().agg(F.max("count")).first()[0]
     assert largest < 110
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_a_join_in_a_given_number_of_tasks_is_the_plain_join(spark, how):
+    """Hot on both sides, without some keys, and with a constant among the keys."""
+    left, right = (df.withColumn("c", F.lit("")) for df in pair(spark))
+    want = left.join(right, ["k", "c"], how)
+    got = spread_join(
+        left, right, "k", how, hot_rows=10, also=("c",), left_profile=profile(left, "k"), right_profile=profile(right, "k"),
+        left_split=("l",), right_split=("r",), tasks=20,
+    )
+    assert counted(got) == counted(want) and got.columns == want.columns
