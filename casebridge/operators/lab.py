@@ -60,12 +60,12 @@ def lab_sources(lab: DataFrame, cfg: TransferConfig) -> DataFrame:
 
 
 def stage_sources(queue: Staged, lab: DataFrame, cfg: TransferConfig) -> Staged:
-    """(target_key, source): the document that is merged into every lab event of a target."""
-    documents = queue.df.where(brings_result(cfg)).select("event_id", F.col("event.eventdatavalues").alias("source"))
+    """(target_key, source, request): the document that is merged into every lab event of a target, and its request."""
+    documents = queue.df.where(brings_result(cfg)).select("event_id", F.col("event.eventdatavalues").alias("source"), "request")
     marked = set_value(F.col("source"), cfg.status_field, F.lit(TRANSFERRED))
     source = F.when(F.col("just_marked"), marked).otherwise(F.col("source")).alias("source")
     # An event goes to one enrolment and an enrolment has one source: no key repeats here.
-    return stage(lab_sources(lab, cfg).join(documents, "event_id").select("target_key", source), "lab_sources")
+    return stage(lab_sources(lab, cfg).join(documents, "event_id").select("target_key", source, "request"), "lab_sources")
 
 
 def lab_targets(t: Tables, cfg: TransferConfig) -> DataFrame:

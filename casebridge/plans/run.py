@@ -13,10 +13,10 @@ from datetime import datetime
 from functools import cached_property
 from typing import TYPE_CHECKING
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casebridge.config import Run, TransferConfig
+from casebridge.config import PERMANENT, Run, TransferConfig
 from casebridge.operators import copies, lab, link, notify, ownership, status, triage
 from casebridge.operators.changelog import over_base
 from casebridge.operators.changes import apply_changes, apply_event_changes
@@ -151,29 +151,60 @@ class TransferRun:
     def merged(self) -> DataFrame:
         return self.merged_rows.unionByName(self.merged_copies)
 
-    def _rematched(self, edited: DataFrame) -> DataFrame:
-        """Edited events that some step may still link, with match counts for their new documents."""
+    def _rematched(self, edited: DataFrame, wanted: Column | None = None) -> DataFrame:
+        """Edited events that some step may still link (those ``wanted``), with match counts for their new documents."""
         facts = (
             link.event_fields(edited, self.cfg)
             .withColumn("at_source", F.lit(False))
             .drop("eventdatavalues")
-            .where(link.needs_match(self.cfg))
+            .where(link.needs_match(self.cfg) if wanted is None else wanted)
         )
         return link.match_counts(stage(facts, "edited", link.key_names(self.cfg)), self.lookup.df, self.cfg)
 
+    def _unmerged(self, merged: DataFrame) -> DataFrame:
+        """Linkable events of the table without a merge, with marks and completions applied."""
+        kept = self.matched.df.join(merged.select("event_id"), "event_id", "left_anti")
+        names = {"status": "new_status", "transfer_status": "new_transfer_status"}
+        return apply_changes(kept, self.status_changes, "event_id", names)
+
     @cached_property
     def rows_after_lab(self) -> DataFrame:
         """Linkable events of the table with marks, completions and merges applied."""
-        kept = self.matched.df.join(self.merged_rows.select("event_id"), "event_id", "left_anti")
-        names = {"status": "new_status", "transfer_status": "new_transfer_status"}
-        kept = apply_changes(kept, self.status_changes, "event_id", names)
         changed = self._rematched(self.merged_rows.withColumnRenamed("new_document", "eventdatavalues"))
-        return stage(kept.unionByName(changed), "rows_after_lab").df
+        return stage(self._unmerged(self.merged_rows).unionByName(changed), "rows_after_lab").df
+
+    @cached_property
+    def asking_sources(self) -> Staged:
+        """Sources whose merges may ask for a new owner: a merged document has the request of its source."""
+        sources, fields = self.lab_sources, self.cfg.merge_fields
+        if fields is not None and self.cfg.request_field not in fields:
+            return sources
+        return Staged(sources.df.where(F.col("request") == PERMANENT), sources.rows)
+
+    @cached_property
+    def asking_copies(self) -> DataFrame:
+        """Merges into this run's copies that may ask for a new owner. Only the copies these reach are made."""
+        key = "event_id" if self.cfg.lab_target == "own_copy" else "enrolment_id"
+        targets = self.asking_sources.df.select(F.col("target_key").alias(key))
+        reached = stage(self.blocks.df.join(targets, key, "left_semi"), "asking_blocks", ("event_id",))
+        made = copies.stage_inserts(self.t, self.cfg, self.run, self.queue, reached)
+        return lab.merge_into_copies(made, self.asking_sources, self.cfg)
 
     @cached_property
     def after_lab(self) -> Staged:
-        """``rows_after_lab`` and the copies with new documents: what ownership looks at."""
-        edited = self.merged_copies.withColumnRenamed("new_document", "eventdatavalues")
+        """Requests for ownership as they stand after the lab results, of the table and of copies with new documents.
+
+        A whole run has all merges and looks through them; otherwise only those are made that may ask.
+        """
+        asking = link.is_ownership_request(self.cfg)
+        if "rows_after_lab" in vars(self):
+            rows, edited = self.rows_after_lab, self.merged_copies
+        else:
+            merged = lab.merge_into_table(self.lab_targets, self.lab_sources, self.cfg)
+            changed = lab.merge_into_table(self.lab_targets, self.asking_sources, self.cfg)
+            rows = self._unmerged(merged)
+            edited = changed.unionByName(self.merged_copies if self.cfg.reset_status_on_copy else self.asking_copies)
+        edited = edited.withColumnRenamed("new_document", "eventdatavalues")
         if self.cfg.reset_status_on_copy:
             # Copies that say "transferred" can ask for a new owner.
             others = self.inserts.df.select(
@@ -185,7 +216,8 @@ class TransferRun:
             ).join(self.merged_copies.select("event_id"), "event_id", "left_anti")
             edited = edited.unionByName(others)
         keys = (*link.key_names(self.cfg), "target_uid")
-        return stage(self.rows_after_lab.unionByName(self._rematched(edited)), "after_lab", keys)
+        found = rows.where(asking).unionByName(self._rematched(edited, asking))
+        return stage(found.where(link.all_matched(self.cfg)), "after_lab", keys)
 
     # ---- ownership ----
 

@@ -114,6 +114,8 @@ SELECT c_custkey, 2, c_nationkey FROM {customer} WHERE c_custkey % 6 = 0""",
     "usermembership": "SELECT s_suppkey AS userinfoid, s_nationkey AS organisationunitid FROM {supplier}",
 }
 
+# What events are derived from.
+_ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
 # Event columns the rules do not derive.
 _ABSENT = {
     "created": "timestamp_ntz",
@@ -143,15 +145,16 @@ def load(spark: SparkSession, sf_dir: str, *, district: bool = False) -> Tables:
             rule = rule.replace(f"{{{n}}}", text)
         return spark.sql(rule, **used)
 
+    # As many files of events as cores, as a table of any size would have: orders are dealt before documents are made of them.
+    orders = inputs["orders"].select(*_ORDER_COLUMNS)
+    inputs["orders"] = orders.repartition(spark.sparkContext.defaultParallelism)
     key = (spark.sparkContext.applicationId, sf_dir, district)
     if key not in _events:
         kind = inputs["orders"].schema["o_orderdate"].dataType.simpleString()
         events = derive(event_rule(district), ts=kind)
         for column, absent in _ABSENT.items():
             events = events.withColumn(column, F.lit(None).cast(absent))
-        # As many files as cores, as a table of any size would have.
-        events = events.select(*EVENT_COLUMNS).repartition(spark.sparkContext.defaultParallelism)
-        _events[key] = stage(events, "programstageinstance").df
+        _events[key] = stage(events.select(*EVENT_COLUMNS), "programstageinstance").df
     tables = {name: derive(rule) for name, rule in RULES.items()}
     values = derive(VALUE_RULE + (DISTRICT_VALUE_RULE if district else ""))
     return Tables(programstageinstance=_events[key], trackedentityattributevalue=values, **tables)
