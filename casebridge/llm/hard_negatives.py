@@ -13,8 +13,9 @@ positive's: close, but not so close that its label is in doubt.
    larger of q * least and q * most. A sample of about ``SAMPLE`` rows, scored by every anchor, gives a score that the
    last wanted row reaches; it only saves reading.
 4. *Reading.* An anchor reads the blocks whose interval meets its bound (positives) or one of its windows (negatives), and
-   that may hold a label it wants. Blocks nobody reads are not moved. Anchors are blocked as well; a task holds one block of each
-   and sends on what may be among the first of a window.
+   that may hold a label it wants. Blocks nobody reads are not moved. Anchors are blocked as well, and up to 2 ** ``SHELF_BITS``
+   blocks of rows stand on a shelf: a task holds a block of anchors and a shelf, an anchor comes once for all it reads
+   there, with a bit for each block, and what may be among the first of a window is sent on. Products are made for ``ASK_ROWS`` anchors at a time.
 
 Results are exact: bounds are tested with a slack above rounding, products are integers (in 64 bits).
 
@@ -31,6 +32,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -44,8 +46,10 @@ BLOCK_BITS = 10
 SAMPLE = 2_048
 #: Anchors in a block, and zone maps in a page.
 ANCHOR_BLOCK, ZONE_PAGE = 2_048, 2_048
-
-_EMPTY = np.zeros(0, np.int64)
+#: Blocks of a shelf: 2 ** SHELF_BITS, or fewer if they had more than SHELF_NUMBERS components.
+SHELF_BITS, SHELF_NUMBERS = 4, 1 << 20
+#: Anchors whose products with a block, a page or the sample are held at a time.
+ASK_ROWS = 256
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -72,10 +76,10 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
-def matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
-    """A list column as an integer matrix, short rows filled up with zeros."""
+def matrix(column: pa.Array | pa.ChunkedArray, width: int, fill: float = 0, kind: type = np.int64) -> np.ndarray:
+    """A list column as a matrix (of integers), short rows filled up (with zeros)."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    out = np.zeros((len(column), width), np.int64)
+    out = np.full((len(column), width), fill, kind)
     if len(column):
         sizes = column.value_lengths().to_numpy(zero_copy_only=False)
         out[np.arange(width) < sizes[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
@@ -168,64 +172,97 @@ def zone_maps(index: DataFrame, width: int) -> DataFrame:
 _ASK = "anchor_id long, label long, q array<long>, part array<int>, low array<double>, high array<double>"
 
 
+def asked_ranges(asked: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number, least and largest product of each anchor's ranges, in a row; rows with fewer are filled up with ranges that hold nothing."""
+    width = max(pc.max(pc.list_value_length(asked.column("part"))).as_py() or 0, 1) if len(asked) else 1
+    return matrix(asked.column("part"), width), matrix(asked.column("low"), width, np.inf, np.float64), matrix(asked.column("high"), width, -np.inf, np.float64)
+
+
+def shelf_bits(width: int) -> int:
+    return min(SHELF_BITS, max(1, (SHELF_NUMBERS >> BLOCK_BITS) // max(width, 1)).bit_length() - 1)
+
+
 def visits(asked: DataFrame, zones: DataFrame, width: int, same: bool, anchor_blocks: int, pages: int) -> DataFrame:
-    """The blocks each anchor must read: rows of ``asked`` with ``anchor_block, block``.
+    """The blocks each anchor must read: rows of ``asked`` with ``anchor_block``, and with ``shelves`` and the ``blocks`` of each as bits.
 
     ``same``: rows of the anchor's own label are wanted, else those of others.
     """
+    bits = shelf_bits(width)
     left = asked.withColumn("anchor_block", F.pmod(F.xxhash64("anchor_id"), F.lit(anchor_blocks)).cast("int"))
     left = left.withColumn("page", F.explode(F.sequence(F.lit(0), F.lit(pages - 1))))
-    right = zones.withColumn("page", F.pmod(F.xxhash64("block"), F.lit(pages)).cast("int"))
+    right = zones.withColumn("page", F.pmod(F.xxhash64(F.shiftright("block", bits)), F.lit(pages)).cast("int"))
     right = right.withColumn("anchor_block", F.explode(F.sequence(F.lit(0), F.lit(anchor_blocks - 1))))
 
     def choose(anchors: pa.Table, maps: pa.Table) -> pa.Table:
-        low, high = intervals(matrix(anchors.column("q"), width), matrix(maps.column("least"), width), matrix(maps.column("most"), width))
-        label, first, last = anchors.column("label").to_numpy()[:, None], maps.column("first").to_numpy(), maps.column("last").to_numpy()
-        possible = (first <= label) & (label <= last) if same else (first != label) | (last != label)
-        meets = np.zeros(possible.shape, bool)
-        for i, (lows, highs) in enumerate(zip(anchors.column("low").to_pylist(), anchors.column("high").to_pylist(), strict=True)):
-            for a, b in zip(lows, highs, strict=True):
-                meets[i] |= (high[i] >= a) & (low[i] <= b)
-        at, zone = np.nonzero(possible & meets)
-        block = maps.column("block").to_numpy()[zone]
-        chosen = np.unique(np.stack([at, block]), axis=1) if len(at) else np.zeros((2, 0), np.int64)
-        table = anchors.drop_columns(["page"]).take(pa.array(chosen[0]))
-        return table.append_column("block", pa.array(chosen[1])).select(["anchor_block", "block", "anchor_id", "label", "q", "part", "low", "high"])
+        maps = maps.sort_by("block")
+        block, first, last = (maps.column(c).to_numpy() for c in ("block", "first", "last"))
+        least, most, q = matrix(maps.column("least"), width), matrix(maps.column("most"), width), matrix(anchors.column("q"), width)
+        label, (_, lows, highs) = anchors.column("label").to_numpy()[:, None], asked_ranges(anchors)
+        starts = np.flatnonzero(np.concatenate([[True], np.diff(block >> bits) != 0])) if len(block) else np.zeros(0, np.int64)
+        bit = (1 << (block & ((1 << bits) - 1))).astype(np.int32)
+        read = np.zeros((len(q), len(starts)), np.int32)
+        for at in range(0, len(q) if len(block) else 0, ASK_ROWS):
+            some = slice(at, at + ASK_ROWS)
+            low, high = intervals(q[some], least, most)
+            meets = np.zeros(low.shape, bool)
+            for a, b in zip(lows[some].T, highs[some].T, strict=True):
+                meets |= (high >= a[:, None]) & (low <= b[:, None])
+            meets &= (first <= label[some]) & (label[some] <= last) if same else (first != label[some]) | (last != label[some])
+            read[some] = np.bitwise_or.reduceat(np.where(meets, bit, 0), starts, axis=1)
+        at, place = np.nonzero(read)
+        some, sizes = np.unique(at, return_counts=True)
+        ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        table = anchors.drop_columns(["page"]).take(pa.array(some)).select(["anchor_block", "anchor_id", "label", "q", "part", "low", "high"])
+        lists = (pa.ListArray.from_arrays(ends, pa.array(x)) for x in ((block >> bits)[starts][place], read[at, place]))
+        return table.append_column("shelves", next(lists)).append_column("blocks", next(lists))
 
     keys = ("anchor_block", "page")
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(choose, "anchor_block int, block long, " + _ASK)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(choose, f"anchor_block int, {_ASK}, shelves array<long>, blocks array<int>")
 
 
-def first_of(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k largest scores, ties to the smaller id."""
-    if len(scores) > 4 * k:
-        near = np.flatnonzero(scores >= kth_largest(scores, k))
-        return near[np.lexsort((ids[near], -scores[near]))[:k]]
-    return np.lexsort((ids, -scores))[:k]
+def first_of_each(group: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k largest scores of each group, ties to the smaller id."""
+    order = np.lexsort((ids, -scores, group))
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(group[order]) != 0])) if len(order) else order
+    return order[np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order)))) < k]
 
 
 def read_blocks(index: DataFrame, wanted: DataFrame, width: int, same: bool, k: int) -> DataFrame:
-    """``anchor_id, part, vec_id, score``: of every block read, the first k rows of each range."""
+    """``anchor_id, part, vec_id, score``: of every shelf read, the first k rows of each range."""
+    bits = shelf_bits(width)
     wanted = staged(wanted, "visits")
-    readers = wanted.select(F.col("block").alias("read"), F.col("anchor_block").alias("reader")).distinct()
-    met = index.join(readers, index.block == readers.read)
+    each = wanted.withColumn("on", F.explode(F.arrays_zip("shelves", "blocks"))).drop("shelves", "blocks")
+    asking = each.select("*", F.col("on.shelves").alias("shelf"), F.col("on.blocks").alias("blocks")).drop("on")
+    readers = asking.groupBy(F.col("shelf").alias("read"), F.col("anchor_block").alias("reader")).agg(F.bit_or("blocks").alias("any"))
+    bit = F.call_function("shiftleft", F.lit(1), F.col("block").bitwiseAND((1 << bits) - 1).cast("int"))
+    met = index.join(readers, F.shiftright("block", bits) == readers.read).where(F.col("any").bitwiseAND(bit) != 0).drop("any")
 
     def search(rows: pa.Table, asked: pa.Table) -> pa.Table:
-        ids, labels = rows.column("vec_id").to_numpy(), rows.column("label").to_numpy()
-        scores = products(matrix(asked.column("q"), width), matrix(rows.column("v"), width))
-        found: list[tuple[np.ndarray, ...]] = []
-        columns = (asked.column(c).to_pylist() for c in ("anchor_id", "label", "part", "low", "high"))
-        for i, (anchor, label, parts, lows, highs) in enumerate(zip(*columns, strict=True)):
-            other = np.flatnonzero(((labels == label) == same) & (ids != anchor))
-            mine, names = scores[i, other], ids[other]
-            for part, low, high in zip(parts, lows, highs, strict=True):
-                inside = np.flatnonzero((mine >= low) & (mine <= high))
-                best = inside[first_of(names[inside], mine[inside], k)]
-                found.append((np.full(len(best), anchor), np.full(len(best), part, np.int32), names[best], mine[best]))
-        out = [np.concatenate([_EMPTY, *c]) for c in zip(*found, strict=True)] if found else [_EMPTY] * 4
-        return pa.table({"anchor_id": out[0], "part": pa.array(out[1], pa.int32()), "vec_id": out[2], "score": out[3]})
-
-    return met.groupBy("reader", "read").cogroup(wanted.groupBy("anchor_block", "block")).applyInArrow(search, "anchor_id long, part int, vec_id long, score long")
+        ids, labels, block = (rows.column(c).to_numpy() for c in ("vec_id", "label", "block"))
+        anchor, own, reads = (asked.column(c).to_numpy() for c in ("anchor_id", "label", "blocks"))
+        v, q, (part, lows, highs) = matrix(rows.column("v"), width), matrix(asked.column("q"), width), asked_ranges(asked)
+        lowest, highest, ranges = lows.min(axis=1), highs.max(axis=1), lows.shape[1]
+        found = [np.zeros((3, 0), np.int64)]
+        for b in np.unique(block):
+            here = np.flatnonzero(block == b)
+            asks = np.flatnonzero(reads >> (b & ((1 << bits) - 1)) & 1)
+            for at in range(0, len(asks), ASK_ROWS):
+                some = asks[at : at + ASK_ROWS]
+                scores = products(q[some], v[here])
+                near = (scores >= lowest[some, None]) & (scores <= highest[some, None])
+                near &= ((labels[here] == own[some, None]) == same) & (ids[here] != anchor[some, None])
+                i, j = np.nonzero(near)
+                of, score, name = some[i], scores[i, j], ids[here[j]]
+                for p in range(ranges):
+                    inside = np.flatnonzero((score >= lows[of, p]) & (score <= highs[of, p]))
+                    best = inside[first_of_each(of[inside], name[inside], score[inside], k)]
+                    found.append(np.stack([of[best] * ranges + p, name[best], score[best]]))
+        place, name, score = np.concatenate(found, axis=1)
+        best = first_of_each(place, name, score, k)
+        of, p = np.divmod(place[best], ranges)
+        return pa.table({"anchor_id": anchor[of], "part": pa.array(part[of, p], pa.int32()), "vec_id": name[best], "score": score[best]})
+
+    return met.groupBy("reader", "read").cogroup(asking.groupBy("anchor_block", "shelf")).applyInArrow(search, "anchor_id long, part int, vec_id long, score long")
 
 
 def _asks(anchors: DataFrame, sample: Sample, width: int, ranges: Callable) -> DataFrame:
@@ -234,7 +271,7 @@ def _asks(anchors: DataFrame, sample: Sample, width: int, ranges: Callable) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = shared.value
-        for batch in batches:
+        for batch in (whole.slice(at, ASK_ROWS) for whole in batches for at in range(0, len(whole), ASK_ROWS)):
             scores = products(matrix(batch.column(2), width), s.vectors)
             found = []
             for i, (anchor, label, positives) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True)):

@@ -104,6 +104,34 @@ def test_far_blocks_are_not_read(spark, monkeypatch):
     assert read[0] < 16 * blocks / 4 and read[1] < 16 * blocks
 
 
+@pytest.mark.parametrize("apart", [True, False])
+def test_an_anchor_comes_once_for_all_blocks_it_reads(spark, monkeypatch, apart):
+    """Its vector is not repeated for each block, and the bits name the blocks it reads: all where no bound is known, few where clusters lie apart."""
+    monkeypatch.setattr(hn, "BLOCK_BITS", 4)
+    monkeypatch.setattr(hn, "SAMPLE", 400 if apart else 0)
+    read = []
+
+    def spy(wanted, same):
+        bits = F.aggregate("blocks", F.lit(0), lambda a, x: a + F.bit_count(x))
+        read.append((same, wanted.count(), wanted.agg(F.sum(bits)).first()[0]))
+        return wanted
+
+    original = hn.read_blocks
+    monkeypatch.setattr(hn, "read_blocks", lambda index, wanted, width, same, k: original(index, spy(wanted, same), width, same, k))
+    r = np.random.default_rng(4)
+    centres = r.normal(size=(8, 6)) * (10 if apart else 0)
+    check(spark, [(i, (centres[i % 8] + r.normal(size=6) / (100 if apart else 1)).tolist(), i % 8 // 2) for i in range(1600)], 100)
+    (first, anchors, own), (second, again, others) = read
+    assert (first, second) == (True, False) and anchors == 16 and 0 < again <= 16
+    assert (own < 16 * 100 / 4 and others < 16 * 100) if apart else (own >= 16 * 100 / 4 and others >= 16 * 100 / 4)
+
+
+def test_first_of_each_group():
+    group, ids, scores = np.array([1, 0, 1, 1, 0, 1]), np.array([5, 2, 4, 3, 1, 3]), np.array([7, 9, 7, 7, 9, 8])
+    assert hn.first_of_each(group, ids, scores, 2).tolist() == [4, 1, 5, 3]
+    assert hn.first_of_each(group[:0], ids[:0], scores[:0], 2).tolist() == []
+
+
 def test_query_against_sql(spark, small):  # sf0.01 with the other queries in test_licenses
     df = queries.op13_hard_negatives(spark, small)
     assert df.dtypes == [("anchor_id", "bigint"), ("positive_id", "bigint"), ("rank", "int"), ("negative_id", "bigint"), ("positive_score", "bigint"), ("negative_score", "bigint")]
